@@ -1,6 +1,6 @@
 """The library's queries on the driver tables, each with its SQL counterpart."""
 
-from . import cleaning  # noqa: F401
+from . import cleaning, features, pages  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

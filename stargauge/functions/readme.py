@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Our definitions: which words announce a section. Case is ignored.
+# Our definitions: which words announce a section. Case is ignored, and (?U) makes
+# word boundaries know every letter, whichever Java version runs.
 SECTION_PATTERNS: dict[str, str] = {
-    "has_installation": r"\binstall(ation|ing)?\b|\bsetup\b|\bgetting started\b",
-    "has_usage": r"\busage\b|\bhow to use\b|\bexamples?\b|\bquick ?start\b",
-    "has_contributing": r"\bcontribut(e|ing|ions?|ors?)\b",
-    "has_license": r"\blicen[cs]e",
-    "has_tests": r"\btests?\b|\btesting\b",
-    "has_documentation": r"\bdocumentation\b|\bdocs\b",
+    "has_installation": r"(?U)\binstall(ation|ing)?\b|\bsetup\b|\bgetting started\b",
+    "has_usage": r"(?U)\busage\b|\bhow to use\b|\bexamples?\b|\bquick ?start\b",
+    "has_contributing": r"(?U)\bcontribut(e|ing|ions?|ors?)\b",
+    "has_license": r"(?U)\blicen[cs]e",
+    "has_tests": r"(?U)\btests?\b|\btesting\b",
+    "has_documentation": r"(?U)\bdocumentation\b|\bdocs\b",
     "has_badges": r"!\[[^\]]*\]\([^)]*(badge|shields\.io)[^)]*\)",
 }
 # The six sections that count towards completeness, with their display names.

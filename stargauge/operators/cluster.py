@@ -29,7 +29,7 @@ def standardise(df: DataFrame, columns: Sequence[str], suffix: str = "") -> Data
     return df.withColumn("_s", stats.scalar()).withColumns(scaled).drop("_s")
 
 
-def best_kmeans(vectors: DataFrame, column: str, k: int = 4, restarts: int = RESTARTS, seed: int = SEED, parallel: int = 4) -> KMeansModel:
+def best_kmeans(vectors: DataFrame, column: str, k: int = 4, restarts: int = RESTARTS, seed: int = SEED, parallel: int = 8) -> KMeansModel:
     """Fit from several seeds and keep the model with the lowest cost.
 
     The fits are independent Spark jobs on cached vectors; a few run at a time so

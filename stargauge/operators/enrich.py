@@ -19,6 +19,7 @@ from ..functions.text import matches, parse_json_record
 from ..schemas import AUDIENCES, CATEGORIES, COMPLEXITY_LEVELS, ENRICHMENT, USE_CASES
 
 FIELDS = [f.name for f in ENRICHMENT.fields]
+UNICODE = "(?U)"
 
 # Our default rules: a category is the first pattern found, lists hold every one found.
 CATEGORY_RULES = {
@@ -54,7 +55,7 @@ USE_CASE_RULES = {
 
 @dataclass(frozen=True)
 class KeywordAnnotator:
-    """Regex rules over lower-cased text; complexity follows from the length in characters."""
+    """Regex rules over lower-cased text, word boundaries in the Unicode sense; complexity follows from the length."""
 
     categories: Mapping[str, str] = field(default_factory=lambda: CATEGORY_RULES)
     stack: Mapping[str, str] = field(default_factory=lambda: STACK_RULES)
@@ -71,7 +72,7 @@ class KeywordAnnotator:
             .otherwise(3)
         )
         found = {
-            "category": F.coalesce(*[F.when(matches(low, p), F.lit(n)) for n, p in self.categories.items()], F.lit(self.other)),
+            "category": F.coalesce(*[F.when(matches(low, UNICODE + p), F.lit(n)) for n, p in self.categories.items()], F.lit(self.other)),
             "tech_stack": _all_found(low, self.stack),
             "complexity_level": F.element_at(F.array(*[F.lit(x) for x in COMPLEXITY_LEVELS]), score),
             "complexity_score": score.cast("long"),
@@ -83,7 +84,7 @@ class KeywordAnnotator:
 
 
 def _all_found(text: Column, rules: Mapping[str, str]) -> Column:
-    return F.array_compact(F.array(*[F.when(matches(text, p), F.lit(n)) for n, p in rules.items()]))
+    return F.array_compact(F.array(*[F.when(matches(text, UNICODE + p), F.lit(n)) for n, p in rules.items()]))
 
 
 def enrich(df: DataFrame, key: str, text: str, annotator: KeywordAnnotator | None = None) -> DataFrame:
