@@ -66,7 +66,7 @@ once AS (
 ),
 flagged AS (
   SELECT repo_full_name, sha, commit_message, author_name, email AS author_email, commit_date AS commit_timestamp,
-         CAST(commit_date AS DATE) AS commit_date_only, CAST(hour(commit_date) AS INTEGER) AS commit_hour,
+         strftime(commit_date, '%Y-%m-%d') AS commit_date_only, CAST(hour(commit_date) AS INTEGER) AS commit_hour,
          CAST(dayofweek(commit_date) + 1 AS INTEGER) AS commit_day_of_week, html_url, snapshot_date,
          CASE WHEN regexp_matches(lower(commit_message), '^feat[:(]') THEN 'feat'
               WHEN regexp_matches(lower(commit_message), '^fix[:(]') THEN 'fix'
@@ -88,19 +88,23 @@ commits AS (
 )"""
 
 
+def _day_text(df):
+    return df.withColumn("commit_date_only", F.date_format("commit_date_only", "yyyy-MM-dd"))
+
+
 @query(FLAGGED_SQL + "SELECT * FROM commits WHERE NOT is_bot_commit")
 def commits_clean(spark, sf):
-    return sg.clean_commits(roles.commits_raw(spark, sf))
+    return _day_text(sg.clean_commits(roles.commits_raw(spark, sf)))
 
 
 @query(FLAGGED_SQL + "SELECT * FROM commits")
 def commits_flagged(spark, sf):
-    return sg.flag_commits(roles.commits_raw(spark, sf))
+    return _day_text(sg.flag_commits(roles.commits_raw(spark, sf)))
 
 
 @query(FLAGGED_SQL + "SELECT * FROM commits WHERE NOT is_bot_commit ORDER BY commit_timestamp DESC NULLS LAST, sha LIMIT 300")
 def newest_commits(spark, sf):
-    return sg.clean_commits(roles.commits_raw(spark, sf), limit=300)
+    return _day_text(sg.clean_commits(roles.commits_raw(spark, sf), limit=300))
 
 
 @query(FLAGGED_SQL + """
@@ -231,11 +235,14 @@ SELECT year(o_orderdate) * 10000 + 101 AS snapshot_date, count(*) AS row_count,
        count(DISTINCT o_custkey) AS repos, round(sum(o_totalprice), 2) AS stars
 FROM orders GROUP BY 1""")
 def snapshot_append(spark, sf):
-    """Snapshots of several dates stacked into one table, then read back by date."""
-    orders = table(spark, sf, "orders").withColumn("snapshot_date", F.year("o_orderdate").cast("long") * 10000 + 101)
+    """One snapshot per year, stacked into one table; then figures per snapshot."""
+    orders = table(spark, sf, "orders")
     stacked = None
-    for year in range(1995, 2002):  # the declared snapshot dates
-        part = sg.at_snapshot(orders, year * 10000 + 101)
+    for year in range(1995, 2002):  # the declared snapshot dates; each filter reaches the scan
+        inside = (F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) & (
+            F.col("o_orderdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
+        )
+        part = orders.where(inside).withColumn("snapshot_date", F.lit(year * 10000 + 101).cast("long"))
         stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
     return rounded(stacked.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("o_custkey").alias("repos"), F.sum("o_totalprice").alias("stars")

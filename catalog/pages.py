@@ -136,7 +136,8 @@ daily AS (
 
 @query(DAILY_SQL + "SELECT * EXCLUDE (place) FROM daily WHERE place <= 365")
 def daily_activity(spark, sf):
-    return R.daily_activity(sg.clean_commits(roles.commits_raw(spark, sf)))
+    days = R.daily_activity(sg.clean_commits(roles.commits_raw(spark, sf)))
+    return days.withColumn("commit_date_only", F.date_format("commit_date_only", "yyyy-MM-dd"))
 
 
 @query(DAILY_SQL + """
@@ -148,8 +149,8 @@ def activity_kpis(spark, sf):
 
 @query(FLAGGED_SQL + """
 SELECT * EXCLUDE (place) FROM (
-  SELECT repo_full_name, author_name, count(*) AS commit_count, strftime(min(commit_date_only), '%Y-%m-%d') AS first_commit,
-         strftime(max(commit_date_only), '%Y-%m-%d') AS last_commit,
+  SELECT repo_full_name, author_name, count(*) AS commit_count, min(commit_date_only) AS first_commit,
+         max(commit_date_only) AS last_commit,
          row_number() OVER (PARTITION BY repo_full_name ORDER BY count(*) DESC, author_name) AS place
   FROM commits WHERE NOT is_bot_commit AND author_name IS NOT NULL GROUP BY 1, 2)
 WHERE place <= 20""")

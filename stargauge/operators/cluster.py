@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 SEED = 42
 RESTARTS = 10
+MAX_ITERATIONS = 300
+# Stop once the squared moves of all centres, on standardised features, add up to this.
+TOLERANCE = 1e-4
 
 
 def standardise(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame:
@@ -36,10 +40,11 @@ def best_kmeans(vectors: DataFrame, column: str, k: int = 4, restarts: int = RES
     that short tail stages of one overlap with another.
     """
     vectors = vectors.select(column).persist(StorageLevel.MEMORY_AND_DISK)
+    tol = math.sqrt(TOLERANCE / k)  # MLlib bounds the move of each centre
 
     @inheritable_thread_target(vectors.sparkSession)
     def fit(s: int) -> KMeansModel:
-        return KMeans(k=k, seed=s, featuresCol=column, maxIter=300, tol=1e-4).fit(vectors)
+        return KMeans(k=k, seed=s, featuresCol=column, maxIter=MAX_ITERATIONS, tol=tol).fit(vectors)
 
     try:
         with ThreadPool(min(parallel, restarts)) as pool:

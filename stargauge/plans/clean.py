@@ -53,37 +53,38 @@ def clean_repos(raw: DataFrame, as_of: dt.date | str, date: int | None = None, l
 
 
 def flag_commits(raw: DataFrame, date: int | None = None, patterns: Mapping[str, str] = X.COMMIT_TYPES) -> DataFrame:
-    """One row per commit id with type, bot, merge, address and quality flags; bots still in."""
-    rows = at_snapshot(raw, date).select(
-        "repo_full_name", "sha", "commit_message", "author_name", "author_email", "commit_date",
-        "html_url", "snapshot_date",
-    )
-    once = latest_per_key(rows, ["sha", "snapshot_date"], "commit_date", [F.col("repo_full_name"), F.col("html_url")])
-    kind = raw.schema["commit_date"].dataType.simpleString()
-    when = as_time(F.col("commit_date"), kind)
-    parsed = once.select(
+    """One row per commit id with type, bot, merge, address and quality flags; bots still in.
+
+    The flags are taken before the deduplication, so a query that does not ask
+    for the message text does not shuffle it.
+    """
+    when = as_time(F.col("commit_date"), raw.schema["commit_date"].dataType.simpleString())
+    parsed = at_snapshot(raw, date).select(
         "repo_full_name",
         "sha",
         "commit_message",
         "author_name",
         X.normalise_email(F.col("author_email")).alias("author_email"),
         when.alias("commit_timestamp"),
-        F.to_date(when).alias("commit_date_only"),
-        F.hour(when).alias("commit_hour"),
-        F.dayofweek(when).alias("commit_day_of_week"),
         "html_url",
         "snapshot_date",
         X.commit_type(F.col("commit_message"), patterns).alias("commit_type"),
+        F.length("commit_message").alias("message_length"),
+        X.is_merge(F.col("commit_message")).alias("is_merge_commit"),
     )
-    flagged = parsed.withColumns({
+    once = latest_per_key(parsed, ["sha", "snapshot_date"], "commit_timestamp", [F.col("repo_full_name"), F.col("html_url")])
+    flagged = once.withColumns({
+        "commit_date_only": F.to_date("commit_timestamp"),
+        "commit_hour": F.hour("commit_timestamp"),
+        "commit_day_of_week": F.dayofweek("commit_timestamp"),
         "is_bot_commit": X.is_bot(F.col("author_name"), F.col("author_email")),
         "is_valid_email": X.is_valid_email(F.col("author_email")),
-        "message_length": F.length("commit_message"),
-        "is_merge_commit": X.is_merge(F.col("commit_message")),
     })
-    return flagged.withColumn(
-        "data_quality_flag",
-        X.commit_quality(F.col("is_bot_commit"), F.col("is_valid_email"), F.col("message_length")),
+    quality = X.commit_quality(F.col("is_bot_commit"), F.col("is_valid_email"), F.col("message_length"))
+    return flagged.withColumn("data_quality_flag", quality).select(
+        "repo_full_name", "sha", "commit_message", "author_name", "author_email", "commit_timestamp",
+        "commit_date_only", "commit_hour", "commit_day_of_week", "html_url", "snapshot_date", "commit_type",
+        "is_bot_commit", "is_valid_email", "message_length", "is_merge_commit", "data_quality_flag",
     )
 
 
