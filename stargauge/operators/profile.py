@@ -13,7 +13,7 @@ from ..functions.numbers import guarded
 def _long(features: Sequence[str], *prefixes: str) -> Column:
     """Array of (feature, value per prefix), to be unfolded with ``inline``."""
     return F.array(*[
-        F.struct(F.lit(f).alias("feature"), *[F.col(f"{p}{f}").alias(p.strip("_")) for p in prefixes])
+        F.struct(F.lit(f).alias("feature"), *[F.col(f"{p}{f}").alias(p[:2]) for p in prefixes])
         for f in features
     ])
 
@@ -32,14 +32,14 @@ def group_profile(df: DataFrame, group: str, features: Sequence[str]) -> DataFra
     for f in features:
         wide = wide.withColumn(f"_m_{f}", F.col(f"_o.m_{f}")).withColumn(f"_s_{f}", F.col(f"_o.s_{f}"))
     long = wide.select(group, F.inline(_long(features, "_g_", "_m_", "_s_")))
-    gap = F.col("g") - F.col("m")
+    gap = F.col("_g") - F.col("_m")
     return long.select(
         group,
         "feature",
-        F.col("g").alias("group_avg"),
-        F.col("m").alias("overall_avg"),
-        guarded(F.col("m"), gap / F.col("m") * 100).alias("difference_pct"),
-        guarded(F.col("s"), gap / F.col("s")).alias("z_score"),
+        F.col("_g").alias("group_avg"),
+        F.col("_m").alias("overall_avg"),
+        guarded(F.col("_m"), gap / F.col("_m") * 100).alias("difference_pct"),
+        guarded(F.col("_s"), gap / F.col("_s")).alias("z_score"),
     )
 
 

@@ -60,14 +60,15 @@ def at_snapshot(df: DataFrame, date: int | None) -> DataFrame:
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined text with what could be read of it and its snapshot date).
 
-    Both sides ask for every column, so both parse a record the same way; a
-    reader asked for fewer columns would overlook errors in the others.
+    Both conditions mention every column, so that Spark parses a record the same
+    way whatever is selected later; a reader asked for fewer columns would
+    overlook errors in the others. The JSON text is only made for corrupt rows.
     """
     fields = [c for c in df.columns if c not in (CORRUPT, "snapshot_date")]
-    bad = df.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("corrupt_record"), F.to_json(F.struct(*fields)).alias("readable"), "snapshot_date"
-    )
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
+    corrupt, readable = F.col(CORRUPT), F.to_json(F.struct(*fields))
+    good = df.where(corrupt.isNull() | readable.isNull()).drop(CORRUPT)
+    bad = df.where(corrupt.isNotNull() & readable.isNotNull())
+    return good, bad.select(corrupt.alias("corrupt_record"), readable.alias("readable"), "snapshot_date")
 
 
 def write_snapshot(df: DataFrame, base: str, feed: str, date: int) -> None:

@@ -35,6 +35,7 @@ def merge_files(batch: DataFrame, table: str) -> None:
     """
     spark = batch.sparkSession
     ensure_table(spark, table, batch.schema)
+    spark.catalog.refreshTable(table)
     batch = batch.persist()
     try:
         dates = [r[0] for r in batch.select(PARTITION).distinct().collect()]  # one per dated directory
@@ -52,9 +53,14 @@ def merge_files(batch: DataFrame, table: str) -> None:
 
 def ingest_available(spark: SparkSession, base: str, feed: str, table: str, checkpoint: str, **options) -> StreamingQuery:
     """Process everything that has arrived since the last call, then stop."""
+
+    def merge(batch: DataFrame, _: int) -> None:
+        merge_files(batch, table)
+        spark.catalog.refreshTable(table)  # batches run in a session of their own
+
     return (
         snapshot_stream(spark, base, feed, **options)
-        .writeStream.foreachBatch(lambda batch, _: merge_files(batch, table))
+        .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
