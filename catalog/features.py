@@ -381,21 +381,20 @@ def vocabulary_report(spark, sf):
 @query()
 def enrich_replies(spark, sf):
     """Enrichment through a Python annotator that answers in prose around a JSON object."""
-    out = sg.annotate_replies(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", _word_annotator)
-    return out.withColumns({c: F.array_join(c, ", ") for c in ("tech_stack", "audience", "use_cases")})
 
+    def word_annotator(text: str) -> str:  # local, so that it travels to the tasks by value
+        import json
 
-def _word_annotator(text: str) -> str | None:
-    import json
+        level = min(len(text.split()) // 200, 2)
+        record = {
+            "category": "Databases" if "tion" in text else "Other",
+            "tech_stack": ["Python"], "audience": ["researcher"], "use_cases": ["caching"],
+            "complexity_level": ["beginner", "intermediate", "advanced"][level], "complexity_score": level + 1,
+        }
+        return f"Sure: {json.dumps(record)}"
 
-    words = text.split()
-    level = min(len(words) // 200, 2)
-    record = {
-        "category": "Databases" if "tion" in text else "Other",
-        "tech_stack": ["Python"], "audience": ["researcher"], "use_cases": ["caching"],
-        "complexity_level": ["beginner", "intermediate", "advanced"][level], "complexity_score": level + 1,
-    }
-    return f"Sure: {json.dumps(record)}"
+    out = sg.annotate_replies(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", word_annotator)
+    return out.withColumns({c: F.array_join(c, ", ") for c in ("tech_stack", "audience", "use_cases")})
 
 
 @query("""
