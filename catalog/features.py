@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 import stargauge as sg
@@ -150,12 +151,9 @@ def kmeans_assign(spark, sf):
 
 @query()
 def kmeans_embeddings(spark, sf):
-    """Groups of the embedding vectors, one feature per dimension."""
-    rows = table(spark, sf, "embeddings")
-    width = rows.select(F.max(F.size("embedding"))).first()[0]
-    names = [f"e{i}" for i in range(width)]
-    wide = rows.select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)])
-    return sg.kmeans(wide, names).select("vec_id", "label", "cluster")
+    """Groups of the embedding vectors."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "label", array_to_vector("embedding").alias("vector"))
+    return sg.kmeans_vectors(rows, "vector").select("vec_id", "label", "cluster")
 
 
 @query()

@@ -1,6 +1,6 @@
 """Source-repository analytics on Spark: snapshots in, clean tables, features, groups and reports out."""
 
-from .operators.cluster import canonical_ids, kmeans, standardise
+from .operators.cluster import canonical_ids, kmeans, kmeans_vectors, standardise
 from .operators.dedup import first_existing, latest_per_key, top_per_group
 from .operators.encode import encode_numeric, label_codes, label_encode
 from .operators.enrich import KeywordAnnotator, annotate_replies, enrich, vocabulary_report

@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,22 +55,33 @@ def best_kmeans(vectors: DataFrame, column: str, k: int = 4, restarts: int = RES
 
 
 def kmeans(df: DataFrame, features: Sequence[str], k: int = 4, restarts: int = RESTARTS, seed: int = SEED, out: str = "cluster", order_by: str | None = None) -> DataFrame:
-    """Add a group id per row, found on the standardised features.
+    """Add a group id per row, found on the standardised features; nulls read as 0.
 
     Ids are canonical: 0 is the group with the highest mean of ``order_by``
     (default: the first feature), ties broken by size.
     """
-    scaled = [f"_z_{i}" for i in range(len(features))]
-    renamed = df.withColumns({z: F.col(f) for z, f in zip(scaled, features)})
-    vectors = VectorAssembler(inputCols=scaled, outputCol="_features").transform(standardise(renamed, scaled)).drop(*scaled)
-    model = best_kmeans(vectors, "_features", k, restarts, seed)
-    assigned = model.setPredictionCol("_raw").transform(vectors).drop("_features")
-    return canonical_ids(assigned, "_raw", order_by or features[0], out)
+    filled = {f"_x{i}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for i, f in enumerate(features)}
+    vectors = VectorAssembler(inputCols=list(filled), outputCol="_vector").transform(df.withColumns(filled)).drop(*filled)
+    return kmeans_vectors(vectors, "_vector", k, restarts, seed, out, order_by or features[0]).drop("_vector")
 
 
-def canonical_ids(df: DataFrame, raw: str, order_by: str, out: str = "cluster") -> DataFrame:
-    """Renumber k group ids by falling mean of ``order_by``. Only the k ids reach the driver."""
-    sizes = df.groupBy(raw).agg(F.avg(order_by).alias("_m"), F.count(F.lit(1)).alias("_n"))
+def kmeans_vectors(df: DataFrame, column: str, k: int = 4, restarts: int = RESTARTS, seed: int = SEED, out: str = "cluster", order_by: str | None = None) -> DataFrame:
+    """As ``kmeans``, on a vector column. Without ``order_by``, group 0 is the largest.
+
+    MLlib scales by the n - 1 deviation; against the n divisor that is one common
+    factor for all features, which moves no row to another group.
+    """
+    scaler = StandardScaler(inputCol=column, outputCol="_scaled", withMean=True, withStd=True).fit(df.select(column))
+    scaled = scaler.transform(df)
+    model = best_kmeans(scaled, "_scaled", k, restarts, seed)
+    assigned = model.setPredictionCol("_raw").transform(scaled).drop("_scaled")
+    return canonical_ids(assigned, "_raw", order_by, out)
+
+
+def canonical_ids(df: DataFrame, raw: str, order_by: str | None, out: str = "cluster") -> DataFrame:
+    """Renumber k group ids by falling mean of ``order_by``, then size. Only the k ids reach the driver."""
+    mean = F.avg(order_by) if order_by else F.lit(0)
+    sizes = df.groupBy(raw).agg(mean.alias("_m"), F.count(F.lit(1)).alias("_n"))
     ranked = sizes.orderBy(F.col("_m").desc_nulls_last(), F.desc("_n"), raw).select(raw).collect()
     if not ranked:
         return df.withColumn(out, F.col(raw)).drop(raw)
