@@ -29,9 +29,9 @@ ranked AS (
   FROM once WHERE rn = 1
 ),
 contributors AS (
-  SELECT *, contribution_rank <= 10 AS is_core_contributor,
-         round(contributions / sum(contributions) OVER (PARTITION BY repo_full_name) * 100, 2) AS contribution_percentage
-  FROM ranked WHERE data_quality_flag = 'valid'
+  SELECT * EXCLUDE (total), contribution_rank <= 10 AS is_core_contributor,
+         {roles.rounded_ratio('100 * contributions', 'total')} AS contribution_percentage
+  FROM (SELECT *, sum(contributions) OVER (PARTITION BY repo_full_name) AS total FROM ranked WHERE data_quality_flag = 'valid')
 )"""
 
 

@@ -67,11 +67,11 @@ features AS (
   FROM repos r LEFT JOIN commits c ON r.name = c.repo_full_name LEFT JOIN contributors p ON r.name = p.repo_full_name
        LEFT JOIN language_summary l ON r.name = l.repo_full_name
 )
-SELECT * REPLACE (round(avg_message_length, 4) AS avg_message_length, round(merge_commit_ratio, 4) AS merge_commit_ratio,
-  round(bot_commit_ratio, 4) AS bot_commit_ratio, round(avg_contributions_per_person, 4) AS avg_contributions_per_person,
-  round(core_contributor_ratio, 4) AS core_contributor_ratio, round(commits_per_contributor, 4) AS commits_per_contributor,
-  round(forks_per_star, 4) AS forks_per_star, round(stars_per_day, 4) AS stars_per_day,
-  round(primary_language_pct, 4) AS primary_language_pct) FROM features"""
+SELECT * REPLACE (round(avg_message_length, 6) AS avg_message_length, round(merge_commit_ratio, 6) AS merge_commit_ratio,
+  round(bot_commit_ratio, 6) AS bot_commit_ratio, round(avg_contributions_per_person, 6) AS avg_contributions_per_person,
+  round(core_contributor_ratio, 6) AS core_contributor_ratio, round(commits_per_contributor, 6) AS commits_per_contributor,
+  round(forks_per_star, 6) AS forks_per_star, round(stars_per_day, 6) AS stars_per_day,
+  round(primary_language_pct, 6) AS primary_language_pct) FROM features"""
 
 
 @query(FEATURES_SQL)
@@ -164,12 +164,12 @@ def cluster_summary(spark, sf):
 MEANS = ["stars_count", "forks_count", "total_commits", "total_contributors", "stars_per_day", "language_count", "commits_per_contributor"]
 
 
-@query(f"WITH {roles.READY_SQL} SELECT cluster, {', '.join(f'round(avg({c}), 4) AS {c}' for c in MEANS)} FROM ready GROUP BY cluster")
+@query(f"WITH {roles.READY_SQL} SELECT cluster, {', '.join(f'round(avg({c}), 6) AS {c}' for c in MEANS)} FROM ready GROUP BY cluster")
 def group_means(spark, sf):
     return rounded(sg.group_means(roles.ready(spark, sf), "cluster", MEANS))
 
 
-@query(f"WITH {roles.READY_SQL} SELECT cluster, count(*) AS repos, round(avg(stars_count), 4) AS avg_stars FROM ready GROUP BY cluster")
+@query(f"WITH {roles.READY_SQL} SELECT cluster, count(*) AS repos, round(avg(stars_count), 6) AS avg_stars FROM ready GROUP BY cluster")
 def cluster_sizes(spark, sf):
     rows = roles.ready(spark, sf).withColumn("cluster_name", F.lit("x"))
     return rounded(R.cluster_sizes(rows).drop("cluster_name"))
@@ -209,7 +209,7 @@ def cluster_top_repos(spark, sf):
 @query("""
 WITH span AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
 binned AS (SELECT least(floor((value - lo) / ((hi - lo) / 20)), 19) AS bin, lo, (hi - lo) / 20 AS w FROM events, span)
-SELECT CAST(bin AS INTEGER) AS bin, count(*) AS n, round(min(lo + w * bin), 4) AS lower, round(min(lo + w * (bin + 1)), 4) AS upper
+SELECT CAST(bin AS INTEGER) AS bin, count(*) AS n, round(min(lo + w * bin), 6) AS lower, round(min(lo + w * (bin + 1)), 6) AS upper
 FROM binned GROUP BY bin""")
 def histogram_20(spark, sf):
     return rounded(sg.histogram(table(spark, sf, "events"), "value", 20))
@@ -220,7 +220,7 @@ WITH {roles.READY_SQL},
 span AS (SELECT cluster, min(stars_count) AS lo, max(stars_count) AS hi FROM ready GROUP BY cluster),
 binned AS (SELECT cluster, least(coalesce(floor((stars_count - lo) / nullif((hi - lo) / 20, 0)), 0), 19) AS bin, lo, (hi - lo) / 20 AS w
            FROM ready JOIN span USING (cluster) WHERE stars_count IS NOT NULL)
-SELECT cluster, CAST(bin AS INTEGER) AS bin, count(*) AS n, round(min(lo + w * bin), 4) AS lower, round(min(lo + w * (bin + 1)), 4) AS upper
+SELECT cluster, CAST(bin AS INTEGER) AS bin, count(*) AS n, round(min(lo + w * bin), 6) AS lower, round(min(lo + w * (bin + 1)), 6) AS upper
 FROM binned GROUP BY cluster, bin""")
 def cluster_histograms(spark, sf):
     return rounded(R.cluster_histograms(roles.ready(spark, sf), "stars_count"))
@@ -232,9 +232,9 @@ _PROFILED = ["value", "user_id", "event_id"]
 @query("WITH o AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in _PROFILED) + " FROM events),\n"
        + "g AS (SELECT event_type, " + ", ".join(f"avg({c}) AS g_{c}" for c in _PROFILED) + " FROM events GROUP BY event_type)\n"
        + "\nUNION ALL\n".join(
-           f"SELECT event_type, '{c}' AS feature, round(g_{c}, 4) AS group_avg, round(m_{c}, 4) AS overall_avg,"
-           f" round(CASE WHEN m_{c} > 0 THEN (g_{c} - m_{c}) / m_{c} * 100 ELSE 0 END, 4) AS difference_pct,"
-           f" round(CASE WHEN s_{c} > 0 THEN (g_{c} - m_{c}) / s_{c} ELSE 0 END, 4) AS z_score FROM g, o" for c in _PROFILED))
+           f"SELECT event_type, '{c}' AS feature, round(g_{c}, 6) AS group_avg, round(m_{c}, 6) AS overall_avg,"
+           f" round(CASE WHEN m_{c} > 0 THEN (g_{c} - m_{c}) / m_{c} * 100 ELSE 0 END, 6) AS difference_pct,"
+           f" round(CASE WHEN s_{c} > 0 THEN (g_{c} - m_{c}) / s_{c} ELSE 0 END, 6) AS z_score FROM g, o" for c in _PROFILED))
 def group_profile_z(spark, sf):
     profile = sg.group_profile(table(spark, sf, "events"), "event_type", _PROFILED)
     return rounded(sg.by_distinctness(profile, "event_type"))
@@ -293,7 +293,7 @@ _PRESENT = "(has_installation::INT + has_usage::INT + has_contributing::INT + ha
 
 @query(f"""
 WITH flags AS (SELECT doc_id, {_SECTIONS_SQL} FROM documents)
-SELECT doc_id AS repo_full_name, {_PRESENT} AS sections_present, 6 AS total_sections, round({_PRESENT} / 6 * 100, 4) AS completeness_pct,
+SELECT doc_id AS repo_full_name, {_PRESENT} AS sections_present, 6 AS total_sections, round({_PRESENT} / 6 * 100, 6) AS completeness_pct,
        concat_ws(', ', CASE WHEN NOT has_installation THEN 'Installation' END, CASE WHEN NOT has_usage THEN 'Usage' END,
                  CASE WHEN NOT has_contributing THEN 'Contributing' END, CASE WHEN NOT has_license THEN 'License' END,
                  CASE WHEN NOT has_tests THEN 'Tests' END, CASE WHEN NOT has_documentation THEN 'Documentation' END) AS missing_sections

@@ -40,7 +40,7 @@ def repo_list(spark, sf):
 
 
 @query(f"""{READY}, {BRAND_SUMMARY[5:]}
-SELECT count(*) AS total_repos, round(avg(stars_count), 4) AS avg_stars, CAST(sum(total_commits) AS BIGINT) AS total_commits,
+SELECT count(*) AS total_repos, round(avg(stars_count), 6) AS avg_stars, CAST(sum(total_commits) AS BIGINT) AS total_commits,
        (SELECT count(DISTINCT primary_language) FROM language_summary) AS languages
 FROM ready""")
 def overview_kpis(spark, sf):
@@ -74,7 +74,7 @@ shown AS (SELECT a.*, coalesce(s.primary_language, a.primary_language) AS displa
 top AS (SELECT display_language FROM shown WHERE display_language IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 8)
 SELECT repo_name, stars_count, forks_count, display_language,
        CASE WHEN display_language IN (SELECT display_language FROM top) THEN display_language ELSE 'Other' END AS language_grouped,
-       round(age_years, 4) AS age_years, age_category, greatest(coalesce(total_commits, 100), 100) AS size_for_plot
+       round(age_years, 6) AS age_years, age_category, greatest(coalesce(total_commits, 100), 100) AS size_for_plot
 FROM shown""")
 def forks_vs_stars(spark, sf):
     return rounded(R.forks_vs_stars(roles.ready(spark, sf), _brand_summary(spark, sf)))
@@ -104,7 +104,7 @@ def value_counts(spark, sf):
 
 
 @query(f"""{BRAND_SUMMARY}
-SELECT round(avg(language_count), 4) AS avg_languages, count(*) FILTER (WHERE language_count = 1) AS single_language,
+SELECT round(avg(language_count), 6) AS avg_languages, count(*) FILTER (WHERE language_count = 1) AS single_language,
        count(*) FILTER (WHERE language_count >= 5) AS many_languages FROM language_summary""")
 def language_count_stats(spark, sf):
     return rounded(R.language_count_stats(_brand_summary(spark, sf)))
@@ -141,7 +141,7 @@ def daily_activity(spark, sf):
 
 
 @query(DAILY_SQL + """
-SELECT repo_full_name, CAST(sum(commit_count) AS BIGINT) AS total, round(avg(commit_count), 4) AS avg_per_day,
+SELECT repo_full_name, CAST(sum(commit_count) AS BIGINT) AS total, round(avg(commit_count), 6) AS avg_per_day,
        max(commit_count) AS peak, count(*) AS active_days FROM daily WHERE place <= 365 GROUP BY 1""")
 def activity_kpis(spark, sf):
     return rounded(R.activity_kpis(R.daily_activity(sg.clean_commits(roles.commits_raw(spark, sf)))))
@@ -195,7 +195,7 @@ def point_lookup(spark, sf):
 
 @query("""
 SELECT count(*) AS total, count(quality) AS covered, count(DISTINCT quality) AS distinct_values,
-       round(count(quality) / count(*) * 100, 4) AS coverage_pct
+       round(count(quality) / count(*) * 100, 6) AS coverage_pct
 FROM documents LEFT JOIN labels USING (doc_id)""")
 def coverage(spark, sf):
     joined = sg.ml_ready(table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels"), "doc_id")
@@ -257,14 +257,14 @@ def level_counts_ordered(spark, sf):
 
 
 @query(f"""{READY}
-SELECT complexity_level, count(*) AS n, round(avg(stars_count), 4) AS avg_stars_count, round(avg(forks_count), 4) AS avg_forks_count,
+SELECT complexity_level, count(*) AS n, round(avg(stars_count), 6) AS avg_stars_count, round(avg(forks_count), 6) AS avg_forks_count,
        {_ORD}::BIGINT AS level_ord FROM ready WHERE complexity_level IS NOT NULL GROUP BY 1""")
 def level_means(spark, sf):
     return rounded(sg.level_means(roles.ready(spark, sf), "complexity_level", roles.LEVELS, ["stars_count", "forks_count"]))
 
 
 @query(f"""{READY}
-SELECT complexity_level, ord AS level_ord, count(repo_name) AS n, round(coalesce(avg(stars_count), 0), 4) AS avg_stars_count
+SELECT complexity_level, ord AS level_ord, count(repo_name) AS n, round(coalesce(avg(stars_count), 0), 6) AS avg_stars_count
 FROM (VALUES ('beginner', 1), ('intermediate', 2), ('advanced', 3), ('legendary', 4)) v(complexity_level, ord)
 LEFT JOIN ready USING (complexity_level) GROUP BY 1, 2""")
 def level_stats(spark, sf):

@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to a fixed number of digits, so that two engines print the same."""
     return df.select(*[
         F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)

@@ -10,6 +10,13 @@ from .registry import table
 AS_OF = "2001-08-01"  # the day of the last order: repositories of that day are 0 days old
 HOST = "https://host.example/"
 
+
+
+def rounded_ratio(numerator: str, denominator: str) -> str:
+    """SQL of a ratio of whole numbers to 2 digits, halves up, without a detour through binary fractions."""
+    return f"((200 * CAST({numerator} AS HUGEINT) + {denominator}) // nullif(2 * {denominator}, 0)) / 100"
+
+
 # --- contributors: part = repository, supplier = contributor, quantity - 1 = contributions -----
 
 CONTRIBUTORS_SQL = f"""
@@ -107,7 +114,7 @@ repos AS (
          coalesce(description, 'No description provided') AS description, html_url AS url,
          updated_at, snapshot_date, created_at, watchers_count AS watchers, open_issues_count AS open_issues,
          date_diff('day', CAST(created_at AS DATE), DATE '{AS_OF}') AS repo_age_days,
-         round(stargazers_count / nullif(date_diff('day', CAST(created_at AS DATE), DATE '{AS_OF}'), 0), 2) AS stars_per_day
+         {rounded_ratio('stargazers_count', "date_diff('day', CAST(created_at AS DATE), DATE '" + AS_OF + "')")} AS stars_per_day
   FROM (SELECT *, row_number() OVER (PARTITION BY full_name ORDER BY updated_at DESC NULLS LAST, html_url) AS rn FROM repos_raw)
   WHERE rn = 1
 )"""
@@ -176,7 +183,7 @@ def language_summary_sql(families: dict[str, list[str]]) -> str:
 language_sums AS (SELECT repo_full_name, language, CAST(sum(bytes) AS BIGINT) AS bytes FROM languages_raw GROUP BY 1, 2),
 language_totals AS (SELECT repo_full_name, sum(bytes) AS total_bytes FROM language_sums GROUP BY 1),
 language_details AS (
-  SELECT s.repo_full_name, s.language, s.bytes, round(s.bytes / total_bytes * 100, 2) AS percentage,
+  SELECT s.repo_full_name, s.language, s.bytes, {rounded_ratio('100 * s.bytes', 'total_bytes')} AS percentage,
          row_number() OVER (PARTITION BY s.repo_full_name ORDER BY s.bytes DESC, s.language) AS language_rank
   FROM language_sums s JOIN language_totals t ON s.repo_full_name = t.repo_full_name
 ),

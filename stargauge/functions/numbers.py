@@ -36,7 +36,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def share_pct(part: Column, total: Column, digits: int = 2) -> Column:
-    return F.round(ratio(part, total) * 100, digits)
+    """Rounded percentage. Multiplied first: one division keeps an exact half a half."""
+    return F.round(ratio(part.cast("double") * 100, total), digits)
 
 
 def guarded(denominator: Column, value: Column, otherwise: float = 0.0) -> Column:

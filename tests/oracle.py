@@ -55,9 +55,10 @@ def difference(df, con, sql) -> str | None:
         return f"columns {left_names} != {right_names}"
     if len(left) != len(right):
         return f"rows {len(left)} != {len(right)}"
-    for a, b in zip(left, right):
-        if repr(a) != repr(b):
-            gone = [x for x in left if x not in set(right)][:3]
-            extra = [x for x in right if x not in set(left)][:3]
-            return f"first difference {left_names}\n  {a}\n  {b}\n  spark only {gone}\n  sql only {extra}"
-    return None
+    if repr(left) == repr(right):
+        return None
+    left_set, right_set = {repr(r) for r in left}, {repr(r) for r in right}
+    return (
+        f"{len(left_set - right_set)} rows differ {left_names}\n"
+        f"  spark only {sorted(left_set - right_set)[:3]}\n  sql only {sorted(right_set - left_set)[:3]}"
+    )
