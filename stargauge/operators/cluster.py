@@ -40,6 +40,7 @@ def best_kmeans(vectors: DataFrame, column: str, k: int = 4, restarts: int = RES
     that short tail stages of one overlap with another.
     """
     vectors = vectors.select(column).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors.count()  # fill the cache once, before several fits ask for it at the same time
     tol = math.sqrt(TOLERANCE / k)  # MLlib bounds the move of each centre
 
     @inheritable_thread_target(vectors.sparkSession)

@@ -15,6 +15,8 @@ from ..functions.numbers import level_position
 from .ranking import rank_in_group
 from .topk import top_k_semi, value_counts
 
+_SALTS = 32  # parts a group is cut into for a join to its own figures
+
 
 def _not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for c in columns:
@@ -139,21 +141,30 @@ def histogram(df: DataFrame, column: str, bins: int = 20, by: Sequence[str] = ()
     """Equal-width bins between the smallest and largest value, per group if asked.
 
     Only filled bins are returned. A column with one value has a single bin.
+    Per group, equal values are counted first and every group is joined to its
+    span in salted parts, so neither a big group nor a frequent value ends up in
+    one task.
     """
     rows = df.select(*by, F.col(column).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    span = rows.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    ends = [F.min("_x").alias("_lo"), F.max("_x").alias("_hi")]
     if by:
-        rows = rows.join(span, list(by))
+        counts = rows.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_n"))
+        spans = counts.groupBy(*by).agg(*ends).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+        salted = counts.withColumn("_salt", F.pmod(F.hash("_x"), F.lit(_SALTS)))
+        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*by, "_salt"]]
+        spanned = salted.alias("r").join(spans.alias("s"), same).select("r.*", "_lo", "_hi")
     else:
-        rows = rows.withColumn("_span", span.select(F.struct("_lo", "_hi")).scalar()).select("_x", "_span._lo", "_span._hi")
+        span = rows.agg(*ends).select(F.struct("_lo", "_hi")).scalar()
+        spanned = rows.select("_x", F.lit(1).alias("_n"), span.alias("_span")).select("_x", "_n", "_span._lo", "_span._hi")
     width = (F.col("_hi") - F.col("_lo")) / bins
     place = F.floor(F.try_divide(F.col("_x") - F.col("_lo"), width))
-    binned = rows.select(
-        *by, "_lo", width.alias("_w"),
+    binned = spanned.select(
+        *by, "_n", "_lo", width.alias("_w"),
         F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"),
     )
-    return binned.groupBy(*by, "bin").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.first(F.col("_lo") + F.col("_w") * F.col("bin")).alias("lower"),
-        F.first(F.col("_lo") + F.col("_w") * (F.col("bin") + 1)).alias("upper"),
+    sums = binned.groupBy(*by, "bin").agg(F.sum("_n").alias("n"), F.min("_lo").alias("_lo"), F.min("_w").alias("_w"))
+    return sums.select(
+        *by, "bin", "n",
+        (F.col("_lo") + F.col("_w") * F.col("bin")).alias("lower"),
+        (F.col("_lo") + F.col("_w") * (F.col("bin") + 1)).alias("upper"),
     )

@@ -216,6 +216,10 @@ def cluster_totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("repos"), *[F.sum(c).alias(c) for c in sums])
 
 
+def cluster_count(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.count_distinct("cluster").alias("clusters"))
+
+
 def cluster_histograms(rows: DataFrame, column: str, bins: int = 20) -> DataFrame:
     return histogram(rows, column, bins, by=["cluster"])
 

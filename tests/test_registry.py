@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle import connect, difference, spark_rows
+from tests.test_ranking import explain
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,9 @@ def test_every_sql_belongs_to_a_query():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, sf, con, name):
     df = queries()[name](spark, sf)
+    plan = explain(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert ("ArrowEvalPython" in plan) == (name == "enrich_replies") and "BatchEvalPython" not in plan
     if name in oracle_sql():
         assert difference(df, con, oracle_sql()[name]) is None
     else:
