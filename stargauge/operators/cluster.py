@@ -69,22 +69,36 @@ def kmeans(df: DataFrame, features: Sequence[str], k: int = 4, restarts: int = R
 def kmeans_vectors(df: DataFrame, column: str, k: int = 4, restarts: int = RESTARTS, seed: int = SEED, out: str = "cluster", order_by: str | None = None) -> DataFrame:
     """As ``kmeans``, on a vector column. Without ``order_by``, group 0 is the largest.
 
-    MLlib scales by the n - 1 deviation; against the n divisor that is one common
-    factor for all features, which moves no row to another group.
+    The input is read once to fit (the needed columns are cached meanwhile) and
+    once more when the result is used. MLlib scales by the n - 1 deviation;
+    against the n divisor that is one common factor for all features, which moves
+    no row to another group.
     """
-    scaler = StandardScaler(inputCol=column, outputCol="_scaled", withMean=True, withStd=True).fit(df.select(column))
-    scaled = scaler.transform(df)
-    model = best_kmeans(scaled, "_scaled", k, restarts, seed)
-    assigned = model.setPredictionCol("_raw").transform(scaled).drop("_scaled")
-    return canonical_ids(assigned, "_raw", order_by, out)
+    needed = df.select(column, *([order_by] if order_by else [])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        scaler = StandardScaler(inputCol=column, outputCol="_scaled", withMean=True, withStd=True).fit(needed)
+        scaled = scaler.transform(needed)
+        model = best_kmeans(scaled, "_scaled", k, restarts, seed).setPredictionCol("_raw")
+        order = _id_order(model.transform(scaled), "_raw", order_by)
+    finally:
+        needed.unpersist()
+    return _renumber(model.transform(scaler.transform(df)).drop("_scaled"), "_raw", order, out)
 
 
 def canonical_ids(df: DataFrame, raw: str, order_by: str | None, out: str = "cluster") -> DataFrame:
-    """Renumber k group ids by falling mean of ``order_by``, then size. Only the k ids reach the driver."""
+    """Renumber k group ids by falling mean of ``order_by``, then size."""
+    return _renumber(df, raw, _id_order(df, raw, order_by), out)
+
+
+def _id_order(df: DataFrame, raw: str, order_by: str | None) -> list[int]:
+    """The k group ids in canonical order; nothing else reaches the driver."""
     mean = F.avg(order_by) if order_by else F.lit(0)
     sizes = df.groupBy(raw).agg(mean.alias("_m"), F.count(F.lit(1)).alias("_n"))
-    ranked = sizes.orderBy(F.col("_m").desc_nulls_last(), F.desc("_n"), raw).select(raw).collect()
-    if not ranked:
-        return df.withColumn(out, F.col(raw)).drop(raw)
-    pairs = [F.lit(x) for new, row in enumerate(ranked) for x in (row[0], new)]
+    return [row[0] for row in sizes.orderBy(F.col("_m").desc_nulls_last(), F.desc("_n"), raw).select(raw).collect()]
+
+
+def _renumber(df: DataFrame, raw: str, order: Sequence[int], out: str) -> DataFrame:
+    if not order:
+        return df.withColumnRenamed(raw, out)
+    pairs = [F.lit(x) for new, old in enumerate(order) for x in (old, new)]
     return df.withColumn(out, F.try_element_at(F.create_map(*pairs), F.col(raw))).drop(raw)

@@ -20,7 +20,7 @@ from ..operators.encode import encode_numeric
 from ..operators.enrich import KeywordAnnotator, annotate_replies, enrich
 from ..operators.profile import group_means
 from ..schemas import FEEDS
-from ..sources.snapshots import at_snapshot, read_snapshots, split_corrupt
+from ..sources.snapshots import at_snapshot, read_snapshots, split_corrupt, today_utc
 from ..sources.tables import PARTITION, append_snapshot, ensure_database, ensure_table, raw_table_schema, replace_table
 from .clean import clean_contributors, clean_repos, flag_commits, language_summary
 from .features import ml_ready, readme_summary, repo_features
@@ -59,14 +59,20 @@ def load_snapshot(spark: SparkSession, base: str, date: int, lines: bool = False
 def run_weekly(
     spark: SparkSession,
     base: str,
-    date: int,
-    as_of: dt.date | str,
+    date: int | None = None,
+    as_of: dt.date | str | None = None,
     repo_limit: int | None = None,
     annotator: KeywordAnnotator | Callable[[str], str | None] | None = None,
     clusters: int = 4,
     lines: bool = False,
 ) -> dict[str, DataFrame]:
-    """Run all steps for one snapshot and return the tables written."""
+    """Run all steps for one snapshot and return the tables written.
+
+    The date defaults to today (UTC); ages are counted up to ``as_of``, by
+    default the snapshot date.
+    """
+    date = date or today_utc()
+    as_of = as_of or dt.datetime.strptime(str(date), "%Y%m%d").date()
     setup(spark)
     load_snapshot(spark, base, date, lines)
     raw = {feed: at_snapshot(spark.table(f"{RAW}.{feed}"), date) for feed in FEEDS}

@@ -42,6 +42,8 @@ def test_rank_matches_brute_force_on_every_path(spark, skewed_rows, hot_rows):
     assert found == expected_ranks(skewed_rows)
     assert ranked.where("core <> (rank <= 10)").count() == 0
     assert ranked.columns == ["grp", "v", "login", "rank", "total", "core"]
+    plan = explain(ranked)
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
 def test_spread_path_cuts_a_big_group_over_partitions(spark, skewed_rows):

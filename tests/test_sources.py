@@ -155,7 +155,8 @@ def base(tmp_path_factory):
 
 def test_weekly_job(spark, base):
     folder, date, names = base
-    out = sg.run_weekly(spark, str(folder), date, "2024-01-07")
+    out = sg.run_weekly(spark, str(folder), date)
+    assert out["repos_summary"].where("repo_age_days <> datediff(date'2024-01-07', created_at)").count() == 0
     assert out["repos_summary"].count() == len(names)
     assert out["commits_clean"].where("is_bot_commit").count() == 0 and out["commits_flagged"].where("is_bot_commit").count() > 0
     ready = {r.repo_name: r for r in out["repo_ml_ready"].collect()}
@@ -175,3 +176,43 @@ def test_weekly_job(spark, base):
 def test_weekly_job_goes_on_without_a_feed(spark, base, tmp_path):
     outcome = sg.load_snapshot(spark, str(tmp_path), 20230101)
     assert all(v.startswith("skipped") for v in outcome.values()) and len(outcome) == len(FEEDS)
+
+
+def test_weekly_job_with_an_annotator(spark, base):
+    folder, date, names = base
+
+    def annotator(text):
+        return '{"category": "Web Tools", "complexity_level": "advanced", "complexity_score": 3}'
+
+    out = sg.run_weekly(spark, str(folder), date, repo_limit=10, annotator=annotator, clusters=2)
+    assert out["repo_ml_ready"].count() == 10
+    assert out["repo_enriched"].where("category = 'Web Tools'").count() == sum(n in names[:20] for n in names[-10:])
+
+
+class FakeSession:
+    """A session that names, or does not name, a checkpoint folder."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = self
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.master = master
+        self.used = None
+
+    def getCheckpointDir(self):
+        return None
+
+    def setCheckpointDir(self, folder):
+        self.used = folder
+
+
+def test_checkpoint_folder():
+    from stargauge.session import ensure_checkpoint_dir
+
+    named = FakeSession("yarn", "hdfs:///shared/checkpoints")
+    ensure_checkpoint_dir(named)
+    assert named.used == "hdfs:///shared/checkpoints"
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    ensure_checkpoint_dir(local)
+    assert local.used
