@@ -10,7 +10,7 @@ rows in the partitions before it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,32 +42,38 @@ def rank_in_group(
     rank: str = "rank",
     totals: Mapping[str, Column] | None = None,
     hot_rows: int = HOT_ROWS,
-    count_from: DataFrame | None = None,
+    first: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add a gap-free 1-based rank per group, and group sums of the ``totals`` expressions.
 
     ``order_by`` must be a total order within a group. With an empty ``group``
-    the whole table is numbered. ``count_from`` may name a cheaper table with the
-    same group columns for finding the big groups, such as the input of a
-    deduplication (its counts can only be higher).
+    the whole table is numbered.
+
+    ``first`` is a step to run before the ranking that keeps each group to
+    itself, such as a deduplication on the group plus more keys. Both then run on
+    one exchange, by the leading group column; rows under a big value of that
+    column take the step's own exchange and the spread ranking instead.
     """
     totals = dict(totals or {})
     if not group:
-        one = rank_in_group(
-            df.withColumn("_all", F.lit(0)), ["_all"], order_by, rank, totals, hot_rows,
-            None if count_from is None else count_from.withColumn("_all", F.lit(0)),
-        )
+        one = rank_in_group(df.withColumn("_all", F.lit(0)), ["_all"], order_by, rank, totals, hot_rows, first)
         return one.drop("_all")
 
-    hot = hot_groups(df if count_from is None else count_from, group, hot_rows)
+    def ordinary(rows: DataFrame) -> DataFrame:
+        ready = first(rows.repartition(group[0])) if first else rows
+        return _rank_by_window(ready, group, order_by, rank, totals)
+
+    near = list(group[:1]) if first else list(group)
+    hot = hot_groups(df, near, hot_rows)
     if hot is None:
-        return _rank_by_window(df, group, order_by, rank, totals)
+        return ordinary(df)
 
-    keys = hot.toDF(*[f"_hot_{c}" for c in group])
-    same = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in group]
+    keys = hot.toDF(*[f"_hot_{c}" for c in near])
+    same = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in near]
     # Bounded broadcast: never more than MAX_HOT_GROUPS keys.
-    cold = _rank_by_window(df.join(F.broadcast(keys), same, "left_anti"), group, order_by, rank, totals)
-    spread = _rank_by_position(df.join(F.broadcast(keys), same, "left_semi"), group, order_by, rank, totals)
+    cold = ordinary(df.join(F.broadcast(keys), same, "left_anti"))
+    big = df.join(F.broadcast(keys), same, "left_semi")
+    spread = _rank_by_position(first(big) if first else big, group, order_by, rank, totals)
     return cold.unionByName(spread)
 
 

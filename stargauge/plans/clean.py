@@ -102,21 +102,23 @@ def clean_contributors(raw: DataFrame, date: int | None = None, max_per_repo: in
     Ranks count the invalid rows too and so may have gaps; shares are over the
     valid rows only.
     """
-    rows = at_snapshot(raw, date)
-    once = latest_per_key(
-        rows, ["repo_full_name", "contributor_login", "snapshot_date"], "contributions",
-        [F.col("contributor_id").asc_nulls_last(), F.col("html_url")],
-    )
-    named = once.withColumn("contributor_login", F.coalesce("contributor_login", F.lit(X.MISSING_LOGIN)))
-    flagged = named.withColumn(
-        "data_quality_flag",
-        X.contributor_quality(F.col("contributor_login"), F.col("contributions"), F.col("contributor_id")),
-    )
     valid = F.col("data_quality_flag") == "valid"
+
+    def once_flagged(rows: DataFrame) -> DataFrame:
+        once = latest_per_key(
+            rows, ["repo_full_name", "snapshot_date", "contributor_login"], "contributions",
+            [F.col("contributor_id").asc_nulls_last(), F.col("html_url")],
+        )
+        named = once.withColumn("contributor_login", F.coalesce("contributor_login", F.lit(X.MISSING_LOGIN)))
+        return named.withColumn(
+            "data_quality_flag",
+            X.contributor_quality(F.col("contributor_login"), F.col("contributions"), F.col("contributor_id")),
+        )
+
     ranked = rank_and_share(
-        flagged, ["repo_full_name", "snapshot_date"], "contributions", ["contributor_login", "html_url"],
+        at_snapshot(raw, date), ["repo_full_name", "snapshot_date"], "contributions", ["contributor_login", "html_url"],
         rank="contribution_rank", total="_total", core="is_core_contributor", counted=valid,
-        hot_rows=hot_rows, count_from=rows,
+        hot_rows=hot_rows, first=once_flagged,
     )
     out = ranked.where(valid).select(
         "repo_full_name", "contributor_login", "contributor_id", "contributions", "html_url", "followers_url",
