@@ -8,6 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import identify_languages, learn_languages
+from .set_join import jaccard_groups
 from .store import new_folder, ship_package
 from .token_files import read_token_files, write_token_files
 
@@ -48,3 +50,24 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "token-files")
     write_token_files(table(spark, sf, "documents"), path, vocabulary("word_bpe_49k.json"), end_id=1)
     return read_token_files(spark, path, digest=True)
+
+
+def remainder(name: str, by: int):
+    """crc32 of the id as text, modulo ``by``; a null id gives -1."""
+    from pyspark.sql import functions as F
+
+    return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % by, F.lit(-1))
+
+
+@query()
+def op4_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held = remainder("doc_id", 3) == 1
+    model = learn_languages(docs.where(~held), vocabulary("word_bpe_49k.json"))
+    found = identify_languages(docs.select("doc_id", "text", held.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf, "documents"), size=3, percent=90)
