@@ -8,7 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import find_passages, passage_report
 from .language import identify_languages, learn_languages
+from .mixing import mixture_sizes, plan_mixture
 from .set_join import jaccard_groups
 from .store import new_folder, ship_package
 from .token_files import read_token_files, write_token_files
@@ -71,3 +73,33 @@ def op4_language(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op5_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_groups(table(spark, sf, "documents"), size=3, percent=90)
+
+
+_WORDS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS k, w[i:i + least(10, len(w)) - 1] AS win
+       FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT doc_id, i, k, w[i:i + k - 1] AS win FROM d, ks, unnest(range(1, len(w) - k + 2)) AS t(i)),
+occ AS (SELECT doc_id, i, dw.k, item_id FROM dw JOIN bw ON dw.win = bw.win),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM occ) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+""")
+def op6_benchmark_passages(spark: SparkSession, sf: str) -> DataFrame:
+    return passage_report(find_passages(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
+@query()
+def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return mixture_sizes(plan_mixture(table(spark, sf, "documents"), weights=(3, 1, 2), share=1.5, most=2.0))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import written
-from .words import U64, Words, batches, record
+from .words import U64, Words, batches, byte_letters, record
 
 UNKNOWN = "und"
 #: The model has this many languages at most, which bounds what is broadcast.
@@ -35,8 +35,7 @@ _FOUND = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
 def vocabulary_pieces(data: str) -> list[tuple[bytes, bool]]:
     """Bytes of each piece of a BPE tokenizer's JSON, and whether it ends a word."""
-    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that are written as themselves
-    byte = {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(seen))}
+    byte = {letter: b for b, letter in byte_letters().items()}
     model = json.loads(data)["model"]
     end = model.get("end_of_word_suffix") or ""
     out = set()

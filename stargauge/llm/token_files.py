@@ -20,9 +20,12 @@ by offset and decompresses only the frames it needs.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -33,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .words import batches, record
+from .words import batches, byte_letters, record
 
 MAGIC, VERSION = b"TOKZ", 1
 _HEAD = "<4sI32sII"
@@ -53,9 +56,19 @@ _DDL = {
 }
 
 
+#: The normalizer and the word pattern under which a lower-case run of letters is one token of the model.
+_LOWERING = ["NFC", "Replace", "Lowercase"]
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class _Encoder:
     """Ids of texts. The tokenizer drops white space and joins nothing across it, so each distinct run between
-    ASCII white space is encoded once and remembered, up to ``limit`` runs."""
+    ASCII white space is encoded once and remembered, up to ``limit`` runs.
+
+    Where the tokenizer lower-cases and takes letters as words, A-Z are lowered and a full stop, comma or
+    exclamation mark that ends a run is cut off first, which leaves fewer distinct runs; and runs of plain lower-case
+    letters, which no normalizing changes, go to the merges of the model directly.
+    """
 
     def __init__(self, data: str, end_id: int, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
@@ -63,15 +76,37 @@ class _Encoder:
 
         self.tokenizer, self.end, self.limit = Tokenizer.from_str(data), np.uint32(end_id).tobytes(), limit
         self.known: dict[bytes, bytes] = {}
+        config = json.loads(data)
+        steps, cuts = ((config.get(k) or {}) for k in ("normalizer", "pre_tokenizer"))
+        first, *rest = cuts.get("pretokenizers", [{}])
+        self.plain = (
+            [x["type"] for x in steps.get("normalizers", [])] == _LOWERING
+            and (first.get("pattern") or {}).get("Regex") == _WORD_PATTERN
+            and [(x["type"], x.get("add_prefix_space"), x.get("use_regex")) for x in rest] == [("ByteLevel", False, False)]
+        )
+        self.letters = byte_letters()
+
+    def _ids(self, new: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
+        plain = re.compile("[a-zß-öø-ÿ]+").fullmatch
+        rest = []
+        for run in new:
+            if self.plain and plain(run.decode()):
+                yield run, [t.id for t in self.tokenizer.model.tokenize(run.decode("latin-1").translate(self.letters))]
+            else:
+                rest.append(run)
+        encoded = self.tokenizer.encode_batch_fast([run.decode() for run in rest], add_special_tokens=False)
+        yield from ((run, e.ids) for run, e in zip(rest, encoded, strict=True))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
+        if self.plain:
+            apart = re.compile(rb"(?<=[a-z0-9])([.,!])(?=[ \n])").sub
+            texts = [apart(rb" \1", t if b"<|" in t else t.lower()) for t in texts]  # <|: names of special tokens stay
         split = [text.split() for text in texts]
         distinct = set().union(*split)
         new = [run for run in distinct if run not in self.known]
         if len(self.known) + len(new) > self.limit:  # keep what this batch uses, the frequent runs among it
             self.known = {run: self.known[run] for run in distinct if run in self.known}
-        encoded = self.tokenizer.encode_batch_fast([run.decode() for run in new], add_special_tokens=False)
-        self.known.update((run, np.array(e.ids, "<u4").tobytes()) for run, e in zip(new, encoded, strict=True))
+        self.known.update((run, array("I", ids).tobytes()) for run, ids in self._ids(new))
         find = self.known.__getitem__
         return [b"".join(map(find, runs)) + self.end for runs in split]
 

@@ -91,3 +91,9 @@ def batches(frames: Iterator[pa.RecordBatch], rows: int = 1 << 14, size: int = 1
 
 def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones themselves, others from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(seen))}
