@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import find_passages, passage_report
 from .language import identify_languages, learn_languages
 from .mixing import mixture_sizes, plan_mixture
+from .quality import judge_quality, learn_quality
 from .set_join import jaccard_groups
 from .store import new_folder, ship_package
 from .token_files import read_token_files, write_token_files
@@ -103,3 +104,9 @@ def op6_benchmark_passages(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixture_sizes(plan_mixture(table(spark, sf, "documents"), weights=(3, 1, 2), share=1.5, most=2.0))
+
+
+@query()
+def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return judge_quality(docs, learn_quality(docs, table(spark, sf, "labels")))
