@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import find_passages, passage_report
 from .language import identify_languages, learn_languages
 from .mixing import mixture_sizes, plan_mixture
+from .ngram_model import score_texts, train_ngrams
 from .quality import judge_quality, learn_quality
 from .set_join import jaccard_groups
 from .store import new_folder, ship_package
@@ -110,3 +111,10 @@ def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return judge_quality(docs, learn_quality(docs, table(spark, sf, "labels")))
+
+
+@query()
+def op1_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held = remainder("doc_id", 7) == 2
+    return score_texts(docs, train_ngrams(docs.where(~held)), held)
