@@ -7,8 +7,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .decontaminate import find_passages, passage_report
+from .fuzzy_lines import dedup_lines
 from .language import identify_languages, learn_languages
 from .mixing import mixture_sizes, plan_mixture
 from .ngram_model import score_texts, train_ngrams
@@ -58,8 +60,6 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def remainder(name: str, by: int):
     """crc32 of the id as text, modulo ``by``; a null id gives -1."""
-    from pyspark.sql import functions as F
-
     return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % by, F.lit(-1))
 
 
@@ -118,3 +118,9 @@ def op1_lm_score(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     held = remainder("doc_id", 7) == 2
     return score_texts(docs, train_ngrams(docs.where(~held)), held)
+
+
+@query()
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))

@@ -22,12 +22,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.ranking import rank_in_group
 from .store import small, written
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def word_count(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Runs of bytes other than ASCII white space; null has none."""
     for column in columns:
