@@ -14,6 +14,7 @@ from .fuzzy_lines import dedup_lines
 from .language import identify_languages, learn_languages
 from .mixing import mixture_sizes, plan_mixture
 from .ngram_model import score_texts, train_ngrams
+from .private_data import find_private_data, span_report
 from .quality import judge_quality, learn_quality
 from .set_join import jaccard_groups
 from .store import new_folder, ship_package
@@ -124,3 +125,8 @@ def op1_lm_score(spark: SparkSession, sf: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@query()
+def op8_private_data(spark: SparkSession, sf: str) -> DataFrame:
+    return span_report(find_private_data(table(spark, sf, "documents")))
