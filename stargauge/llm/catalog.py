@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from .decontaminate import find_passages, passage_report
 from .fuzzy_lines import dedup_lines
-from .language import identify_languages, learn_languages
+from .language import identify_languages, learn_languages, vocabulary_pieces
 from .mixing import mixture_sizes, plan_mixture
 from .ngram_model import score_texts, train_ngrams
 from .private_data import find_private_data, span_report
 from .quality import judge_quality, learn_quality
+from .secrets_scan import dictionary_of, find_candidates, judge_findings, label_by_form, train_forest
 from .set_join import jaccard_groups
-from .store import new_folder, ship_package
+from .store import new_folder, ship_package, written
 from .token_files import read_token_files, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +131,11 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op8_private_data(spark: SparkSession, sf: str) -> DataFrame:
     return span_report(find_private_data(table(spark, sf, "documents")))
+
+
+@query()
+def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    findings = written(find_candidates(docs, dictionary_of(vocabulary_pieces(vocabulary("word_bpe_49k.json")))), "findings")
+    model = train_forest(label_by_form(findings.where(remainder("doc_id", 3) != 1)))
+    return judge_findings(findings, model)
