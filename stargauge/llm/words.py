@@ -23,7 +23,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     for shift, factor in _ROUNDS:
         x ^= x >> U64(shift)
         x *= U64(factor)
-    return x ^ (x >> U64(33))
+    x ^= x >> U64(33)
+    return x
 
 
 def texts_of(column: pa.Array) -> list[bytes]:
@@ -67,21 +68,26 @@ class Words:
 
 def shingle_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text of every run of ``size`` words; a shorter text that has words counts as one run."""
-    word = words.hashes()[words.ids] if len(words.ids) else np.zeros(0, U64)
     counts, starts = words.counts, words.starts[:-1]
     runs = np.where(counts == 0, 0, np.maximum(counts - size + 1, 1))
     owner = np.repeat(np.arange(len(counts)), runs)
-    first = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs) + starts[owner]
-    value = np.minimum(counts[owner], size).astype(U64)
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs - starts, runs)
+    short = np.flatnonzero(counts[owner] < size)
+    word = words.hashes()
+    value = np.full(len(owner), size, U64)
+    value[short] = counts[owner[short]].astype(U64)
     for k in range(size):
-        inside = k < counts[owner]
-        at = np.where(inside, first + k, 0)
-        step = mix(value + (word[at] if len(word) else U64(0)) + U64(k + 1))
-        value = np.where(inside, step, value)
+        step = word[words.ids[np.minimum(at + k, len(words.ids) - 1)]] if len(owner) else value
+        step += value
+        step += U64(k + 1)
+        step = mix(step)
+        beyond = short[k >= counts[owner[short]]]
+        step[beyond] = value[beyond]
+        value = step
     return value, owner
 
 
-def batches(frames: Iterator[pa.RecordBatch], rows: int = 1 << 14, size: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+def batches(frames: Iterator[pa.RecordBatch], rows: int = 1 << 14, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most ``rows`` rows and about ``size`` bytes, so that long texts fit in memory."""
     for frame in frames:
         step = max(1, min(rows, int(frame.num_rows * size / max(frame.nbytes, 1))))
