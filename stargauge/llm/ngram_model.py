@@ -219,7 +219,7 @@ def train_ngrams(docs: DataFrame, order: int = 2, base: float = 1.5, prior: floa
     n_segments = 1 << min(24, max(0, int(size // 6 // segment_tokens)).bit_length())
 
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in batches(frames, 1 << 15, 1 << 25):
+        for frame in batches(frames, 1 << 14, 1 << 23):
             tokens, starts = _tokens(texts_of(frame.column(0)))
             parts = [(k + 1, *np.unique(value, return_counts=True)) for k, value in enumerate(_ngrams(tokens, starts, order))]
             # The history of a first word is no n-gram of a text; a single BEGIN (order 0) is not among the words either.
@@ -316,7 +316,7 @@ def _score_by_broadcast(own: DataFrame, model: NgramModel, numbers: tuple) -> Da
         def ask(keys):
             return segments.levels(keys), segments.exact(keys)
 
-        for frame in batches(frames, 1 << 14, 1 << 23):
+        for frame in batches(frames, 1 << 14, 1 << 22):
             tokens, starts = _tokens(texts_of(frame.column(2)))
             yield _scores(frame.column(0), frame.column(1), tokens, starts, numbers, ask)
 
