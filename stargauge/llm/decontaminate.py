@@ -39,7 +39,8 @@ def find_passages(
     docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit (words inside an occurrence), items (sorted item ids as strings).
+    """Per row of ``docs``: doc_id, version (xxhash64 of the text), n_words, n_hit (words inside an occurrence) and items
+    (sorted item ids as strings).
 
     Documents without words, and all documents when no item has words, have no hit. Items without words or with a
     null id are never found; items with equal texts are all found. Rows with equal id and text get equal results.
@@ -74,7 +75,7 @@ def find_passages(
     all_rows = written(all_rows, "shingle-matches")
     every, found = all_rows.where("at = -1").select("doc_id", "version", "n_words"), all_rows.where("at >= 0")
     if not sizes:
-        return every.select("doc_id", F.col("n_words").cast("long"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
+        return every.select("doc_id", "version", F.col("n_words").cast("long"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
 
     pieces = parts(sizes[0])
     for size in sizes[1:]:
@@ -103,7 +104,15 @@ def find_passages(
     hits = occurrences.select(F.col("doc_id").alias("h_id"), F.col("version").alias("h_version"), "n_hit")
     hits = hits.join(in_items, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("version") == F.col("h_version"))).select("h_id", "h_version", "n_hit", "items")
     out = every.join(hits, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("version") == F.col("h_version")), "left")
-    return out.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return out.select("doc_id", "version", F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no passage of ``items`` occurs; the columns stay as they are."""
+    hit = find_passages(docs, items, window, shingle, id_col, text_col).where("n_hit > 0")
+    hit = written(hit.select(F.col("doc_id").alias("__id"), F.col("version").alias("__version")).distinct(), "contaminated")
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__version"))
+    return docs.join(small(hit, hit.count()), same, "left_anti")
 
 
 def passage_report(found: DataFrame) -> DataFrame:
