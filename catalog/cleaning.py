@@ -269,13 +269,25 @@ FROM orders GROUP BY 1""")
 def snapshot_append(spark, sf):
     """One snapshot per year, stacked into one table; then figures per snapshot."""
     orders = table(spark, sf, "orders")
-    stacked = None
-    for year in range(1995, 2002):  # the declared snapshot dates; each filter reaches the scan
-        inside = (F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) & (
-            F.col("o_orderdate") < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz")
-        )
-        part = orders.where(inside).withColumn("snapshot_date", F.lit(year * 10000 + 101).cast("long"))
-        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    dated = orders.withColumn("snapshot_date", (F.year("o_orderdate") * 10000 + 101).cast("long"))
+    old = F.coalesce(F.col("snapshot_date") < 19980101, F.lit(False))
+    stacked = sg.stack_snapshots([dated.where(old), dated.where(~old).drop("o_orderpriority")])
     return rounded(stacked.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("o_custkey").alias("repos"), F.sum("o_totalprice").alias("stars")
     ), 2)
+
+
+@query("""
+WITH stacked AS (
+  SELECT p_brand, p_type, p_size, 20240107 AS snapshot_date FROM part
+  UNION ALL SELECT p_brand, p_type, p_size + 1, 20240114 FROM part WHERE p_size > 10),
+sums AS (SELECT p_brand AS repo_full_name, p_type AS language, sum(p_size) AS bytes FROM stacked
+         WHERE snapshot_date = (SELECT max(snapshot_date) FROM stacked) GROUP BY 1, 2)
+SELECT repo_full_name, language, bytes, row_number() OVER (PARTITION BY repo_full_name ORDER BY bytes DESC, language) AS language_rank
+FROM sums""")
+def languages_latest_snapshot(spark, sf):
+    """Two stacked snapshots; without a date the languages are those of the latest."""
+    part = table(spark, sf, "part").select(F.col("p_brand").alias("repo_full_name"), F.col("p_type").alias("language"), F.col("p_size").cast("long").alias("bytes"))
+    first = part.withColumn("snapshot_date", F.lit(20240107).cast("long"))
+    second = part.where("bytes > 10").withColumn("bytes", F.col("bytes") + 1).withColumn("snapshot_date", F.lit(20240114).cast("long"))
+    return sg.language_details(sg.stack_snapshots([first, second])).drop("percentage")

@@ -19,7 +19,9 @@ from .plans.clean import (
 from .plans.features import (
     commit_profile, contributor_profile, doc_completeness, ml_ready, readme_features, readme_summary, repo_features,
 )
-from .plans.weekly import load_snapshot, run_weekly, setup
-from .sources.snapshots import at_snapshot, read_snapshots, split_corrupt, today_utc, write_snapshot
+from .plans.weekly import Databases, load_snapshot, run_weekly, setup
+from .sources.snapshots import (
+    at_snapshot, has_snapshot, one_snapshot, read_snapshots, split_corrupt, stack_snapshots, today_utc, write_snapshot,
+)
 from .sources.tables import append_snapshot, ensure_database, ensure_table, replace_table
 from .streaming.ingest import ingest_available, merge_files, snapshot_stream

@@ -77,9 +77,9 @@ def contributor_quality(login: Column, contributions: Column, contributor_id: Co
 
 def parse_list_text(text: Column) -> Column:
     """Items of a printed list such as ``['a' 'b']`` or ``["a", "b"]``; nothing printed gives an empty list."""
-    body = F.regexp_replace(F.trim(text), r"^\[([\s\S]*)\]\z", "$1")
+    body = F.regexp_replace(text, r"^\s*\[([\s\S]*)\]\s*\z", "$1")
     parts = F.split(F.translate(body, '"', "'"), r"'\s*,?\s*'")
-    items = F.transform(parts, lambda p: F.trim(F.regexp_replace(F.trim(p), r"^'+|'+\z", "")))
+    items = F.transform(parts, lambda p: F.regexp_replace(p, r"^\s*'*\s*|\s*'*\s*\z", ""))
     kept = F.filter(items, lambda p: (p != "") & (p != "None"))
     empty = F.array().cast("array<string>")
     return F.when(text.isNull() | text.isin("None", "nan", "[]", ""), empty).otherwise(kept)

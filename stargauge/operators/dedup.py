@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from .ranking import rank_in_group
 
-GROUP_LIMIT = 1000  # default of spark.sql.optimizer.windowGroupLimitThreshold
-
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str, tiebreak: Sequence[str | Column] = ()) -> DataFrame:
     """Keep, per key, the row with the largest ``order_by``; nulls come last.
 
@@ -25,10 +23,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str, tiebreak:
 def top_per_group(df: DataFrame, group: Sequence[str], order_by: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of every group, pruned before the exchange as above.
 
-    Spark prunes up to 1000 rows per group; beyond that the groups are ranked in
-    full, big ones spread over tasks.
+    Spark prunes up to the ``n`` of its own setting; for a larger ``n`` the groups
+    are ranked in full, spread over tasks.
     """
-    if n > GROUP_LIMIT:
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
         return rank_in_group(df, group, order_by, "_place").where(F.col("_place") <= n).drop("_place")
     return _first_rows(df, Window.partitionBy(*group).orderBy(*order_by), n)
 

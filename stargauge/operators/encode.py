@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ranking import HOT_ROWS, rank_in_group
+from .ranking import rank_in_group
 
 
 def columns_by_kind(df: DataFrame) -> dict[str, list[str]]:
@@ -29,19 +29,19 @@ def columns_by_kind(df: DataFrame) -> dict[str, list[str]]:
     return kinds
 
 
-def label_codes(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Codes table (column, value, code): 1, 2, ... in alphabetic order per column.
 
     All columns are coded in one scan. Distinct values are combined before the
-    shuffle, and a column with very many of them is numbered by a global sort
-    rather than in one task, so there is no limit on their number.
+    shuffle and numbered by a global sort, whose rows are pinned; the joins of
+    ``label_encode`` read the pinned codes and never the table again.
     """
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
     values = df.select(F.inline(cells)).where(F.col("value").isNotNull()).distinct()
-    return rank_in_group(values, ["column"], [F.col("value")], "code", hot_rows=hot_rows)
+    return rank_in_group(values, ["column"], [F.col("value")], "code")
 
 
-def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_label", hot_rows: int = HOT_ROWS) -> DataFrame:
+def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_label") -> DataFrame:
     """Replace text columns by their codes; null becomes 0.
 
     Plain equi-joins: Spark broadcasts a code table that turns out small and
@@ -49,7 +49,7 @@ def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_label",
     """
     if not columns:
         return df
-    codes = label_codes(df, columns, hot_rows)
+    codes = label_codes(df, columns)
     for c in columns:
         own = codes.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("code").alias("_code"))
         df = (
@@ -60,7 +60,7 @@ def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_label",
     return df
 
 
-def encode_numeric(df: DataFrame, key: str, exclude: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+def encode_numeric(df: DataFrame, key: str, exclude: Sequence[str] = ()) -> DataFrame:
     """The key and one number per other column.
 
     Numbers and flags keep their value with 0 for null, times become whole
@@ -77,4 +77,4 @@ def encode_numeric(df: DataFrame, key: str, exclude: Sequence[str] = (), hot_row
         *kinds["text"],
         *[F.to_json(c).alias(c) for c in kinds["list"]],
     )
-    return label_encode(plain, text, hot_rows=hot_rows)
+    return label_encode(plain, text)

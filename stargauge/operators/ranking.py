@@ -1,11 +1,8 @@
-"""Exact ranks and group totals that hold up when one group is a third of the table.
+"""Exact ranks and group totals, one way for groups of every size.
 
-A plain ranking window sends a whole group to one task. Here the few groups that
-are too big for that are found first (one counting pass over the group columns,
-combined before the shuffle). Ordinary groups take the window. Big groups are
-sorted globally, which cuts them over many tasks, and their ranks are put
-together from the row position inside each sorted partition plus the number of
-rows in the partitions before it.
+The rows are sorted globally by group and order, which cuts a big group over many tasks, and pinned. A row's rank is
+its position in its sorted partition plus an offset: the rows of its group in the partitions before. Offsets are one
+row for each group and partition; they join back by key.
 """
 
 from __future__ import annotations
@@ -17,85 +14,37 @@ from pyspark.sql import functions as F
 
 from ..session import stable
 
-# A group above this many rows is spread over tasks instead of ranked in one.
-HOT_ROWS = 1_000_000
-# At most this many groups are treated as hot, largest first; a group beyond
-# that holds less than 1/10,000 of the table, an ordinary task's share.
-MAX_HOT_GROUPS = 10_000
-
 # Row position inside a partition, in monotonically_increasing_id (documented).
 _POSITION_BITS = 33
 
 
-def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys of the groups with more than ``hot_rows`` rows; None when there are none."""
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    found = counts.orderBy(F.desc("_rows"), *group).limit(MAX_HOT_GROUPS).drop("_rows")
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
-
-
 def rank_in_group(
     df: DataFrame,
     group: Sequence[str],
     order_by: Sequence[Column],
     rank: str = "rank",
     totals: Mapping[str, Column] | None = None,
-    hot_rows: int = HOT_ROWS,
     first: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Add a gap-free 1-based rank per group, and group sums of the ``totals`` expressions.
+    """Add a gap-free 1-based rank (bigint) per group, and group sums of the ``totals`` expressions.
 
-    ``order_by`` must be a total order within a group. With an empty ``group``
-    the whole table is numbered.
-
-    ``first`` is a step to run before the ranking that keeps each group to
-    itself, such as a deduplication on the group plus more keys. Both then run on
-    one exchange, by the leading group column; rows under a big value of that
-    column take the step's own exchange and the spread ranking instead.
+    ``order_by`` must be a total order within a group. With an empty ``group`` the whole table is numbered. ``first``
+    is a step to run on the rows before, such as a deduplication. The sorted rows are written to the checkpoint
+    folder when this is called, so that both reads of them see the same partitions, also after an executor is lost.
     """
     totals = dict(totals or {})
-    if not group:
-        one = rank_in_group(df.withColumn("_all", F.lit(0)), ["_all"], order_by, rank, totals, hot_rows, first)
-        return one.drop("_all")
-
-    def ordinary(rows: DataFrame) -> DataFrame:
-        ready = first(rows.repartition(group[0])) if first else rows
-        return _rank_by_window(ready, group, order_by, rank, totals)
-
-    near = list(group[:1]) if first else list(group)
-    hot = hot_groups(df, near, hot_rows)
-    if hot is None:
-        return ordinary(df)
-
-    keys = hot.toDF(*[f"_hot_{c}" for c in near])
-    same = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in near]
-    # Bounded broadcast: never more than MAX_HOT_GROUPS keys.
-    cold = ordinary(df.join(F.broadcast(keys), same, "left_anti"))
-    big = df.join(F.broadcast(keys), same, "left_semi")
-    spread = _rank_by_position(first(big) if first else big, group, order_by, rank, totals)
-    return cold.unionByName(spread)
-
-
-def _rank_by_window(df, group, order_by, rank, totals) -> DataFrame:
-    whole = Window.partitionBy(*group)
-    sums = [F.sum(expr).over(whole).alias(name) for name, expr in totals.items()]
-    return df.select("*", F.row_number().over(whole.orderBy(*order_by)).alias(rank), *sums)
-
-
-def _rank_by_position(df, group, order_by, rank, totals) -> DataFrame:
+    rows = first(df) if first else df
     placed = stable(
-        df.orderBy(*group, *order_by)
+        rows.orderBy(*group, *order_by)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", _POSITION_BITS))
     )
-    # One row per group and sorted partition: at most hot groups + partitions rows.
     pieces = placed.groupBy(*group, "_part").agg(
         F.min("_place").alias("_start"),
         F.count(F.lit(1)).alias("_rows"),
         *[F.sum(expr).alias(name) for name, expr in totals.items()],
     )
-    whole = Window.partitionBy(*group)
+    whole = Window.partitionBy(*(group or [F.lit(0)]))
     before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         *[F.col(c).alias(f"_of_{c}") for c in group],
@@ -104,9 +53,7 @@ def _rank_by_position(df, group, order_by, rank, totals) -> DataFrame:
         *[F.sum(name).over(whole).alias(name) for name in totals],
     )
     same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group] + [F.col("_part") == F.col("_of_part")]
-    return placed.join(F.broadcast(offsets), same).select(
-        *df.columns, (F.col("_place") + F.col("_shift")).cast("int").alias(rank), *totals
-    )
+    return placed.join(offsets, same).select(*rows.columns, (F.col("_place") + F.col("_shift")).alias(rank), *totals)
 
 
 def rank_and_share(

@@ -15,7 +15,6 @@ from ..functions.numbers import level_position
 from .ranking import rank_in_group
 from .topk import top_k_semi, value_counts
 
-_SALTS = 32  # parts a group is cut into for a join to its own figures
 
 
 def _not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -36,13 +35,20 @@ def declared_counts(df: DataFrame, column: str, labels: Sequence[str], count: st
     )
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str], k: int | None = None) -> DataFrame:
+def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str] | None = None, k: int | None = None) -> DataFrame:
     """Counts of row by column values, the ``k`` most frequent rows only, fullest row first.
 
-    The column values are a declared list, so no pass is needed to discover them.
+    There is a column for every value found among these rows, in alphabetic
+    order; at most ``spark.sql.pivotMaxValues``, beyond which this raises.
+    Listed ``values`` come first, in their order, with 0 where nobody has them.
     """
     pairs = _not_null(df.select(row, column), [row, column])
     kept = top_k_semi(pairs, row, k) if k else pairs
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    found = [r[0] for r in kept.select(column).distinct().orderBy(column).limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values, too many for columns")
+    values = [*(values or []), *(v for v in found if v not in set(values or []))]
     table = kept.groupBy(row).agg(
         F.count(F.lit(1)).alias("_total"),
         *[F.count_if(F.col(column) == v).alias(v) for v in values],
@@ -124,7 +130,7 @@ def flow_nodes(pairs: DataFrame, source: str) -> DataFrame:
 
 def flow_links(pairs: DataFrame, source: str) -> DataFrame:
     """The pairs as (source index, target index, value)."""
-    nodes = flow_nodes(pairs, source)
+    nodes = flow_nodes(pairs, source)  # numbered once; both joins read the pinned nodes
     left = nodes.where("side = 0").select(F.col("node").alias(source), F.col("node_index").alias("source_index"))
     right = nodes.where("side = 1").select(F.col("node").alias("item"), F.col("node_index").alias("target_index"))
     return pairs.join(left, source).join(right, "item").select("source_index", "target_index", F.col("n").alias("value"))
@@ -141,18 +147,16 @@ def histogram(df: DataFrame, column: str, bins: int = 20, by: Sequence[str] = ()
     """Equal-width bins between the smallest and largest value, per group if asked.
 
     Only filled bins are returned. A column with one value has a single bin.
-    Per group, equal values are counted first and every group is joined to its
-    span in salted parts, so neither a big group nor a frequent value ends up in
-    one task.
+    Per group, the spans are combined before the shuffle and joined to the rows
+    by key: Spark broadcasts them if they turn out small and splits a big group
+    otherwise. Only spans and bins cross an exchange of their own.
     """
     rows = df.select(*by, F.col(column).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     ends = [F.min("_x").alias("_lo"), F.max("_x").alias("_hi")]
     if by:
-        counts = rows.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_n"))
-        spans = counts.groupBy(*by).agg(*ends).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-        salted = counts.withColumn("_salt", F.pmod(F.hash("_x"), F.lit(_SALTS)))
-        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*by, "_salt"]]
-        spanned = salted.alias("r").join(spans.alias("s"), same).select("r.*", "_lo", "_hi")
+        spans = rows.groupBy(*by).agg(*ends)
+        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by]
+        spanned = rows.alias("r").join(spans.alias("s"), same).select("r.*", F.lit(1).alias("_n"), "_lo", "_hi")
     else:
         span = rows.agg(*ends).select(F.struct("_lo", "_hi")).scalar()
         spanned = rows.select("_x", F.lit(1).alias("_n"), span.alias("_span")).select("_x", "_n", "_span._lo", "_span._hi")

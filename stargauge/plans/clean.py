@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.numbers import age_days, as_time, ratio, share_pct
 from ..operators.dedup import latest_per_key, top_per_group
-from ..operators.ranking import HOT_ROWS, rank_and_share
+from ..operators.ranking import rank_and_share
 from ..schemas import LANGUAGE_FAMILIES
-from ..sources.snapshots import at_snapshot
+from ..sources.snapshots import at_snapshot, one_snapshot
 
-# A rounded share above 5 % belongs to one of the 19 largest parts of a whole.
-_LARGE_PARTS = 20
+
+# After the address, the latest row of a repository is the one with the larger measures, then the later texts.
+_MEASURES = ("stargazers_count", "forks_count", "watchers_count", "open_issues_count", "created_at", "language", "description")
 
 
 def clean_repos(raw: DataFrame, as_of: dt.date | str, date: int | None = None, limit: int | None = None, tiebreak: Sequence[str | Column] = ()) -> DataFrame:
@@ -32,7 +33,7 @@ def clean_repos(raw: DataFrame, as_of: dt.date | str, date: int | None = None, l
         "full_name", "stargazers_count", "forks_count", "language", "description", "html_url",
         "updated_at", "snapshot_date", "created_at", "watchers_count", "open_issues_count",
     )
-    latest = latest_per_key(rows, ["full_name", "snapshot_date"], "updated_at", tiebreak or [F.col("html_url")])
+    latest = latest_per_key(rows, ["full_name", "snapshot_date"], "updated_at", tiebreak or [F.col("html_url"), *[F.col(c).desc_nulls_last() for c in _MEASURES]])
     age = age_days(as_of, F.col("created_at"))
     out = latest.select(
         F.col("full_name").alias("name"),
@@ -96,7 +97,7 @@ def clean_commits(raw: DataFrame, date: int | None = None, drop_bots: bool = Tru
     return out.orderBy(F.col("commit_timestamp").desc_nulls_last(), "sha").limit(limit) if limit else out
 
 
-def clean_contributors(raw: DataFrame, date: int | None = None, max_per_repo: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def clean_contributors(raw: DataFrame, date: int | None = None, max_per_repo: int | None = None) -> DataFrame:
     """Valid contributors with rank, core flag and share of the repository's contributions.
 
     Ranks count the invalid rows too and so may have gaps; shares are over the
@@ -118,7 +119,7 @@ def clean_contributors(raw: DataFrame, date: int | None = None, max_per_repo: in
     ranked = rank_and_share(
         at_snapshot(raw, date), ["repo_full_name", "snapshot_date"], "contributions", ["contributor_login", "html_url"],
         rank="contribution_rank", total="_total", core="is_core_contributor", counted=valid,
-        hot_rows=hot_rows, first=once_flagged,
+        first=once_flagged,
     )
     out = ranked.where(valid).select(
         "repo_full_name", "contributor_login", "contributor_id", "contributions", "html_url", "followers_url",
@@ -130,14 +131,15 @@ def clean_contributors(raw: DataFrame, date: int | None = None, max_per_repo: in
     return out
 
 
-def language_totals(raw: DataFrame, group: str = "repo_full_name", weight: str = "bytes") -> DataFrame:
-    return raw.groupBy(group).agg(F.sum(weight).alias("total_bytes"))
+def language_totals(raw: DataFrame, group: str = "repo_full_name", weight: str = "bytes", date: int | None = None) -> DataFrame:
+    """Sum of the weights of a repository, in one snapshot (default: the latest)."""
+    return one_snapshot(raw, date).groupBy(group).agg(F.sum(weight).alias("total_bytes"))
 
 
-def language_details(raw: DataFrame, group: str = "repo_full_name", item: str = "language", weight: str = "bytes", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Share and rank of every language of a repository."""
-    sums = raw.groupBy(group, item).agg(F.sum(weight).alias(weight))
-    ranked = rank_and_share(sums, [group], weight, [item], rank="language_rank", total="_total", hot_rows=hot_rows)
+def language_details(raw: DataFrame, group: str = "repo_full_name", item: str = "language", weight: str = "bytes", date: int | None = None) -> DataFrame:
+    """Share and rank of every language of a repository, in one snapshot (default: the latest)."""
+    sums = one_snapshot(raw, date).groupBy(group, item).agg(F.sum(weight).alias(weight))
+    ranked = rank_and_share(sums, [group], weight, [item], rank="language_rank", total="_total")
     return ranked.select(
         group, item, weight, share_pct(F.col(weight), F.col("_total")).alias("percentage"), "language_rank"
     )
@@ -154,12 +156,11 @@ def language_summary(
     """One row per repository: top languages and shares, spread, and family flags.
 
     Totals, counts and extremes are plain aggregates, combined before the
-    shuffle. Ranks are needed for the largest languages only: at most 19 parts
-    of a whole can exceed 5 %, so the first 20 decide both the top-5 columns and
-    the share counts, and Spark prunes the rest before the exchange.
+    shuffle; the shares above a limit are counted over all languages. Ranks are
+    needed for the five largest languages only, and Spark prunes the rest before
+    the exchange. Without a date, the latest snapshot counts.
     """
-    if "snapshot_date" in raw.columns:
-        raw = at_snapshot(raw, date)
+    raw = one_snapshot(raw, date)
     sums = raw.groupBy(group, item).agg(F.sum(weight).alias("_bytes"))
     spread = sums.groupBy(group).agg(
         F.count(item).alias("language_count"),
@@ -172,12 +173,16 @@ def language_summary(
             for flag, names in families.items()
         ],
     )
-    largest = top_per_group(sums, [group], [F.col("_bytes").desc_nulls_last(), F.col(item)], _LARGE_PARTS)
+    largest = top_per_group(sums, [group], [F.col("_bytes").desc_nulls_last(), F.col(item)], 5)
     largest = largest.groupBy(group).agg(
         F.array_sort(F.collect_list(F.struct((-F.col("_bytes")).alias("b"), F.col(item).alias("l")))).alias("_top")
     )
-    both = spread.join(largest, group)
     total = F.col("total_bytes")
+    share = share_pct(F.col("_bytes"), total)
+    above = sums.select(F.col(group), "_bytes").join(spread.select(group, "total_bytes"), group).groupBy(group).agg(
+        F.count_if(share > 5).alias("languages_above_5_percent"), F.count_if(share > 10).alias("languages_above_10_percent")
+    )
+    both = spread.join(largest, group).join(above, group)
 
     def name(place: int) -> Column:
         return F.try_element_at("_top", F.lit(place))["l"]
@@ -185,9 +190,6 @@ def language_summary(
     def pct(place: int) -> Column:
         return share_pct(-F.try_element_at("_top", F.lit(place))["b"], total)
 
-    def above(limit: float) -> Column:
-        return F.size(F.filter("_top", lambda e: share_pct(-e["b"], total) > limit)).cast("long")
-
     return both.select(
         group,
         "language_count",
@@ -200,8 +202,8 @@ def language_summary(
         F.concat_ws(",", F.transform(F.slice("_top", 1, 5), lambda e: e["l"])).alias("top_5_languages"),
         "total_bytes",
         F.round(pct(1) - F.coalesce(pct(2), F.lit(0.0)), 2).alias("language_dominance_gap"),
-        above(5).alias("languages_above_5_percent"),
-        above(10).alias("languages_above_10_percent"),
+        "languages_above_5_percent",
+        "languages_above_10_percent",
         "languages_above_1000_bytes",
         share_pct(F.col("_least"), total).alias("smallest_language_pct"),
         share_pct(F.col("_most"), total).alias("largest_language_pct"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +21,11 @@ from ..operators.encode import encode_numeric
 from ..operators.enrich import KeywordAnnotator, annotate_replies, enrich
 from ..operators.profile import group_means
 from ..schemas import FEEDS
-from ..sources.snapshots import at_snapshot, read_snapshots, split_corrupt, today_utc
+from ..sources.snapshots import at_snapshot, has_snapshot, read_snapshots, split_corrupt, today_utc
 from ..sources.tables import PARTITION, append_snapshot, ensure_database, ensure_table, raw_table_schema, replace_table
 from .clean import clean_contributors, clean_repos, flag_commits, language_summary
 from .features import ml_ready, readme_summary, repo_features
 
-RAW, CLEAN, RESULTS = "raw_github_data", "cleaned_github_data", "ml_results"
 IDENTIFIERS = ["repo_url"]
 QUARANTINE = (
     T.StructType()
@@ -33,26 +33,38 @@ QUARANTINE = (
 )
 
 
-def setup(spark: SparkSession) -> None:
+@dataclass(frozen=True)
+class Databases:
+    """Names of the databases of a run; runs with other names do not touch one another."""
+
+    raw: str = "raw_github_data"
+    clean: str = "cleaned_github_data"
+    results: str = "ml_results"
+
+
+def setup(spark: SparkSession, names: Databases = Databases()) -> None:
     """Create the databases and the declared raw tables that are not there yet."""
-    for database in (RAW, CLEAN, RESULTS):
+    for database in (names.raw, names.clean, names.results):
         ensure_database(spark, database)
     for feed, schema in FEEDS.items():
-        ensure_table(spark, f"{RAW}.{feed}", raw_table_schema(schema))
-    ensure_table(spark, f"{RAW}.quarantine", QUARANTINE, partition_by=["feed", PARTITION])
+        ensure_table(spark, f"{names.raw}.{feed}", raw_table_schema(schema))
+    ensure_table(spark, f"{names.raw}.quarantine", QUARANTINE, partition_by=["feed", PARTITION])
+
 
+def load_snapshot(spark: SparkSession, base: str, date: int, lines: bool = False, names: Databases = Databases()) -> dict[str, str]:
+    """Load every feed of one date; a feed that is not there is reported as skipped and the others go on.
 
-def load_snapshot(spark: SparkSession, base: str, date: int, lines: bool = False) -> dict[str, str]:
-    """Load every feed of one date; a feed that cannot be read is reported and the others go on."""
+    The date is replaced in the raw table and in the quarantine, also by no rows. Any other failure is raised.
+    """
     outcome = {}
     for feed in FEEDS:
-        try:
-            good, bad = split_corrupt(read_snapshots(spark, base, feed, date, lines))
-            append_snapshot(good, f"{RAW}.{feed}")
-            append_snapshot(bad.withColumn("feed", F.lit(feed)), f"{RAW}.quarantine")
-            outcome[feed] = "loaded"
-        except Exception as error:  # noqa: BLE001 - one missing feed must not stop the others
-            outcome[feed] = f"skipped: {type(error).__name__}"
+        if not has_snapshot(spark, base, feed, date):
+            outcome[feed] = "skipped: no folder of this date"
+            continue
+        good, bad = split_corrupt(read_snapshots(spark, base, feed, date, lines))
+        append_snapshot(good, f"{names.raw}.{feed}", partitions=[{PARTITION: date}])
+        append_snapshot(bad.withColumn("feed", F.lit(feed)), f"{names.raw}.quarantine", partitions=[{"feed": feed, PARTITION: date}])
+        outcome[feed] = "loaded"
     return outcome
 
 
@@ -65,32 +77,45 @@ def run_weekly(
     annotator: KeywordAnnotator | Callable[[str], str | None] | None = None,
     clusters: int = 4,
     lines: bool = False,
-) -> dict[str, DataFrame]:
-    """Run all steps for one snapshot and return the tables written.
+    names: Databases = Databases(),
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Run all steps for one snapshot; returns the tables written and the outcome of each feed.
+
+    A table is replaced only if every feed it comes from was loaded; the others keep their rows and are not returned.
 
     The date defaults to today (UTC); ages are counted up to ``as_of``, by
     default the snapshot date.
     """
     date = date or today_utc()
     as_of = as_of or dt.datetime.strptime(str(date), "%Y%m%d").date()
-    setup(spark)
-    load_snapshot(spark, base, date, lines)
-    raw = {feed: at_snapshot(spark.table(f"{RAW}.{feed}"), date) for feed in FEEDS}
+    setup(spark, names)
+    outcome = load_snapshot(spark, base, date, lines, names)
+    raw = {feed: at_snapshot(spark.table(f"{names.raw}.{feed}"), date) for feed in FEEDS}
+
+    def loaded(*feeds: str) -> bool:
+        return all(outcome[f"github_{feed}_raw"] == "loaded" for feed in feeds)
 
     out: dict[str, DataFrame] = {}
 
-    def keep(name: str, df: DataFrame, database: str = CLEAN) -> DataFrame:
+    def keep(name: str, df: DataFrame, database: str = names.clean) -> DataFrame:
         out[name] = replace_table(df, f"{database}.{name}")
         return out[name]
 
     stamped = {"transformed_at": F.current_timestamp()}
-    repos = keep("repos_summary", clean_repos(raw["github_repos_raw"], as_of, limit=repo_limit))
-    flagged = keep("commits_flagged", flag_commits(raw["github_commits_raw"]))
-    keep("commits_clean", flagged.where(~F.col("is_bot_commit")))
-    contributors = keep("contributors_clean", clean_contributors(raw["github_contributors_raw"]))
-    languages = keep("language_summary", language_summary(raw["github_languages_raw"]).withColumns(stamped))
-    readme_raw = latest_per_key(raw["github_readme_raw"], ["repo_full_name"], "extracted_at", [F.col("sha")])
-    keep("readme_summary", readme_summary(readme_raw))
+    if loaded("repos"):
+        repos = keep("repos_summary", clean_repos(raw["github_repos_raw"], as_of, limit=repo_limit))
+    if loaded("commits"):
+        flagged = keep("commits_flagged", flag_commits(raw["github_commits_raw"]))
+        keep("commits_clean", flagged.where(~F.col("is_bot_commit")))
+    if loaded("contributors"):
+        contributors = keep("contributors_clean", clean_contributors(raw["github_contributors_raw"]))
+    if loaded("languages"):
+        languages = keep("language_summary", language_summary(raw["github_languages_raw"], date=date).withColumns(stamped))
+    if loaded("readme"):
+        readme_raw = latest_per_key(raw["github_readme_raw"], ["repo_full_name"], "extracted_at", [F.col("sha")])
+        keep("readme_summary", readme_summary(readme_raw))
+    if not loaded("repos", "commits", "contributors", "languages", "readme"):
+        return out, outcome
 
     features = keep("repo_ml_dataset", repo_features(repos, flagged, contributors, languages).withColumns(stamped))
     texts = readme_raw.select(
@@ -104,6 +129,6 @@ def run_weekly(
     numeric = keep("repo_ml_numeric_final", encode_numeric(ready, "repo_name", IDENTIFIERS))
 
     measures = [c for c in numeric.columns if c not in ("repo_name", "transformed_at")]
-    assigned = keep("repo_clusters", kmeans(numeric, measures, clusters, order_by="stars_count"), RESULTS)
-    keep("repo_cluster_summary", group_means(assigned, "cluster", measures), RESULTS)
-    return out
+    assigned = keep("repo_clusters", kmeans(numeric, measures, clusters, order_by="stars_count"), names.results)
+    keep("repo_cluster_summary", group_means(assigned, "cluster", measures), names.results)
+    return out, outcome

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,12 +44,22 @@ def read_snapshots(spark: SparkSession, base: str, feed: str, date: int | None =
         .option("multiLine", not lines)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreMissingFiles", True)
     )
     df = reader.json(feed_path(base, feed))
     return at_snapshot(stamp(df), date)
 
 
+def has_snapshot(spark: SparkSession, base: str, feed: str, date: int) -> bool:
+    """Whether the feed has a folder of this date; other failures to look are raised."""
+    try:
+        spark.read.text(f"{feed_path(base, feed)}/date={date}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def stamp(df: DataFrame) -> DataFrame:
     """Directory date as ``snapshot_date`` (long), replacing any such field of the rows."""
     return df.withColumn("snapshot_date", F.col("date").cast("long")).drop("date")
@@ -57,6 +70,20 @@ def at_snapshot(df: DataFrame, date: int | None) -> DataFrame:
     return df if date is None else df.where(F.col("snapshot_date") == F.lit(date).cast("long"))
 
 
+def one_snapshot(df: DataFrame, date: int | None = None) -> DataFrame:
+    """Rows of one snapshot, by default the latest of the table; a table without dates is one snapshot."""
+    if "snapshot_date" not in df.columns:
+        return df
+    if date is not None:
+        return at_snapshot(df, date)
+    return df.where(F.col("snapshot_date") == df.agg(F.max("snapshot_date")).scalar())
+
+
+def stack_snapshots(frames: Sequence[DataFrame]) -> DataFrame:
+    """One table of several dated frames; columns that a frame lacks are null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined text with what could be read of it and its snapshot date).
 
@@ -72,11 +99,5 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def write_snapshot(df: DataFrame, base: str, feed: str, date: int) -> None:
-    """Write rows as JSON lines under the feed's dated directory, replacing that date only."""
-    (
-        df.withColumn("date", F.lit(date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .json(feed_path(base, feed))
-    )
+    """Write rows as JSON lines under the feed's dated directory, replacing that date only, also by no rows."""
+    df.drop("date").write.mode("overwrite").json(f"{feed_path(base, feed)}/date={date}")

@@ -29,12 +29,13 @@ def raw_table_schema(feed_schema: T.StructType) -> T.StructType:
     return T.StructType(feed_schema.fields + [T.StructField(PARTITION, T.LongType(), True)])
 
 
-def append_snapshot(df: DataFrame, table: str, mode: str = "overwrite_partition") -> None:
+def append_snapshot(df: DataFrame, table: str, mode: str = "overwrite_partition", partitions: Sequence[dict[str, object]] = ()) -> None:
     """Add snapshot rows to a partitioned raw table.
 
     ``append`` stacks the rows on what is there. ``overwrite_partition`` replaces
     the snapshot dates present in ``df`` and no others, so a repeated run leaves
-    the same rows.
+    the same rows. ``partitions`` names those being loaded (column to value): they
+    are replaced even when ``df`` has no row for them.
     """
     if mode not in ("append", "overwrite_partition"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -46,6 +47,9 @@ def append_snapshot(df: DataFrame, table: str, mode: str = "overwrite_partition"
     before = spark.conf.get(_DYNAMIC)
     spark.conf.set(_DYNAMIC, "dynamic")
     try:
+        for one in partitions:  # rows of df never come from the partition it replaces
+            spec = ", ".join(f"`{c}` = {v!r}" for c, v in one.items())
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
         rows.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(_DYNAMIC, before)

@@ -67,14 +67,13 @@ def test_commit_profile_reduces_to_the_clean_table(spark, commits):
     assert flagged.bot_commit_ratio == pytest.approx(2 / 6) and clean.bot_commit_ratio == 0
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 3])
-def test_contributors(spark, hot_rows):
+def test_contributors(spark):
     rows = [("r", f"p{i:02d}", i, 20 - i, "u", "f", D) for i in range(11)]  # 20 .. 10, ranks 1..11
     rows += [("r", "p00", 0, 3, "u", "f", D)]  # a second, smaller sighting
     rows += [("r", None, 50, 15, "u", "f", D), ("r", None, 51, 99, "u", "f", D)]  # no login: rank 1 goes to it
     rows += [("r", "zero", 60, 0, "u", "f", D), ("r", "noid", None, 20, "u", "f", D), ("s", "a", 1, 5, "u", "f", D), ("s", "b", 2, 5, "u", "f", D)]
     raw = spark.createDataFrame(rows, raw_table_schema(CONTRIBUTORS))
-    out = sg.clean_contributors(raw, hot_rows=hot_rows)
+    out = sg.clean_contributors(raw)
     r = {x.contributor_login: x for x in out.where("repo_full_name = 'r'").collect()}
     assert set(r) == {f"p{i:02d}" for i in range(11)}
     # 99 (no login) first, then noid before p00 by login, then the rest: gaps stay
@@ -85,7 +84,7 @@ def test_contributors(spark, hot_rows):
     assert abs(sum(x.contribution_percentage for x in r.values()) - 100) <= 0.01 * len(r)
     s = {x.contributor_login: x.contribution_rank for x in out.where("repo_full_name = 's'").collect()}
     assert s == {"a": 1, "b": 2}
-    capped = sg.clean_contributors(raw, max_per_repo=2, hot_rows=hot_rows)
+    capped = sg.clean_contributors(raw, max_per_repo=2)
     assert capped.groupBy("repo_full_name").count().where("count <> 2").count() == 0
 
 
@@ -117,10 +116,9 @@ def test_language_summary(spark):
 
 
 def test_language_summary_agrees_with_full_ranking(spark):
-    """Share counts come from the 20 largest only; a full ranking must give the same."""
     rows = [(f"r{i % 9}", f"l{(i * 7) % 83}", (i * 131) % 997 + 1, None, D) for i in range(2000)]
     raw = spark.createDataFrame(rows, raw_table_schema(LANGUAGES))
-    full = sg.language_details(raw, hot_rows=50).groupBy("repo_full_name").agg(
+    full = sg.language_details(raw).groupBy("repo_full_name").agg(
         F.count_if(F.col("percentage") > 5).alias("a5"), F.count_if(F.col("percentage") > 10).alias("a10"),
         F.min("percentage").alias("lo"), F.max("percentage").alias("hi"), F.max_by("language", -F.col("language_rank")).alias("first"))
     short = sg.language_summary(raw).select(
@@ -129,6 +127,33 @@ def test_language_summary_agrees_with_full_ranking(spark):
     assert sorted(full.collect()) == sorted(short.collect())
 
 
+def test_share_counts_look_at_every_language(spark):
+    """Thirty shares of 100 % and one of -2900 %: weights may be negative."""
+    rows = [("r", f"l{i}", 100, None, D) for i in range(30)] + [("r", "less", -2900, None, D)]
+    out = sg.language_summary(spark.createDataFrame(rows, raw_table_schema(LANGUAGES))).first()
+    assert (out.total_bytes, out.languages_above_5_percent, out.languages_above_10_percent) == (100, 30, 30)
+
+
+def test_languages_take_the_latest_snapshot(spark):
+    rows = [("r", "Go", 15, None, D), ("r", "Go", 40, None, D + 7), ("r", "C", 5, None, D)]
+    raw = spark.createDataFrame(rows, raw_table_schema(LANGUAGES))
+    assert [tuple(r) for r in sg.language_totals(raw).collect()] == [("r", 40)]
+    assert [r.bytes for r in sg.language_details(raw).collect()] == [40]
+    assert sg.language_summary(raw).first().total_bytes == 40
+    assert sg.language_totals(raw, date=D).first().total_bytes == 20
+
+
+def test_latest_repository_row_is_decided_by_its_measures(spark):
+    from stargauge.schemas import FEEDS
+
+    when = dt.datetime(2024, 1, 1)
+    rows = [{"full_name": "a", "html_url": "u", "updated_at": when, "stargazers_count": s, "forks_count": f, "snapshot_date": D} for s, f in ((1, 9), (2, 1), (2, 5))]
+    schema = raw_table_schema(FEEDS["github_repos_raw"])
+    for order in (rows, rows[::-1]):
+        out = sg.clean_repos(spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in order], schema), "2024-01-07").collect()
+        assert [(r.stars, r.forks) for r in out] == [(2, 5)]
+
+
 def test_features_keep_every_repository(spark):
     repos = spark.createDataFrame(
         [("a", "u", "Go", 0, 5, 1, 1, 10, 1.0), ("b", "u", "C", 10, 5, 1, 1, 10, 1.0)],

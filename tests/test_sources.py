@@ -155,7 +155,8 @@ def base(tmp_path_factory):
 
 def test_weekly_job(spark, base):
     folder, date, names = base
-    out = sg.run_weekly(spark, str(folder), date)
+    out, outcome = sg.run_weekly(spark, str(folder), date)
+    assert set(outcome.values()) == {"loaded"}
     assert out["repos_summary"].where("repo_age_days <> datediff(date'2024-01-07', created_at)").count() == 0
     assert out["repos_summary"].count() == len(names)
     assert out["commits_clean"].where("is_bot_commit").count() == 0 and out["commits_flagged"].where("is_bot_commit").count() > 0
@@ -173,6 +174,34 @@ def test_weekly_job(spark, base):
     assert spark.table("raw_github_data.github_repos_raw").count() == len(names)
 
 
+def test_a_skipped_feed_replaces_no_table(spark, base, tmp_path):
+    folder, date, names = base
+    own = sg.Databases("w_raw", "w_clean", "w_results")
+    out, _ = sg.run_weekly(spark, str(folder), date, clusters=2, names=own)
+    before = {t: df.count() for t, df in out.items()}
+    put(tmp_path, "github_repos_raw", date + 7, [{"full_name": "org/new", "stargazers_count": 7000, "created_at": "2020-01-01T00:00:00Z", "updated_at": "2024-01-13T00:00:00Z"}])
+    out, outcome = sg.run_weekly(spark, str(tmp_path), date + 7, names=own)
+    assert set(out) == {"repos_summary"} and outcome["github_repos_raw"] == "loaded"
+    assert [v for k, v in outcome.items() if k != "github_repos_raw"] == ["skipped: no folder of this date"] * (len(FEEDS) - 1)
+    assert spark.table("w_clean.repos_summary").count() == 1
+    assert spark.table("w_clean.commits_clean").count() == before["commits_clean"] > 0
+    assert spark.table("w_results.repo_clusters").count() == before["repo_clusters"]
+
+
+def test_a_reload_empties_what_became_empty(spark, tmp_path):
+    own, date = sg.Databases("x_raw", "x_clean", "x_results"), 20240107
+    sg.setup(spark, own)
+    put(tmp_path, "github_languages_raw", date, [lang("a", "Go", 1)])
+    (tmp_path / "github_languages_raw" / f"date={date}" / "broken.json").write_text("[{not json")
+    sg.load_snapshot(spark, str(tmp_path), date, names=own)
+    assert spark.table("x_raw.github_languages_raw").count() == 1 and spark.table("x_raw.quarantine").count() == 1
+    put(tmp_path, "github_languages_raw", date, [], "broken.json")
+    for file in (tmp_path / "github_languages_raw" / f"date={date}").glob("*.json"):
+        file.write_text("[]")
+    assert sg.load_snapshot(spark, str(tmp_path), date, names=own)["github_languages_raw"] == "loaded"
+    assert spark.table("x_raw.github_languages_raw").count() == 0 and spark.table("x_raw.quarantine").count() == 0
+
+
 def test_weekly_job_goes_on_without_a_feed(spark, base, tmp_path):
     outcome = sg.load_snapshot(spark, str(tmp_path), 20230101)
     assert all(v.startswith("skipped") for v in outcome.values()) and len(outcome) == len(FEEDS)
@@ -184,7 +213,7 @@ def test_weekly_job_with_an_annotator(spark, base):
     def annotator(text):
         return '{"category": "Web Tools", "complexity_level": "advanced", "complexity_score": 3}'
 
-    out = sg.run_weekly(spark, str(folder), date, repo_limit=10, annotator=annotator, clusters=2)
+    out, _ = sg.run_weekly(spark, str(folder), date, repo_limit=10, annotator=annotator, clusters=2)
     assert out["repo_ml_ready"].count() == 10
     assert out["repo_enriched"].where("category = 'Web Tools'").count() == sum(n in names[:20] for n in names[-10:])
 
