@@ -198,7 +198,7 @@ def learn_languages(
     sample = own.where(part < share[F.col("lang")]).select("lang", "text")
 
     def words(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in batches(frames, size=1 << 24):
+        for frame in batches(frames, size=1 << 23):
             langs, texts = np.array(frame.column(0).to_pylist(), object), frame.column(1).to_pylist()
             for lang in sorted(set(langs)):
                 split, letters = _words_with_letters([t for t, x in zip(texts, langs, strict=True) if x == lang])
@@ -241,7 +241,7 @@ def language_of(docs: DataFrame, model: LanguageModel, text: str | Column = "tex
         own = shared.value
         for column in columns:
             langs, scores = [], []
-            for part in batches([pa.record_batch([column], ["text"])], size=1 << 24):
+            for part in batches([pa.record_batch([column], ["text"])], size=1 << 23):
                 lang, score = own.predict(part.column(0).to_pylist())
                 langs += lang
                 scores.append(score)

@@ -70,7 +70,7 @@ class _Encoder:
     letters, which no normalizing changes, go to the merges of the model directly.
     """
 
-    def __init__(self, data: str, end_id: int, limit: int = 400_000):
+    def __init__(self, data: str, end_id: int, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 

@@ -6,8 +6,10 @@ there, and ``bytes.lower()`` changes A-Z only.
 
 from __future__ import annotations
 
+import ctypes
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +95,20 @@ def batches(frames: Iterator[pa.RecordBatch], rows: int = 1 << 14, size: int = 1
         step = max(1, min(rows, int(frame.num_rows * size / max(frame.nbytes, 1))))
         for at in range(0, frame.num_rows, step):
             yield frame.slice(at, step)
+            release()
+
+
+def release() -> None:
+    """Hand freed memory back to the system: a worker keeps its process for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = _libc()
+    if trim is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _libc():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
