@@ -68,9 +68,9 @@ def source_targets(sources: DataFrame, weights: Sequence[float], share: float, m
         row = sources.agg(
             F.sum(F.when(over, limit).otherwise(0.0)), F.sum(F.when(over, 0).otherwise(F.col("weight"))), F.sum(over.cast("long"))
         ).first()
-        if level is not None and row[2] == capped:
+        if level is not None and (row[2] or 0) == capped:
             break
-        capped = row[2] or 0
+        capped = row[2] or 0  # no row: no sum
         level = max(0.0, total * share - (row[0] or 0.0)) / row[1] if row[1] else 0.0
     wanted = F.col("weight") * level
     return sources.withColumn("target", F.when(wanted > limit, limit).otherwise(wanted).cast("double"))
