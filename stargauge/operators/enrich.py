@@ -93,30 +93,39 @@ def enrich(df: DataFrame, key: str, text: str, annotator: KeywordAnnotator | Non
     return df.select(key, *[record[name].alias(name) for name in FIELDS])
 
 
-def annotate_replies(df: DataFrame, key: str, text: str, annotator: Callable[[str], str | None]) -> DataFrame:
+def annotate_replies(df: DataFrame, key: str, text: str, annotator: Callable[[str], str | None], outcome: str | None = None) -> DataFrame:
     """As ``enrich``, with ``annotator(text) -> reply`` run in the tasks.
 
     The reply is free text with a JSON object in it. A failure of the annotator,
     like a missing text or an unusable reply, gives an all-null record; no row is
-    lost. Store the result: a recomputed task calls the annotator again.
+    lost. ``outcome`` names a column that tells these apart: ``ok``, ``no text``,
+    ``failed`` (the annotator raised) or ``unusable``; count it to notice an
+    outage. Store the result: a recomputed task calls the annotator again.
     """
 
-    def reply_or_none(value: str | None) -> str | None:
+    def answer(value: str | None) -> tuple[str | None, bool]:
         if not value:
-            return None
+            return None, False
         try:
-            return annotator(value)
-        except Exception:  # noqa: BLE001 - one bad text must not fail the job
-            return None
+            return annotator(value), False
+        except Exception:  # noqa: BLE001 - one bad text must not fail the job; it is reported as failed
+            return None, True
 
-    @F.pandas_udf("string")
-    def replies(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("reply string, failed boolean")
+    def replies(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.map(reply_or_none)
-
-    answered = df.select(key, replies(F.col(text)).alias("_reply"))
-    parsed = answered.withColumn("_record", parse_json_record(F.col("_reply"), ENRICHMENT))
-    return parsed.select(key, *[F.col(f"_record.{name}").alias(name) for name in FIELDS])
+            yield pd.DataFrame([answer(value) for value in batch], columns=["reply", "failed"])
+
+    answered = df.select(key, F.col(text).alias("_text"), replies(F.col(text)).alias("_answer"))
+    parsed = answered.withColumn("_record", parse_json_record(F.col("_answer.reply"), ENRICHMENT))
+    usable = F.coalesce(*[F.col(f"_record.{name}").cast("string") for name in FIELDS]).isNotNull()
+    told = (
+        F.when(F.coalesce(F.length("_text"), F.lit(0)) == 0, "no text").when(F.col("_answer.failed"), "failed")
+        .when(usable, "ok").otherwise("unusable")
+    )
+    return parsed.select(
+        key, *[F.col(f"_record.{name}").alias(name) for name in FIELDS], *([told.alias(outcome)] if outcome else [])
+    )
 
 
 def vocabulary_report(

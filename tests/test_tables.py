@@ -197,6 +197,8 @@ def test_enrichment_with_replies(spark):
     out = {r.k: r for r in sg.annotate_replies(df, "k", "text", annotator).collect()}
     assert out["a"].category == "Other" and out["a"].audience == ["x"] and out["a"].complexity_score == 2
     assert len(out) == 4 and all(out[k].category is None and out[k].audience is None for k in "bcd")
+    told = {r.k: r.outcome for r in sg.annotate_replies(df, "k", "text", annotator, outcome="outcome").collect()}
+    assert told == {"a": "ok", "b": "failed", "c": "unusable", "d": "no text"}
     report = sg.vocabulary_report(sg.annotate_replies(df, "k", "text", annotator)).first()
     assert (report.records, report.bad_category, report.bad_audience) == (4, 0, 1)
 
