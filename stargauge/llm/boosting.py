@@ -26,6 +26,8 @@ class Boosted:
 
     def margin(self, rows: np.ndarray) -> np.ndarray:
         """The sum of the trees' values for each row; all rows step down all trees at once."""
+        if not len(self.roots):
+            return np.full(len(rows), self.base)
         at = np.repeat(self.roots[None, :], len(rows), axis=0)
         line = np.arange(len(rows))[:, None]
         for _ in range(self.depth):
