@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import Boosted, fit_boosted
+from .store import hash_sample
 from .words import U64, Words, batches, mix, record, texts_of
 
 #: Features of the trees; sign +1: more of it never lowers quality, -1: never raises it, 0: free.
@@ -75,12 +76,11 @@ def rules_failed(counts: dict[str, np.ndarray], least_words: int = 20, most_repe
 def learn_quality(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Boosted:
     """Fit the trees to labelled documents (1: good).
 
-    The fit takes a bounded sample, the ``sample`` labels with the smallest hash of their id; null ids and labels
-    are left out. Without labels of both kinds every text gets the share of good ones (one half without any).
+    The fit takes a bounded sample, about ``sample`` labels chosen by hash; null ids and labels are left out. Without labels of both kinds every text gets the share of good ones (one half without any).
     """
     chosen = labels.select(F.col(id_col).alias("of"), F.col(label_col).cast("int").alias("label")).where("of IS NOT NULL AND label IS NOT NULL")
-    chosen = chosen.orderBy(F.xxhash64("of"), "of", "label").limit(sample)
-    texts = docs.join(F.broadcast(chosen), docs[id_col] == F.col("of")).select(F.col("of"), "label", docs[text_col].alias("text"))  # <= sample rows
+    chosen = hash_sample(chosen, chosen.count(), sample, "of", "label")
+    texts = docs.join(F.broadcast(chosen), docs[id_col] == F.col("of")).select(F.col("of"), "label", docs[text_col].alias("text"))  # <= 2 x sample rows
     schema = pa.schema([("of", pa.int64()), ("label", pa.int32()), *((k, pa.float64()) for k in FEATURES)])
 
     def statistics(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

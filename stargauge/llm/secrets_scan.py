@@ -12,6 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -20,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import hash_sample
 from .words import batches, record
 
 #: Names that hold secrets, and words that mark examples; matched within lower-case neighbouring words and paths.
@@ -116,14 +118,14 @@ def label_by_form(findings: DataFrame) -> DataFrame:
 
 
 def train_forest(labelled: DataFrame, sample: int = 20_000, trees: int = 40, depth: int = 8, seed: int = 7) -> RandomForestClassificationModel | None:
-    """Fit to a bounded sample: of each label, the ``sample`` findings with the smallest hash. None without both labels."""
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("value", "doc_id", "start"), "value", "doc_id", "start"))
-    rows = labelled.select("label", *FEATURES, place.alias("place")).where(F.col("place") <= sample)
-    found = rows.orderBy("label", "place").toArrow()  # at most twice the sample
-    if len(set(found["label"].to_pylist())) < 2:
+    """Fit to a bounded sample: of each label, about ``sample`` findings chosen by hash. None without both labels."""
+    counts = dict(labelled.groupBy("label").count().collect())
+    if len(counts) < 2:
         return None
+    parts = [hash_sample(labelled.where(F.col("label") == x), n, sample, "value", "doc_id", "start") for x, n in sorted(counts.items())]
+    rows = reduce(DataFrame.unionByName, parts).select("label", *FEATURES)
+    found = rows.toArrow()  # at most four times the sample
+    found = found.sort_by([(c, "ascending") for c in found.column_names])
     local = labelled.sparkSession.createDataFrame(found)
     assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(local)
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(assembled)

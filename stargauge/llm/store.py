@@ -35,6 +35,15 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def hash_sample(df: DataFrame, rows: int, wanted: int, *columns: str) -> DataFrame:
+    """About ``wanted`` of the ``rows`` rows, those with a small hash of the columns; never more than twice as many.
+
+    A filter, so that no task and no driver sorts or gathers more than the sample.
+    """
+    part = F.pmod(F.xxhash64(*columns), F.lit(1 << 30))
+    return df.where(part < F.lit(max(1, round((1 << 30) * min(1.0, wanted / max(rows, 1)))))).limit(2 * wanted)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once per application; needless where it is installed on them."""
     sc = spark.sparkContext

@@ -36,6 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import hash_sample
 from .words import batches, byte_letters, record
 
 MAGIC, VERSION = b"TOKZ", 1
@@ -151,8 +152,7 @@ def write_token_files(
     """Encode every text, append ``end_id`` and write the files in ascending id order.
 
     ``tokenizer`` is the JSON of a tokenizer whose pre-tokenizer drops white space. The dictionary is trained on
-    the id arrays of the ``sample_docs`` documents with the smallest hash of their id, at most ``sample_bytes`` of
-    each; it changes the size of the files, never their content. Documents are dealt to ranges of the id, at most
+    the id arrays of about ``sample_docs`` documents, chosen by hash, at most ``sample_bytes`` of each; it changes the size of the files, never their content. Documents are dealt to ranges of the id, at most
     ``max_shards``; frames, not texts, cross the exchange, and blocks are cut while a range is streamed.
 
     Null texts count as empty (the end id alone). Null ids come first. Rows with equal ids are ordered by a hash of
@@ -170,11 +170,10 @@ def write_token_files(
     if shards > 1 and rows[1]:
         places = [k / shards for k in range(1, shards)]
         cuts = sorted(set(own.select(F.percentile_approx("id", places, max(10_000, 20 * shards))).first()[0]))
-    sample = [
-        r[0] for r in own.orderBy(F.xxhash64("id"), "id").limit(sample_docs).select(F.substring("text", 1, 4 * sample_bytes)).collect()
-    ]
+    chosen = hash_sample(own, rows[0], sample_docs, "id", "text").select(F.substring("text", 1, 4 * sample_bytes)).collect()
+    sample = sorted(r[0] or "" for r in chosen)
     encode = _Encoder(tokenizer, end_id)
-    chosen = [_narrow(ids, width)[:sample_bytes] for ids in encode([(t or "").encode() for t in sample])]
+    chosen = [_narrow(ids, width)[:sample_bytes] for ids in encode([t.encode() for t in sample])]
     dictionary = train_dictionary(chosen, dictionary_bytes)
     sha = hashlib.sha256(dictionary).digest()
     spark.createDataFrame([(bytearray(dictionary), sha.hex())], "dictionary binary, sha256 string").coalesce(1).write.parquet(f"{path}/dictionary")
