@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from ..operators.ranking import rank_in_group
 from .store import small, written
+from .words import release
 
 
 @F.arrow_udf(T.LongType())
@@ -33,6 +34,7 @@ def word_count(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Runs of bytes other than ASCII white space; null has none."""
     for column in columns:
         yield pa.array([0 if t is None else len(t.split()) for t in column.cast(pa.binary()).to_pylist()], pa.int64())
+        release()
 
 
 @dataclass

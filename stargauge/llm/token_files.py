@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import hash_sample
-from .words import batches, byte_letters, record
+from .words import batches, byte_letters, record, release
 
 MAGIC, VERSION = b"TOKZ", 1
 _HEAD = "<4sI32sII"
@@ -77,6 +77,7 @@ class _Encoder:
 
         self.tokenizer, self.end, self.limit = Tokenizer.from_str(data), np.uint32(end_id).tobytes(), limit
         self.known: dict[bytes, bytes] = {}
+        self.last: set[bytes] = set()
         config = json.loads(data)
         steps, cuts = ((config.get(k) or {}) for k in ("normalizer", "pre_tokenizer"))
         first, *rest = cuts.get("pretokenizers", [{}])
@@ -108,10 +109,17 @@ class _Encoder:
         if len(self.known) + len(new) > self.limit:  # keep what this batch uses, the frequent runs among it
             self.known = {run: self.known[run] for run in distinct if run in self.known}
         self.known.update((run, array("I", ids).tobytes()) for run, ids in self._ids(new))
+        self.last = distinct
         find = self.known.__getitem__
         return [b"".join(map(find, runs)) + self.end for runs in split]
 
 
+    def trim(self) -> None:
+        """Between tasks, remember only the runs of the last batch."""
+        self.known = {run: self.known[run] for run in self.last}
+        self.last = set()
+
+
 @lru_cache(maxsize=1)
 def _encoder(data: str, end_id: int) -> _Encoder:
     """One per Python worker, so that what it remembers serves the worker's next task."""
@@ -194,6 +202,8 @@ def write_token_files(
                 _ENCODED, shard.astype(np.int32), ids, [xxhash.xxh64_intdigest(x) - (1 << 63) for x in lists],
                 [len(x) // 4 for x in lists], [press.compress(_narrow(x, width)) for x in lists],
             )
+        encoder.trim()
+        release()
 
     def blocks(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, before, held, size = None, 0, 0, [], 0
