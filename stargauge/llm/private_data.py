@@ -5,7 +5,8 @@ Looser forms (``a (at) b.c``, ``10-0-0-1``, numbers without ``+`` or with a wron
 words around an instance make its lexical patterns: the two words before it, and the word before with the word
 after. Pattern and instance score each other in turns over their graph: a pattern is worth the mean score of its
 instances, damped while few support it; an instance is worth one minus the product of its patterns' doubts, seeds
-always one. Candidates that end above a threshold are added; base spans always stay.
+always one. What reaches the threshold in one round supports patterns in the next like a seed, so that each round goes
+one hop further. Candidates that end above the threshold are added; base spans always stay.
 """
 
 from __future__ import annotations
@@ -94,23 +95,24 @@ def _patterns(before: Column, after: Column, kind: Column) -> Column:
     return F.filter(found, lambda p: p.isNotNull())
 
 
-def score_candidates(instances: DataFrame, rounds: int = 3, support: int = 8) -> DataFrame:
+def score_candidates(instances: DataFrame, rounds: int = 3, support: int = 8, threshold: float = 0.8) -> DataFrame:
     """``kind, value, score`` of the instances that are no seeds.
 
     ``instances`` has kind, value, seed and patterns, a row for each occurrence. A pattern's score is the mean of its
-    distinct instances' scores times ``log(1 + seeds) / log(1 + support)``, one at most.
+    distinct instances' scores times ``log(1 + found) / log(1 + support)``, one at most; ``found`` counts its instances
+    that have the threshold by then, seeds from the start. Instances up to ``rounds`` hops from a seed can be reached.
     """
     edges = instances.select("kind", "value", "seed", F.explode("patterns").alias("pattern"))
     edges = written(edges.groupBy("pattern", "kind", "value").agg(F.max("seed").alias("seed")), "pattern-graph")
-    score = edges.groupBy("kind", "value").agg(F.max(F.col("seed").cast("double")).alias("score"))
+    score = written(edges.groupBy("kind", "value").agg(F.max(F.col("seed").cast("double")).alias("score")), "instance-scores")
     for _ in range(rounds):
         scored = edges.join(score, ["kind", "value"])
-        damped = F.least(F.lit(1.0), F.log(1 + F.sum(F.col("seed").cast("long"))) / F.log(F.lit(1.0 + support)))
+        damped = F.least(F.lit(1.0), F.log(1 + F.sum((F.col("score") >= threshold).cast("long"))) / F.log(F.lit(1.0 + support)))
         patterns = scored.groupBy("pattern").agg((F.avg("score") * damped).alias("worth"))
         doubts = edges.join(patterns, "pattern").groupBy("kind", "value").agg(
             F.max("seed").alias("seed"), F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("worth"))))).alias("doubt")
         )
-        score = doubts.select("kind", "value", F.when(F.col("seed"), 1.0).otherwise(1 - F.col("doubt")).alias("score"))
+        score = written(doubts.select("kind", "value", F.when(F.col("seed"), 1.0).otherwise(1 - F.col("doubt")).alias("score")), "instance-scores")
     seeds = edges.where("seed").select("kind", "value")
     return score.join(seeds, ["kind", "value"], "left_anti")
 
@@ -137,7 +139,7 @@ def find_private_data(docs: DataFrame, threshold: float = 0.8, rounds: int = 3,
 
     both = seeds.withColumn("seed", F.lit(True)).unionByName(loose.withColumn("seed", F.lit(False)))
     instances = both.select("kind", F.lower("value").alias("value"), "seed", _patterns(F.col("before"), F.col("after"), F.col("kind")).alias("patterns"))
-    good = score_candidates(instances, rounds, support).where(F.col("score") >= threshold).select("kind", F.col("value").alias("known"))
+    good = score_candidates(instances, rounds, support, threshold).where(F.col("score") >= threshold).select("kind", F.col("value").alias("known"))
     added = loose.join(good.withColumnRenamed("kind", "of"), (F.col("kind") == F.col("of")) & (F.lower("value") == F.col("known")), "left_semi")
 
     place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))

@@ -166,6 +166,15 @@ def test_contexts_find_new_identifiers(spark):
     assert by[50].spans == "phone:24:36" and by[50].n_phone == 0 and by[51].spans == "" and by[52].spans == "email:12:32"
 
 
+def test_contexts_lead_on_from_found_identifiers(spark):
+    rows = [(i, f"hello please call me at +1 (555) 123-45{i:02d} soon ok") for i in range(12)]
+    rows += [(100 + i, f"hello please call me at 555 123 70{i:02d} soon ok") for i in range(30)]  # one hop
+    rows += [(200 + i, f"the night desk answers 555 123 70{i:02d} until dawn") for i in range(30)]  # the same in another context
+    rows += [(300, "the night desk answers 555 123 9999 until dawn"), (301, "numbers like 555 123 8888 here and there")]  # two hops, none
+    by = {r.doc_id: r.spans for r in span_report(find_private_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert by[100] == "phone:24:36" and by[200] == "phone:23:35" and by[300] == "phone:23:35" and by[301] == ""
+
+
 def test_secrets_are_told_from_false_positives(spark, odd, empty):
     sf, own = "/root/testdata/sf0.01", S.dictionary_of(vocabulary_pieces(Q.vocabulary("word_bpe_49k.json")))
     docs = Q.table(spark, sf, "documents")
