@@ -175,6 +175,13 @@ def test_contexts_lead_on_from_found_identifiers(spark):
     assert by[100] == "phone:24:36" and by[200] == "phone:23:35" and by[300] == "phone:23:35" and by[301] == ""
 
 
+def test_contexts_find_long_addresses(spark):
+    long = "first.last-name (at) department-of-something (dot) university-name (dot) edu"
+    rows = [(i, f"you may write me at bob{i}@example.org soon ok") for i in range(12)] + [(50, f"write me at {long} soon ok")]
+    by = {r.doc_id: r.spans for r in span_report(find_private_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert len(long) > 64 and by[50] == f"email:12:{12 + len(long)}"
+
+
 def test_secrets_are_told_from_false_positives(spark, odd, empty):
     sf, own = "/root/testdata/sf0.01", S.dictionary_of(vocabulary_pieces(Q.vocabulary("word_bpe_49k.json")))
     docs = Q.table(spark, sf, "documents")
