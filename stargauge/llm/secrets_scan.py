@@ -1,7 +1,7 @@
 """Secret scan: candidate strings, and a random forest that removes false positives.
 
-Candidates are values given to a name (``name = value``) and runs of token characters that mix letters with digits
-or capitals with small letters. The forest sees only numbers: length, how often the character class changes, the
+Candidates are values given to a name (``name = value``), whole and of any length and characters, and runs of token
+characters that mix letters with digits or capitals with small letters. The forest sees only numbers: length, how often the character class changes, the
 share of the candidate that dictionary words cover, its variety, and what stands in the path and in the words around
 it. It is trained on labelled findings.
 """
@@ -32,7 +32,12 @@ FEATURES = (
     "hex", "assigned", "quoted", "secret_name", "example_near", "path_depth", "path_example", "words_before",
 )
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_~.-]{8,}={0,2}")
-_ASSIGNED = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]*)[\"']?\s?(?:=|:=?|=>)\s?([\"']?)$")
+_ASSIGNED = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]*)[\"'`]?\]?\s*(?:=|:=?|=>)\s*([\"'`]?)$")
+#: A name and the sign after it, and the value that follows. Each run is entered once and never given back.
+_NAME = re.compile(r"(?<![A-Za-z0-9_.-])[0-9.-]*+([A-Za-z_][A-Za-z0-9_.-]*+)[\"'`]?\]?[^\S\n]*+(?:=>|:=|=(?!=)|:(?!:|//))[^\S\n]*+")
+_QUOTED = re.compile(r"\"((?:[^\"\\\n]|\\.)++)\"|'((?:[^'\\\n]|\\.)++)'|`((?:[^`\\\n]|\\.)++)`")
+_PLAIN = re.compile(r"[\"'`]?((?:(?![&;,?|][\"'`]?[A-Za-z_][A-Za-z0-9_.-]*+[\"'`]?[=:])\S)++)")
+_BRACKETS = {")": "(", "]": "[", "}": "{", ">": "<"}
 _NEAR = 48
 
 _FINDING = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("value", pa.string()), ("before", pa.string()), *((k, pa.float64()) for k in FEATURES)])
@@ -72,13 +77,44 @@ def finding_features(value: str, before: str, path: str, dictionary: frozenset[s
     )
 
 
+def _unwrapped(value: str) -> str:
+    """An unquoted value without the quotes, marks and unopened brackets that end what stands around it."""
+    marks, n = Counter(value), len(value)
+    while n and (value[n - 1] in "\"'`,;." or (value[n - 1] in _BRACKETS and marks[value[n - 1]] > marks[_BRACKETS[value[n - 1]]])):
+        n -= 1
+        marks[value[n]] -= 1
+    return value[:n]
+
+
+def _given(text: str) -> Iterator[tuple[int, str, str]]:
+    """Start, value and the text before each value given to a name: all between quotes, or else up to a blank or the next name.
+
+    Names within quotes are looked at too (``'{"name": "value"}'``).
+    """
+    at = 0
+    while found := _NAME.search(text, at):
+        at = found.end()
+        if value := _QUOTED.match(text, at):
+            start, whole = value.start(value.lastindex), value[value.lastindex]
+        elif value := _PLAIN.match(text, at):
+            start, whole, at = value.start(1), _unwrapped(value[1]), value.end()
+        else:
+            continue
+        if whole:
+            yield start, whole, text[max(0, found.end(1) - _NEAR): start]
+
+
 def _candidates(text: str) -> Iterator[tuple[int, str, str]]:
-    """Start (code points), value and the text before each candidate."""
+    """Start (code points), value and the text before each candidate; a run that begins a given value is not told apart from it."""
+    given = set()
+    for start, value, before in _given(text):
+        given.add(start)
+        yield start, value, before
     for found in _CANDIDATE.finditer(text):
         value = found[0].rstrip(".-")
         before = text[max(0, found.start() - _NEAR): found.start()]
         start = found.start()
-        if "=" in value[1:-2]:
+        if start in given or "=" in value[1:-2]:
             continue
         letters, digits = any(c.isalpha() for c in value), any(c.isdigit() for c in value)
         small, large = any(c.islower() for c in value[1:]), any(c.isupper() for c in value[1:])
@@ -101,7 +137,7 @@ def find_candidates(docs: DataFrame, dictionary: frozenset[str], id_col: str = "
             yield record(_FINDING, *(list(c) for c in zip(*rows))) if rows else record(_FINDING, *([] for _ in _FINDING))
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(path_col).cast("string").alias("path"))
-    hinted = own.where(F.col("text").rlike(r"[A-Za-z0-9+/_~.-]{8}"))
+    hinted = own.where(F.col("text").rlike(r"[A-Za-z0-9+/_~.-]{8}|[=:]"))
     return hinted.mapInArrow(scan, "doc_id long, start long, value string, before string, " + ", ".join(f"{k} double" for k in FEATURES))
 
 

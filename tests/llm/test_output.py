@@ -230,3 +230,21 @@ def test_pipeline_of_odd_rows(spark, sf, tmp_path, request, rows):
     spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert (len(out) > 0) == (rows == "odd") and all(r.n_tokens > 0 for r in out)
+
+
+def test_secret_candidates_are_whole_given_values(spark, odd):
+    lines = [
+        ('password = "p@ss!w0rd#1"', "p@ss!w0rd#1"), ('pwd: "hunter2"', "hunter2"), ('key = "Tr0ub4dor&3xyz"', "Tr0ub4dor&3xyz"), ("secret    =      s3!", "s3!"),
+        ("token => a b", "a"), ("{'pass phrase': 1, 'auth': 'two words \\' more'}", "two words \\' more"), ("https://x.y/?user=bob&token=q!w2", "q!w2"),
+        ('conn = "Server=x;Password=h(u)nt!;"', "h(u)nt!"), ("login(password='é😀')", "é😀"), ('config["pwd"]\t=\t`x y`', "x y"), ("a" * 50_000 + ": z", "z"),
+    ]
+    for line, value in lines:
+        text = f"é see\n{line}\nend"
+        found = {(start, v) for start, v, _ in S._candidates(text)}
+        assert (text.index(value, text.index(line) + line.index(value)), value) in found, line
+    assert "Tr0ub4dor" not in {v for _, v, _ in S._candidates('key = "Tr0ub4dor&3xyz"')}
+    assert not list(S._given("a == b, x::y http://z \n =c")) and list(S._given("=a:" * 20_000))
+    rows = S.find_candidates(spark.createDataFrame([(1, 'pwd: "x!"', "a")], "doc_id long, text string, source string"), frozenset()).collect()
+    assert [(r.start, r.value, r.assigned, r.quoted, r.secret_name) for r in rows] == [(6, "x!", 1.0, 1.0, 1.0)]
+    wide = S.find_candidates(spark.createDataFrame([(1, "pwd" + " " * 500 + "= x!", "a")], "doc_id long, text string, source string"), frozenset()).collect()
+    assert [(r.value, r.assigned, r.secret_name) for r in wide] == [("x!", 1.0, 1.0)]
