@@ -69,7 +69,7 @@ def finding_features(value: str, before: str, path: str, dictionary: frozenset[s
     near, place = before.lower(), path.lower()
     words = near.split()[-3:]
     return (
-        float(n), sum(a != b for a, b in zip(kinds, kinds[1:])) / n, covered_share(value[:256], dictionary), len(counts) / n,
+        float(n), sum(a != b for a, b in zip(kinds, kinds[1:])) / n, covered_share(value, dictionary), len(counts) / n,
         -sum(c / n * math.log2(c / n) for c in counts.values()), kinds.count(2) / n, kinds.count(1) / n,
         float(max(map(len, re.findall(r"[A-Za-z]+", value)), default=0)), float(bool(re.fullmatch(r"[0-9a-fA-F]+", value))),
         float(bool(name)), float(bool(name and name[2])), float(any(s in (name[1].lower() if name else " ".join(words)) for s in SECRET_NAMES)),

@@ -248,3 +248,8 @@ def test_secret_candidates_are_whole_given_values(spark, odd):
     assert [(r.start, r.value, r.assigned, r.quoted, r.secret_name) for r in rows] == [(6, "x!", 1.0, 1.0, 1.0)]
     wide = S.find_candidates(spark.createDataFrame([(1, "pwd" + " " * 500 + "= x!", "a")], "doc_id long, text string, source string"), frozenset()).collect()
     assert [(r.value, r.assigned, r.secret_name) for r in wide] == [("x!", 1.0, 1.0)]
+
+
+def test_coverage_is_of_the_whole_candidate():
+    value = "9" * 300 + "password" * 150
+    assert S.finding_features(value, "", "", frozenset({"password"}))[2] == pytest.approx(1200 / 1500)
