@@ -177,3 +177,11 @@ def test_line_dedup_of_near_lines_and_odd_texts(spark, odd, empty):
     assert by[1].n_dropped == 0 and by[2].text == "" and by[3].text is None and by[4].text == "" and by[5].n_lines == 0
     assert (by[12].n_lines, by[12].n_dropped, by[12].text) == (3, 3, "") and by[11].text == "one two"
     assert L.dedup_lines(empty).count() == 0
+
+
+def test_line_dedup_bounds_lengths_in_code_points(spark, odd):
+    words = [f"w{chr(97 + k % 26)}{k % 10}" for k in range(40)]
+    plain, dashes = " - ".join(words), " \u2013 ".join(words)
+    assert 100 * len(plain.encode()) < 80 * len(dashes.encode()) and 100 * (len(plain) - L.edit_distance(plain, dashes)) >= 80 * len(plain)
+    df = spark.createDataFrame([(1, plain), (2, dashes)], "doc_id long, text string")
+    assert {r.doc_id: r.n_dropped for r in L.dedup_lines(df, radius=20, clean=1).collect()} == {1: 0, 2: 1}
