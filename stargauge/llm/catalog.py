@@ -124,7 +124,7 @@ def op1_lm_score(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    kept = dedup_lines(table(spark, sf, "documents"))
+    kept = dedup_lines(table(spark, sf, "documents"), grams=8)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 

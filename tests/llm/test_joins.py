@@ -185,3 +185,51 @@ def test_line_dedup_bounds_lengths_in_code_points(spark, odd):
     assert 100 * len(plain.encode()) < 80 * len(dashes.encode()) and 100 * (len(plain) - L.edit_distance(plain, dashes)) >= 80 * len(plain)
     df = spark.createDataFrame([(1, plain), (2, dashes)], "doc_id long, text string")
     assert {r.doc_id: r.n_dropped for r in L.dedup_lines(df, radius=20, clean=1).collect()} == {1: 0, 2: 1}
+
+
+def dropped_of_all_pairs(texts, percent):
+    """Lines that go from each text, by edit similarity of all pairs alone; pairs with too few equal letter pairs for it are passed over."""
+    first = {}
+    for d in sorted(texts):
+        for k, line in enumerate((texts[d] or "").split("\n")):
+            if n := L.normalise(line.encode()).decode():
+                first.setdefault(n, []).append((d, k))
+    lines = sorted(first, key=len)
+    sizes, letters = np.array([len(x) for x in lines]), np.zeros((len(lines), 512), np.uint16)
+    for i, line in enumerate(lines):
+        for x, y in zip(line, line[1:]):
+            letters[i, (31 * ord(x) + 7 * ord(y)) % 512] += 1
+    union = Union(range(len(lines)))
+    for i, line in enumerate(lines):
+        near = np.arange(i + 1, np.searchsorted(percent * sizes, 100 * sizes[i], "right"))
+        common = np.minimum(letters[near], letters[i]).sum(axis=1)
+        for j in near[common >= sizes[near] - 1 - 2 * ((100 - percent) * sizes[near] // 100)]:
+            if union.find(i) != union.find(int(j)) and 100 * (sizes[j] - L.edit_distance(line, lines[j])) >= percent * sizes[j]:
+                union.link(i, int(j))
+    groups = collections.defaultdict(list)
+    for i, line in enumerate(lines):
+        groups[union.find(i)] += first[line]
+    gone = collections.Counter(d for places in groups.values() for d, _ in sorted(places)[1:])
+    return {d: gone[d] for d in texts}
+
+
+def test_line_dedup_by_grams_equals_all_pairs_by_edit_similarity(spark, docs, texts):
+    assert {r.doc_id: r.n_dropped for r in L.dedup_lines(docs, grams=8).collect()} == dropped_of_all_pairs(texts, 80)
+    rng = random.Random(6)
+    def word():
+        return "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+
+    rows = {}
+    for k in range(150):  # one word of 10, 20 or 40 is another
+        line = [word() for _ in range((10, 20, 40)[k % 3])]
+        other = list(line)
+        other[rng.randrange(len(line))] = word()
+        rows[2 * k], rows[2 * k + 1] = " ".join(line), " ".join(other)
+    rows |= {1000 + k: f"Page {k} of 9000" for k in range(300)}
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(3)
+    found, right = ({d: n for d, n in x.items() if n} for x in ({r.doc_id: r.n_dropped for r in L.dedup_lines(df, grams=8).collect()}, dropped_of_all_pairs(rows, 80)))
+    assert found.keys() <= right.keys() and len(found) >= 0.99 * len(right) and len(right) > 400
+
+
+def test_line_dedup_by_grams_of_odd_texts(odd, empty):
+    assert L.dedup_lines(odd, grams=8).count() == odd.count() and L.dedup_lines(empty, grams=8).count() == 0
