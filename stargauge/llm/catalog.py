@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_passages, passage_report
+from .dialogues import repair_report
 from .fuzzy_lines import dedup_lines
 from .language import identify_languages, learn_languages, vocabulary_pieces
 from .mixing import mixture_sizes, plan_mixture
@@ -18,6 +19,7 @@ from .private_data import find_private_data, span_report
 from .quality import judge_quality, learn_quality
 from .secrets_scan import dictionary_of, find_candidates, judge_findings, label_by_form, train_forest
 from .set_join import jaccard_groups
+from .sharding import shard_documents
 from .store import new_folder, ship_package, written
 from .token_files import read_token_files, write_token_files
 
@@ -139,3 +141,116 @@ def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     findings = written(find_candidates(docs, dictionary_of(vocabulary_pieces(vocabulary("word_bpe_49k.json")))), "findings")
     model = train_forest(label_by_form(findings.where(remainder("doc_id", 3) != 1)))
     return judge_findings(findings, model)
+
+
+# CRC-32 by its table, which is made from the polynomial.
+_CRC_TABLE_SQL = """crc_table AS (
+  SELECT list(list_reduce([v::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY v) AS crc
+  FROM range(256) AS t(v))"""
+
+
+@query("""
+WITH """ + _CRC_TABLE_SQL + """,
+points AS (
+  SELECT doc_id, text, strlen(coalesce(text, '')) + 1 AS size,
+         list_transform(regexp_extract_all(coalesce(text, ''), '(?s).'), lambda x: unicode(x)::BIGINT) AS cps
+  FROM documents),
+bytes AS (
+  SELECT doc_id, text, size, flatten(list_transform(cps, lambda c: CASE
+    WHEN c < 128 THEN [c] WHEN c < 2048 THEN [192 | (c >> 6), 128 | (c & 63)]
+    WHEN c < 65536 THEN [224 | (c >> 12), 128 | ((c >> 6) & 63), 128 | (c & 63)]
+    ELSE [240 | (c >> 18), 128 | ((c >> 12) & 63), 128 | ((c >> 6) & 63), 128 | (c & 63)] END)) AS b
+  FROM points),
+keyed AS (
+  SELECT doc_id, size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b),
+           lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]))) AS text_crc32,
+         CAST('0x' || left(md5(coalesce(text, '')), 15) AS BIGINT) AS k0,
+         CAST('0x' || left(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 15) AS BIGINT) AS k1
+  FROM bytes, crc_table),
+run AS (
+  SELECT *, sum(size) OVER (ORDER BY k0, k1 ROWS UNBOUNDED PRECEDING) AS seen, sum(size) OVER () AS total FROM keyed),
+dealt AS (
+  SELECT *, CAST((2 * seen - size) * 16 // (2 * total) AS INTEGER) AS shard FROM run)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY k0, k1) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM dealt
+""")
+def op13_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return shard_documents(table(spark, sf, "documents"), shards=16)
+
+
+@query("""
+WITH RECURSIVE
+""" + _CRC_TABLE_SQL + """,
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations),
+coded AS (
+  SELECT conv_id, turn, role, text,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(split(key, ''), lambda x: unicode(x)::BIGINT)),
+             lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) % 20 AS kind
+  FROM keyed, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         left(role, 1) AS ini, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+  FROM damaged),
+faults AS (
+  SELECT *, body = '' AS blank, body <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+         lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+marked AS (
+  SELECT *, NOT blank AND NOT dup AND right(body, 1) NOT IN ('.', '!', '?') AS cut FROM faults),
+steps AS (
+  SELECT conv_id, 0 AS i, {c: 0::BIGINT, a: '', r: ''} AS s0, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, r VARCHAR)) AS s1,
+         {c: 3::BIGINT, a: 'I', r: chr(10) || 'user:'} AS s2, {c: 6::BIGINT, a: 'II', r: chr(10) || 'user:' || chr(10) || 'assistant:'} AS s3
+  FROM (SELECT DISTINCT conv_id FROM damaged)
+  UNION ALL
+  SELECT conv_id, i, t0, t1, t2, least(t3, CASE WHEN t2 IS NOT NULL THEN {c: t2.c + 3, a: t2.a || 'I', r: t2.r || chr(10) || 'assistant:'} END)
+  FROM (
+    SELECT conv_id, i, t0, t1, t3, least(t2,
+             CASE WHEN t0 IS NOT NULL THEN {c: t0.c + 3, a: t0.a || 'I', r: t0.r || chr(10) || 'user:'} END,
+             CASE WHEN t1 IS NOT NULL THEN {c: t1.c + 3, a: t1.a || 'I', r: t1.r || chr(10) || 'user:'} END,
+             CASE WHEN t3 IS NOT NULL THEN {c: t3.c + 3, a: t3.a || 'I', r: t3.r || chr(10) || 'user:'} END) AS t2
+    FROM (
+      SELECT conv_id, i, d0 AS t0,
+             least(d1, CASE WHEN free AND ini = 's' AND s0 IS NOT NULL THEN {c: s0.c + stay, a: s0.a || 'K', r: s0.r || own} END) AS t1,
+             least(d2,
+               CASE WHEN free AND ini = 'u' AND s0 IS NOT NULL THEN {c: s0.c + stay, a: s0.a || 'K', r: s0.r || own} END,
+               CASE WHEN free AND ini = 'u' AND s1 IS NOT NULL THEN {c: s1.c + stay, a: s1.a || 'K', r: s1.r || own} END,
+               CASE WHEN free AND ini = 'u' AND s3 IS NOT NULL THEN {c: s3.c + stay, a: s3.a || 'K', r: s3.r || own} END,
+               CASE WHEN free AND s0 IS NOT NULL THEN {c: s0.c + stay + 3, a: s0.a || 'R', r: s0.r || usr} END,
+               CASE WHEN free AND s1 IS NOT NULL THEN {c: s1.c + stay + 3, a: s1.a || 'R', r: s1.r || usr} END,
+               CASE WHEN free AND s3 IS NOT NULL THEN {c: s3.c + stay + 3, a: s3.a || 'R', r: s3.r || usr} END) AS t2,
+             least(d3,
+               CASE WHEN free AND ini = 'a' AND s2 IS NOT NULL THEN {c: s2.c + stay, a: s2.a || 'K', r: s2.r || own} END,
+               CASE WHEN free AND s2 IS NOT NULL THEN {c: s2.c + stay + 3, a: s2.a || 'R', r: s2.r || ast} END) AS t3
+      FROM (
+        SELECT m.conv_id, m.i, NOT blank AND NOT dup AS free, CASE WHEN cut THEN 3 ELSE 0 END AS stay, ini, s0, s1, s2, s3,
+               chr(10) || role || ':' || text AS own, chr(10) || 'user:' || text AS usr, chr(10) || 'assistant:' || text AS ast,
+               {c: s0.c + 4, a: s0.a || 'D', r: s0.r} AS d0,
+               CASE WHEN s1 IS NOT NULL THEN {c: s1.c + 4, a: s1.a || 'D', r: s1.r} END AS d1,
+               {c: s2.c + 4, a: s2.a || 'D', r: s2.r} AS d2, {c: s3.c + 4, a: s3.a || 'D', r: s3.r} AS d3
+        FROM steps JOIN marked m ON m.conv_id IS NOT DISTINCT FROM steps.conv_id AND m.i = steps.i + 1)))),
+solved AS (
+  SELECT conv_id, arg_max(least(s0, s3), i) AS best FROM steps GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE dup) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+         count(*) FILTER (WHERE i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY conv_id)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(best.r[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN solved ON solved.conv_id IS NOT DISTINCT FROM ids.conv_id
+""")
+def op11_dialogue_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair_report(table(spark, sf, "conversations"))
