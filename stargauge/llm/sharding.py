@@ -31,7 +31,7 @@ _SIGN = np.int64(-(2**63))
 
 def _packed(*keys: np.ndarray) -> np.ndarray:
     """Keys of 64-bit integers as byte strings of the same order."""
-    columns = np.stack([(np.asarray(k, np.int64) ^ _SIGN).astype(">u8") for k in keys], axis=1)
+    columns = np.stack([np.asarray(k, np.int64) ^ _SIGN for k in keys], axis=1).astype(">u8")  # stacking undoes byte orders
     return np.ascontiguousarray(columns).view(f"S{8 * len(keys)}").ravel()
 
 
