@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokens
 from .decontaminate import find_passages, passage_report
 from .dialogues import repair_report
 from .fuzzy_lines import dedup_lines
@@ -49,6 +50,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> bytes:
+    """A public tokenizer file, read on the driver."""
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
 def vocabulary(name: str) -> str:
     """A public tokenizer file's text, read on the driver."""
     with open(public_tokenizers.path(name), encoding="utf-8") as file:
@@ -143,6 +150,12 @@ def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return judge_findings(findings, model)
 
 
+@query()
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    models = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    return align_tokens(table(spark, sf, "documents"), models)
+
+
 # CRC-32 by its table, which is made from the polynomial.
 _CRC_TABLE_SQL = """crc_table AS (
   SELECT list(list_reduce([v::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
