@@ -16,6 +16,7 @@ import hashlib
 import json
 import os
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -220,7 +221,7 @@ _ALIGNERS: dict[tuple, Aligner] = {}
 
 def _aligner(names: tuple[str, ...], models: Broadcast, table: Broadcast | None = None, shown: bool = True) -> Aligner:
     """A worker's aligner; the last one is kept, with the runs it knows, for tasks that ask for the same."""
-    key = (*names, table.id if table else None, shown)
+    key = (*names, shown)
     if key not in _ALIGNERS:
         _ALIGNERS.clear()
         _ALIGNERS[key] = Aligner(*models.value, table.value if table else None, shown)
@@ -308,7 +309,7 @@ def _hold(docs: DataFrame, models: tuple[bytes, bytes]) -> tuple[Broadcast, tupl
 _FIXED = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def _reporting(held: Broadcast, names: tuple[str, str], table: Broadcast | None, schema: pa.Schema) -> Callable:
+def _reporting(held: Broadcast, names: tuple[str, ...], table: Broadcast | None, schema: pa.Schema) -> Callable:
     """Reports of documents; with a table of pairs also their sums, else the pairs themselves, to be joined."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,6 +349,7 @@ def align_tokens(docs: DataFrame, models: tuple[bytes, bytes], broadcast_bytes:
         got = pairs.orderBy("pair").toArrow()
         columns = [got.column(c).to_numpy() for c in ("pair", "n", "best")]
         table = docs.sparkSession.sparkContext.broadcast(tuple(columns))
+        names = (*names, uuid.uuid4().hex)  # a table of its own
         schema = pa.schema([*fixed, ("n_best", pa.int64()), ("count_sum", pa.int64())])
         return rows.mapInArrow(_reporting(held, names, table, schema), f"{head}, n_best long, count_sum long").select(out)
     lists = [("pairs", pa.list_(pa.int64())), ("links", pa.list_(pa.int64()))]
