@@ -398,7 +398,8 @@ def repaired_turns(turns: DataFrame, rows: DataFrame, pieces: DataFrame, answers
     dealt = rows.withColumn("stretch", F.shiftright("at", STRETCH_BITS)).alias("r").join(
         slices.alias("s"), F.col("r.conv_id").eqNullSafe(F.col("s.conv_id")) & (F.col("r.stretch") == F.col("s.stretch")),
     ).select(*[f"r.{c}" for c in (*_ORDER, "initial", "at")], "s.entry", "s.slice")
-    edits = dealt.sortWithinPartitions("at").mapInArrow(_edits, _SLICE)
+    # Dealt anew whatever the join was: after a broadcast a stretch may lie in several tasks.
+    edits = dealt.repartition(F.shiftright("at", STRETCH_BITS)).sortWithinPartitions("at").mapInArrow(_edits, _SLICE)
     texts = turns.select(*_ORDER[:3], "text", *_text_key())
     both = edits.unionByName(texts, allowMissingColumns=True).repartition("conv_id")
     return both.sortWithinPartitions(*_ORDER, F.col("at").asc_nulls_last()).mapInArrow(_lines, _LINE)
