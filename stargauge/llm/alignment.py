@@ -5,9 +5,9 @@ text (its proto; the class ``ImmutableSentencePieceText`` of older releases has
 that share a character all cover it, and byte-fallback tokens cover nothing but for the last. Those ends are refined by the
 bytes that the tokens decode to. Where tokens of both end at the same byte, the text is cut into groups.
 
-Neither tokenizer joins anything across the end of a word, a character that is no white space before a blank, so a text is
-cut there into runs; each distinct run is encoded and aligned once and remembered. Whether the vocabularies allow that is
-checked when they are loaded; otherwise texts are taken whole.
+Neither tokenizer joins anything across a blank that follows a character that is no white space, so texts are cut there
+into runs. Each distinct run is encoded and aligned once, many joined by line breaks, and remembered while it is used.
+Whether the vocabularies allow that is checked when they are loaded; otherwise texts are taken whole.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from .store import written
 from .words import batches, byte_letters, record, release
 
-_WORD_END = re.compile(r"(?<=\S)(?= )")
 _BLANK = "▁"
+_WORD_END, _ODD_BLANK = re.compile(r"(?<=\S)(?= )"), re.compile(r"\s |\s$")
 _PAIR_BITS = 20
 
 #: Groups with more links than this are unfolded by their distinct ids.
@@ -78,14 +79,13 @@ class _Part:
 
 
 class Aligner:
-    """Aligned runs of texts under two tokenizers; remembers up to ``limit`` runs.
+    """Aligned runs of texts under two tokenizers; remembers some ``limit`` runs.
 
     ``first`` is the JSON file of a byte-level tokenizer, ``second`` the model of a sentencepiece one that writes a blank
-    before each text. ``table`` holds sorted pairs, their counts and whether these are best. ``shown`` keeps the groups in
-    print.
+    before each text.
     """
 
-    def __init__(self, first: bytes, second: bytes, table: tuple | None = None, shown: bool = True, limit: int = 200_000):
+    def __init__(self, first: bytes, second: bytes, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         import sentencepiece
         from tokenizers import Tokenizer
@@ -101,60 +101,97 @@ class Aligner:
             bytes([int(p[1:-1], 16)]) if self.second.is_byte(i) else p.replace(_BLANK, " ").encode() for i, p in enumerate(pieces)
         ]
         self.first_length, self.second_length = (np.array(list(map(len, x))) for x in (self.first_bytes, self.second_bytes))
-        self.blank = self.second.piece_to_id(_BLANK)
-        #: A's rule never puts a word's end and a blank after it into one piece; no piece of B reaches across them.
+        #: A's rule cuts at all these places. B has no rule, so no piece of it may reach across them.
         rules = json.loads(first)
         words = {"type": "ByteLevel", "use_regex": True}.items() <= (rules.get("pre_tokenizer") or {}).items()
-        self.by_runs = words and not rules.get("normalizer") and not any(re.search(f"[^{_BLANK}]{_BLANK}", p) for p in pieces)
-        self.table, self.with_shown, self.limit = table, shown, limit
-        self.forget()
-
-    def forget(self) -> None:
+        whole = [p for i, p in enumerate(pieces) if not self.second.is_byte(i)]
+        self.by_runs = words and not rules.get("normalizer") and not any("\n" in p or re.search(f"[^{_BLANK}]{_BLANK}", p) for p in whole)
+        self.table, self.limit = None, limit
         self.known: dict[str, int] = {}
-        self.all, self.n_best, self.count_sum = _Part(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.all, self.uses = _Part(0), np.zeros(0, np.int64)
+        self.n_best = self.count_sum = np.zeros(0, np.int64)
 
     def runs_of(self, text: str) -> list[str]:
-        """``text`` with a blank before it, cut where a word ends; nothing of an empty text."""
-        return (_WORD_END.split(" " + text) if self.by_runs else [" " + text]) if text else []
-
-    def learn(self, texts: list[list[str]]) -> None:
-        """Align the runs that are not known yet, many joined into one text, as the tokenizers join nothing across them."""
+        """``text`` cut into runs, each without the blank it begins with; nothing of an empty text."""
+        if not text or not self.by_runs:
+            return [text] if text else []
+        if _ODD_BLANK.search(text) or text[0] == " ":
+            return [r[1:] for r in _WORD_END.split(" " + text)]
+        return text.split(" ")
+
+    def numbers(self, texts: list[list[str]]) -> list[list[int]]:
+        """The numbers of all runs of the texts, after those not known yet are aligned, many at a time."""
         if len(self.known) > self.limit:
-            self.forget()
-        new = [r for r in dict.fromkeys(r for runs in texts for r in runs) if r not in self.known]
+            self._trim()
+        new = [r for r in set().union(*texts) if r not in self.known]
         parts, at = [self.all], 0
         while at < len(new):
             end, size = at, 0
             while end < len(new) and end - at < 2048 and size < 1 << 20:
                 size += len(new[end])
                 end += 1
-            parts += self._aligned(new[at:end])
+            parts += self._aligned([" " + r for r in new[at:end]])
             at = end
         for run in new:
             self.known[run] = len(self.known)
         if len(parts) > 1:
             self._merge(parts)
+        out = [list(map(self.known.__getitem__, runs)) for runs in texts]
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        for runs in out:
+            self.uses[runs] += 1
+        return out
+
+    def _trim(self) -> None:
+        """Forget the runs that were in one text only, and of the others the rarer ones beyond half the limit."""
+        order = np.argsort(-self.uses, kind="stable")[: self.limit // 2]
+        keep = np.sort(order[self.uses[order] > 1])
+        old, new = self.all, _Part(0)
+        names = list(self.known)  # in the order of their numbers
+        self.known = {names[k]: i for i, k in enumerate(keep.tolist())}
+        for name in ("n_a", "n_b", "n_groups", "n_links", "good"):
+            setattr(new, name, getattr(old, name)[keep])
+        sizes = np.diff(old.begin)[keep]
+        new.begin = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(sizes.sum()) + np.repeat(old.begin[keep] - new.begin[:-1], sizes)
+        new.pairs, new.links = old.pairs[at], old.links[at]
+        new.shown = [old.shown[k] for k in keep.tolist()]
+        self.all, self.uses = new, self.uses[keep]
+        self.n_best, self.count_sum = self.n_best[keep], self.count_sum[keep]
 
     def _merge(self, parts: list[_Part]) -> None:
-        whole = _Part(0)
+        whole, shown = _Part(0), parts[0].shown
         for name in ("n_a", "n_b", "n_groups", "n_links", "pairs", "links", "good"):
             setattr(whole, name, np.concatenate([getattr(p, name) for p in parts]))
-        whole.shown = [x for p in parts for x in p.shown]
-        ends = np.concatenate([np.diff(p.begin) for p in parts])
-        whole.begin = np.concatenate([[0], np.cumsum(ends)])
-        if self.table:
-            keys, n, best = self.table
-            new = slice(len(self.all.pairs), None)
-            at = np.minimum(np.searchsorted(keys, whole.pairs[new]), len(keys) - 1)
-            begin = (whole.begin - len(self.all.pairs))[len(self.all.good):]
-            found = [np.concatenate([[0], np.cumsum(whole.links[new] * v[at])]) if len(keys) else np.zeros(1, np.int64) for v in (best, n)]
-            sums = [np.diff(f[begin]) if len(keys) else np.zeros(len(begin) - 1, np.int64) for f in found]
-            self.n_best, self.count_sum = np.concatenate([self.n_best, sums[0]]), np.concatenate([self.count_sum, sums[1]])
-        self.all = whole
+        for part in parts[1:]:
+            shown += part.shown
+        whole.shown = shown
+        whole.begin = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p.begin) for p in parts]))])
+        old, self.all = len(self.all.good), whole
+        self._look_up(old)
+
+    def _look_up(self, first: int) -> None:
+        """Sums over the links of the runs from ``first`` on: those that are best, and the pairs' counts."""
+        if self.table is None:
+            self.n_best = self.count_sum = np.zeros(len(self.all.good), np.int64)
+            return
+        keys, n, best = self.table
+        begin = self.all.begin[first:]
+        pairs, links = self.all.pairs[begin[0]:], self.all.links[begin[0]:]
+        at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+        sums = [np.diff(np.concatenate([[0], np.cumsum(links * v[at])])[begin - begin[0]]) for v in (best, n)]
+        self.n_best, self.count_sum = np.concatenate([self.n_best[:first], sums[0]]), np.concatenate([self.count_sum[:first], sums[1]])
+
+    def use_table(self, table: tuple | None) -> None:
+        """From now on look pairs up in ``table``: sorted pairs, their counts and whether these are best."""
+        self.table = table if table is not None and len(table[0]) else None
+        self.n_best = self.count_sum = np.zeros(len(self.all.good), np.int64)
+        self._look_up(0)
 
     def _aligned(self, runs: list[str]) -> list[_Part]:
-        """Parts of consecutive runs. Runs whose end would join what follows, or that the tokens do not restore, stay alone."""
-        part = self._align(runs) if not any(r[-1].isspace() for r in runs[:-1]) else None
+        """Parts of consecutive runs. Runs that a line break before or after would change, or that the tokens do not
+        restore, are taken alone."""
+        part = self._align(runs) if len(runs) == 1 or all(map(_joinable, runs)) else None
         if part:
             return [part]
         if len(runs) == 1:
@@ -163,47 +200,56 @@ class Aligner:
         return self._aligned(runs[:half]) + self._aligned(runs[half:])
 
     def _align(self, runs: list[str]) -> _Part | None:
-        text = "".join(runs)
+        text = "\n".join(runs)
         data = text.encode()
         one = self.first.encode(text, add_special_tokens=False)
         a = np.array(one.ids, np.int64)
-        if len(text) > 1:
-            pieces = self.second.encode(text[1:], return_type="proto", num_threads=1).pieces
-            b = np.array([p.id for p in pieces], np.int64)
-            begins, ends = np.array([p.begin for p in pieces]) + 1, np.array([p.end for p in pieces]) + 1
-        else:  # a lone blank is what the tokenizer itself writes before a text, but not before an empty one
-            b, begins, ends = np.array([self.blank]), np.array([1]), np.array([1])
+        # B writes a blank before each text: a line break after that keeps it from joining the first run.
+        pieces = self.second.encode("\n" + text, return_type="proto", num_threads=1).pieces[2:]
+        b = np.array([p.id for p in pieces], np.int64)
+        begins, ends = np.array([p.begin for p in pieces], np.int64) - 1, np.array([p.end for p in pieces], np.int64) - 1
         joined = b"".join(map(self.first_bytes.__getitem__, a.tolist())), b"".join(map(self.second_bytes.__getitem__, b.tolist()))
         if joined != (data, data):
             return None
         spans = np.array(one.offsets, np.int64).reshape(-1, 2)
+        n, sizes = len(runs), np.array(list(map(len, runs)))
         if len(data) != len(text):
             heads = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
             spans = np.append(heads, len(data))[spans]
+            sizes = np.array([len(r.encode()) for r in runs])
         a_ends = byte_ends(self.first_length[a], spans[:, 0], spans[:, 1])
         b_ends = byte_ends(self.second_length[b], begins, ends)
         cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        run_ends = np.cumsum([len(r.encode()) for r in runs]) if len(data) != len(text) else np.cumsum(list(map(len, runs)))
-        if not np.isin(run_ends, cuts).all():
+        run_ends = np.cumsum(sizes + 1) - 1
+        if not (np.isin(run_ends, cuts).all() and np.isin(run_ends[:-1] + 1, cuts).all()):
             return None
+        breaks = np.zeros(len(cuts), bool)  # groups that are the line breaks between runs
+        breaks[np.searchsorted(cuts, run_ends[:-1] + 1)] = True
+        number = np.cumsum(~breaks) - 1
         group_a, group_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
-        run_of = np.searchsorted(run_ends, cuts)
-        part, n = _Part(len(runs)), len(runs)
+        own_a, own_b = ~breaks[group_a], ~breaks[group_b]
+        a, group_a, b, group_b = a[own_a], number[group_a[own_a]], b[own_b], number[group_b[own_b]]
+        run_of = np.searchsorted(run_ends, cuts[~breaks])
+        part = _Part(n)
         part.good[:] = True
         part.n_a, part.n_b = np.bincount(run_of[group_a], minlength=n), np.bincount(run_of[group_b], minlength=n)
         part.n_groups = np.bincount(run_of, minlength=n)
-        group, pair, times = links_of(a, group_a, b, group_b, len(cuts))
+        group, pair, times = links_of(a, group_a, b, group_b, len(run_of))
         both, where = np.unique((run_of[group] << (2 * _PAIR_BITS)) | pair, return_inverse=True)
         part.links = np.zeros(len(both), np.int64)
         np.add.at(part.links, where, times)
         run, part.pairs = both >> (2 * _PAIR_BITS), both & ((1 << (2 * _PAIR_BITS)) - 1)
         part.begin = np.searchsorted(run, np.arange(n + 1))
         part.n_links = np.diff(np.concatenate([[0], np.cumsum(part.links)])[part.begin])
-        if self.with_shown:
-            part.shown = _printed(a, group_a, b, group_b, run_of, n)
+        part.shown = _printed(a, group_a, b, group_b, run_of, n)
         return part
 
 
+def _joinable(run: str) -> bool:
+    """Whether the tokenizers take the run alike between two line breaks: no white space at its ends but one blank."""
+    return not (run[-1].isspace() or run[0] != " " and run[0].isspace() or run[:1] == " " and run[1:2].isspace())
+
+
 def _printed(a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndarray, run_of: np.ndarray, n: int) -> list[str]:
     """The groups of each run as ``a,a|b;a|b,b``."""
     k = np.arange(len(run_of) + 1)
@@ -216,16 +262,19 @@ def _printed(a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndar
     return [";".join(groups[p:q]) for p, q in zip(from_run, from_run[1:])]
 
 
-_ALIGNERS: dict[tuple, Aligner] = {}
+#: A worker's aligner, the models it is of and the table it looks up; the runs it knows serve later tasks too.
+_OWN: dict[str, object] = {}
 
 
-def _aligner(names: tuple[str, ...], models: Broadcast, table: Broadcast | None = None, shown: bool = True) -> Aligner:
-    """A worker's aligner; the last one is kept, with the runs it knows, for tasks that ask for the same."""
-    key = (*names, shown)
-    if key not in _ALIGNERS:
-        _ALIGNERS.clear()
-        _ALIGNERS[key] = Aligner(*models.value, table.value if table else None, shown)
-    return _ALIGNERS[key]
+def _aligner(names: tuple[str, str], models: Broadcast, number: str = "", table: Broadcast | None = None) -> Aligner:
+    if _OWN.get("models") != names:
+        _OWN.clear()
+        _OWN.update(models=names, aligner=Aligner(*models.value), table="")
+    aligner: Aligner = _OWN["aligner"]
+    if _OWN["table"] != number:
+        aligner.use_table(table.value if table else None)
+        _OWN["table"] = number
+    return aligner
 
 
 class _Batch:
@@ -233,16 +282,14 @@ class _Batch:
 
     def __init__(self, aligner: Aligner, texts: pa.Array):
         cut = [aligner.runs_of(t or "") for t in texts.to_pylist()]
-        aligner.learn(cut)
-        self.all, self.n = aligner.all, len(cut)
-        self.aligner = aligner
-        self.runs = [list(map(aligner.known.__getitem__, runs)) for runs in cut]
+        self.runs, self.n = aligner.numbers(cut), len(cut)
+        self.all = aligner.all
         lone = np.flatnonzero(~self.all.good)
         if len(lone):
             bad = set(lone.tolist())
             self.runs = [[] if not bad.isdisjoint(runs) else runs for runs in self.runs]
         self.owner = np.repeat(np.arange(self.n), list(map(len, self.runs)))
-        self.run = np.fromiter((r for runs in self.runs for r in runs), np.int64, len(self.owner))
+        self.run = np.array(list(chain.from_iterable(self.runs)), np.int64)
 
     def sums(self, per_run: np.ndarray) -> np.ndarray:
         """Sums of a figure of the runs over each text."""
@@ -273,7 +320,7 @@ def _counting(held: Broadcast, names: tuple[str, str]) -> Callable[[Iterator[pa.
     schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(names, held, shown=False)
+        aligner = _aligner(names, held)
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for frame in batches(frames, rows=1024, size=1 << 21):
             _, pair, _ = _Batch(aligner, frame.column(0)).pairs()
@@ -309,11 +356,12 @@ def _hold(docs: DataFrame, models: tuple[bytes, bytes]) -> tuple[Broadcast, tupl
 _FIXED = ["n_a", "n_b", "n_groups", "n_links"]
 
 
-def _reporting(held: Broadcast, names: tuple[str, ...], table: Broadcast | None, schema: pa.Schema) -> Callable:
+def _reporting(held: Broadcast, names: tuple[str, str], table: Broadcast | None, schema: pa.Schema) -> Callable:
     """Reports of documents; with a table of pairs also their sums, else the pairs themselves, to be joined."""
+    number = uuid.uuid4().hex if table else ""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(names, held, table)
+        aligner = _aligner(names, held, number, table)
         for frame in batches(frames, rows=1024, size=1 << 21):
             batch = _Batch(aligner, frame.column(1))
             known = [batch.sums(getattr(batch.all, f)) for f in _FIXED]
@@ -349,7 +397,6 @@ def align_tokens(docs: DataFrame, models: tuple[bytes, bytes], broadcast_bytes:
         got = pairs.orderBy("pair").toArrow()
         columns = [got.column(c).to_numpy() for c in ("pair", "n", "best")]
         table = docs.sparkSession.sparkContext.broadcast(tuple(columns))
-        names = (*names, uuid.uuid4().hex)  # a table of its own
         schema = pa.schema([*fixed, ("n_best", pa.int64()), ("count_sum", pa.int64())])
         return rows.mapInArrow(_reporting(held, names, table, schema), f"{head}, n_best long, count_sum long").select(out)
     lists = [("pairs", pa.list_(pa.int64())), ("links", pa.list_(pa.int64()))]
