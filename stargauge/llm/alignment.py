@@ -16,7 +16,6 @@ import hashlib
 import json
 import os
 import re
-import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -85,7 +84,7 @@ class Aligner:
     before each text.
     """
 
-    def __init__(self, first: bytes, second: bytes, limit: int = 600_000):
+    def __init__(self, first: bytes, second: bytes, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         import sentencepiece
         from tokenizers import Tokenizer
@@ -106,10 +105,9 @@ class Aligner:
         words = {"type": "ByteLevel", "use_regex": True}.items() <= (rules.get("pre_tokenizer") or {}).items()
         whole = [p for i, p in enumerate(pieces) if not self.second.is_byte(i)]
         self.by_runs = words and not rules.get("normalizer") and not any("\n" in p or re.search(f"[^{_BLANK}]{_BLANK}", p) for p in whole)
-        self.table, self.limit = None, limit
+        self.limit = limit
         self.known: dict[str, int] = {}
         self.all, self.uses = _Part(0), np.zeros(0, np.int64)
-        self.n_best = self.count_sum = np.zeros(0, np.int64)
 
     def runs_of(self, text: str) -> list[str]:
         """``text`` cut into runs, each without the blank it begins with; nothing of an empty text."""
@@ -157,7 +155,6 @@ class Aligner:
         new.pairs, new.links = old.pairs[at], old.links[at]
         new.shown = [old.shown[k] for k in keep.tolist()]
         self.all, self.uses = new, self.uses[keep]
-        self.n_best, self.count_sum = self.n_best[keep], self.count_sum[keep]
 
     def _merge(self, parts: list[_Part]) -> None:
         whole, shown = _Part(0), parts[0].shown
@@ -167,26 +164,7 @@ class Aligner:
             shown += part.shown
         whole.shown = shown
         whole.begin = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p.begin) for p in parts]))])
-        old, self.all = len(self.all.good), whole
-        self._look_up(old)
-
-    def _look_up(self, first: int) -> None:
-        """Sums over the links of the runs from ``first`` on: those that are best, and the pairs' counts."""
-        if self.table is None:
-            self.n_best = self.count_sum = np.zeros(len(self.all.good), np.int64)
-            return
-        keys, n, best = self.table
-        begin = self.all.begin[first:]
-        pairs, links = self.all.pairs[begin[0]:], self.all.links[begin[0]:]
-        at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
-        sums = [np.diff(np.concatenate([[0], np.cumsum(links * v[at])])[begin - begin[0]]) for v in (best, n)]
-        self.n_best, self.count_sum = np.concatenate([self.n_best[:first], sums[0]]), np.concatenate([self.count_sum[:first], sums[1]])
-
-    def use_table(self, table: tuple | None) -> None:
-        """From now on look pairs up in ``table``: sorted pairs, their counts and whether these are best."""
-        self.table = table if table is not None and len(table[0]) else None
-        self.n_best = self.count_sum = np.zeros(len(self.all.good), np.int64)
-        self._look_up(0)
+        self.all = whole
 
     def _aligned(self, runs: list[str]) -> list[_Part]:
         """Parts of consecutive runs. Runs that a line break before or after would change, or that the tokens do not
@@ -262,19 +240,15 @@ def _printed(a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndar
     return [";".join(groups[p:q]) for p, q in zip(from_run, from_run[1:])]
 
 
-#: A worker's aligner, the models it is of and the table it looks up; the runs it knows serve later tasks too.
-_OWN: dict[str, object] = {}
+#: A worker's aligner and the models it is of; the runs it knows serve later tasks too.
+_OWN: dict[tuple[str, str], Aligner] = {}
 
 
-def _aligner(names: tuple[str, str], models: Broadcast, number: str = "", table: Broadcast | None = None) -> Aligner:
-    if _OWN.get("models") != names:
+def _aligner(names: tuple[str, str], models: Broadcast) -> Aligner:
+    if names not in _OWN:
         _OWN.clear()
-        _OWN.update(models=names, aligner=Aligner(*models.value), table="")
-    aligner: Aligner = _OWN["aligner"]
-    if _OWN["table"] != number:
-        aligner.use_table(table.value if table else None)
-        _OWN["table"] = number
-    return aligner
+        _OWN[names] = Aligner(*models.value)
+    return _OWN[names]
 
 
 class _Batch:
@@ -300,81 +274,93 @@ class _Batch:
         shown = self.all.shown
         return [hashlib.sha256(";".join([shown[r] for r in runs]).encode()).hexdigest() if runs else "" for runs in self.runs]
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, pair, links) for every distinct pair of every text, text by text."""
-        if not len(self.run):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        uses, times = np.unique(self.owner * len(self.all.good) + self.run, return_counts=True)
-        text, run = np.divmod(uses, len(self.all.good))
-        begin, sizes = self.all.begin[run], np.diff(self.all.begin)[run]
-        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - begin, sizes)
-        key, inverse = np.unique(self.all.pairs[at], return_inverse=True)
-        both, where = np.unique(np.repeat(text, sizes) * len(key) + inverse, return_inverse=True)
-        total = np.zeros(len(both), np.int64)
-        np.add.at(total, where, self.all.links[at] * np.repeat(times, sizes))
-        owner, number = np.divmod(both, len(key))
-        return owner, key[number], total
-
-
-def _counting(held: Broadcast, names: tuple[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+    def packed(self) -> dict[str, list]:
+        """The distinct runs of the batch, by numbers of its own, with their pairs, and the documents of each pair."""
+        used, run = np.unique(self.run, return_inverse=True)
+        begin, sizes = self.all.begin[used], np.diff(self.all.begin)[used]
+        at = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        pairs, pair_at = np.unique(self.all.pairs[at], return_inverse=True)
+        # One row for each text and run of it, then one for each text and pair of it.
+        own = np.unique(self.owner * max(1, len(used)) + run)
+        text, of = np.divmod(own, max(1, len(used)))
+        first = (np.cumsum(sizes) - sizes)[of]
+        each = np.arange(sizes[of].sum()) + np.repeat(first - (np.cumsum(sizes[of]) - sizes[of]), sizes[of])
+        held = np.unique(np.repeat(text, sizes[of]) * max(1, len(pairs)) + pair_at[each])
+        docs = np.bincount(held % max(1, len(pairs)), minlength=len(pairs))
+        return {
+            "n_runs": list(map(len, self.runs)), "runs": run, "sizes": sizes, "pair_at": pair_at, "links": self.all.links[at],
+            "pairs": pairs, "docs": docs,
+        }
+
+
+_FIXED = ["n_a", "n_b", "n_groups", "n_links"]
+_LISTS = {
+    "doc_id": "long", **dict.fromkeys(_FIXED, "long"), "groups_sha256": "string", "n_runs": "int", "runs": "int", "sizes": "int",
+    "pair_at": "int", "links": "long", "pairs": "long", "docs": "long",
+}
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+
+
+def _packing(held: Broadcast, names: tuple[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    schema = pa.schema([(c, pa.list_(_ARROW[t])) for c, t in _LISTS.items()])
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(names, held)
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for frame in batches(frames, rows=1024, size=1 << 21):
-            _, pair, _ = _Batch(aligner, frame.column(0)).pairs()
-            pair, times = np.unique(pair, return_counts=True)
-            keys, where = np.unique(np.concatenate([keys, pair]), return_inverse=True)
-            total = np.zeros(len(keys), np.int64)
-            np.add.at(total, where, np.concatenate([counts, times]))
-            counts = total
-            if len(keys) > 1 << 20:  # what is held is bounded; Spark adds the parts up
-                yield record(schema, keys, counts)
-                keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield record(schema, keys, counts)
+            batch = _Batch(aligner, frame.column(1))
+            values = {f: batch.sums(getattr(batch.all, f)) for f in _FIXED} | batch.packed()
+            values |= {"doc_id": frame.column(0), "groups_sha256": batch.digests()}
+            lists = [pa.array(values[c]).cast(_ARROW[t]) for c, t in _LISTS.items()]
+            yield pa.record_batch([pa.ListArray.from_arrays([0, len(x)], x) for x in lists], schema=schema)
         release()
 
     return run
 
 
-def count_pairs(docs: DataFrame, models: tuple[bytes, bytes], text: str = "text") -> DataFrame:
-    """pair, n (documents that hold it linked), best (n is the highest of its first id); written, so counted once."""
-    held, names = _hold(docs, models)
-    parts = docs.select(text).mapInArrow(_counting(held, names), "pair long, n long")
-    counts = parts.groupBy("pair").agg(F.sum("n").alias("n"))
-    top = F.max("n").over(Window.partitionBy(F.shiftright("pair", _PAIR_BITS)))  # at most as many rows as B has ids
-    return written(counts.select("pair", "n", (F.col("n") == top).alias("best")), "pairs")
+_OUT = ["doc_id", *_FIXED, "n_best", "count_sum", "groups_sha256"]
+_OUT_DDL = ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'long'}" for c in _OUT)
 
 
-def _hold(docs: DataFrame, models: tuple[bytes, bytes]) -> tuple[Broadcast, tuple[str, str]]:
-    names = tuple(hashlib.sha256(m).hexdigest() for m in models)
-    return docs.sparkSession.sparkContext.broadcast(models), names  # two vocabulary files of a few MB
+def _summing(table: Broadcast | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Documents of packed batches, with the sums of their pairs' counts, taken from a table or from the rows."""
+    schema = pa.schema([(c, pa.string() if c == "groups_sha256" else pa.int64()) for c in _OUT])
 
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            for k in range(frame.num_rows):
+                lists = {f.name: _values(frame.column(i)[k], f.type) for i, f in enumerate(frame.schema) if f.name != "batch"}
+                x = {c: lists[c].to_numpy() for c in ("n_runs", "runs", "sizes", "pair_at", "links", "pairs")}
+                if table:
+                    keys, n, best = table.value
+                    at = np.searchsorted(keys, x["pairs"])
+                    counts = best[at], n[at]
+                else:
+                    order = np.argsort(lists["key"].to_numpy())
+                    counts = lists["best"].to_numpy(zero_copy_only=False)[order], lists["n"].to_numpy()[order]
+                sums = []
+                for value in counts:
+                    per_run = _spread(x["links"] * value[x["pair_at"]], x["sizes"])
+                    sums.append(_spread(per_run[x["runs"]], x["n_runs"]))
+                yield record(schema, lists["doc_id"], *[lists[f] for f in _FIXED], *sums, lists["groups_sha256"])
+        release()
 
-_FIXED = ["n_a", "n_b", "n_groups", "n_links"]
+    return run
 
 
-def _reporting(held: Broadcast, names: tuple[str, str], table: Broadcast | None, schema: pa.Schema) -> Callable:
-    """Reports of documents; with a table of pairs also their sums, else the pairs themselves, to be joined."""
-    number = uuid.uuid4().hex if table else ""
+def _values(cell: pa.ListScalar, kind: pa.ListType) -> pa.Array:
+    return pa.array([], kind.value_type) if cell.values is None else cell.values
 
-    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(names, held, number, table)
-        for frame in batches(frames, rows=1024, size=1 << 21):
-            batch = _Batch(aligner, frame.column(1))
-            known = [batch.sums(getattr(batch.all, f)) for f in _FIXED]
-            if table:
-                extra = [batch.sums(aligner.n_best), batch.sums(aligner.count_sum)]
-            else:
-                owner, pair, links = batch.pairs()
-                begin = np.searchsorted(owner, np.arange(batch.n + 1)).astype(np.int32)
-                extra = [pa.ListArray.from_arrays(begin, pa.array(pair)), pa.ListArray.from_arrays(begin, pa.array(links))]
-            yield record(schema, frame.column(0), *known, batch.digests(), *extra)
-        release()
 
-    return run
+def _spread(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive stretches of these sizes."""
+    return np.diff(np.concatenate([[0], np.cumsum(values)])[np.concatenate([[0], np.cumsum(sizes)])])
+
+
+def count_pairs(packed: DataFrame) -> DataFrame:
+    """pair, n (documents that hold it linked), best (n is the highest of its first id)."""
+    counts = packed.select(F.explode(F.arrays_zip("pairs", "docs")).alias("x")).groupBy(F.col("x.pairs").alias("pair"))
+    top = F.max("n").over(Window.partitionBy(F.shiftright("pair", _PAIR_BITS)))  # at most as many rows as B has ids
+    return counts.agg(F.sum("x.docs").alias("n")).select("pair", "n", (F.col("n") == top).alias("best"))
 
 
 def align_tokens(docs: DataFrame, models: tuple[bytes, bytes], broadcast_bytes: int = 1 << 26) -> DataFrame:
@@ -384,30 +370,21 @@ def align_tokens(docs: DataFrame, models: tuple[bytes, bytes], broadcast_bytes:
     tokens of either have no tokens: zeros and an empty ``groups_sha256``. Repeated rows each count as a document; null ids
     stay null; other columns are not read; an empty table gives no rows. A word of any length is one run.
 
-    Pair counts are sent to all workers if they take at most ``broadcast_bytes`` (they are counted first), else joined by
-    pair; both give the same rows.
+    Texts are aligned once; what is written is a row for each some 2 MB of texts: its documents as numbers of runs, its
+    distinct runs as numbers of pairs, its distinct pairs with their documents. Pair counts are sent to all workers if they
+    take at most ``broadcast_bytes`` (they are counted first), else joined to the distinct pairs; both give the same rows.
     """
-    pairs = count_pairs(docs, models)
-    held, names = _hold(docs, models)
+    names = tuple(hashlib.sha256(m).hexdigest() for m in models)
+    held = docs.sparkSession.sparkContext.broadcast(models)  # two vocabulary files of a few MB
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    fixed = [("doc_id", pa.int64()), *[(f, pa.int64()) for f in _FIXED], ("groups_sha256", pa.string())]
-    head = "doc_id long, " + ", ".join(f"{f} long" for f in _FIXED) + ", groups_sha256 string"
-    out = ["doc_id", *_FIXED, "n_best", "count_sum", "groups_sha256"]
+    ddl = ", ".join(f"{c} array<{t}>" for c, t in _LISTS.items())
+    packed = written(rows.mapInArrow(_packing(held, names), ddl).withColumn("batch", F.monotonically_increasing_id()), "aligned")
+    pairs = written(count_pairs(packed), "pairs")
     if pairs.count() * 17 <= broadcast_bytes:
         got = pairs.orderBy("pair").toArrow()
-        columns = [got.column(c).to_numpy() for c in ("pair", "n", "best")]
-        table = docs.sparkSession.sparkContext.broadcast(tuple(columns))
-        schema = pa.schema([*fixed, ("n_best", pa.int64()), ("count_sum", pa.int64())])
-        return rows.mapInArrow(_reporting(held, names, table, schema), f"{head}, n_best long, count_sum long").select(out)
-    lists = [("pairs", pa.list_(pa.int64())), ("links", pa.list_(pa.int64()))]
-    found = rows.mapInArrow(
-        _reporting(held, names, None, pa.schema([*fixed, *lists])), f"{head}, pairs array<long>, links array<long>"
-    )
-    kept = written(found.withColumn("row", F.monotonically_increasing_id()), "aligned")
-    each = kept.select("row", F.explode(F.arrays_zip("pairs", "links")).alias("x")).select("row", "x.pairs", "x.links")
-    sums = each.join(pairs, each["pairs"] == pairs["pair"]).groupBy("row").agg(
-        F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("n_best"),
-        F.sum(F.col("links") * F.col("n")).alias("count_sum"),
-    )
-    filled = [F.coalesce(c, F.lit(0)).alias(c) if c in ("n_best", "count_sum") else F.col(c) for c in out]
-    return kept.drop("pairs", "links").join(sums, "row", "left").select(filled)
+        table = docs.sparkSession.sparkContext.broadcast(tuple(got.column(c).to_numpy() for c in ("pair", "n", "best")))
+        return packed.mapInArrow(_summing(table), _OUT_DDL)
+    each = packed.select("batch", F.explode("pairs").alias("pair")).join(pairs, "pair").groupBy("batch")
+    found = each.agg(F.collect_list(F.struct("pair", "n", "best")).alias("x"))  # the pairs of one batch, as many as it had
+    known = found.select("batch", F.col("x.pair").alias("key"), F.col("x.n").alias("n"), F.col("x.best").alias("best"))
+    return packed.join(known, "batch", "left").mapInArrow(_summing(None), _OUT_DDL)
