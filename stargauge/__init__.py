@@ -24,4 +24,4 @@ from .sources.snapshots import (
     at_snapshot, has_snapshot, one_snapshot, read_snapshots, split_corrupt, stack_snapshots, today_utc, write_snapshot,
 )
 from .sources.tables import append_snapshot, ensure_database, ensure_table, replace_table
-from .streaming.ingest import ingest_available, merge_files, snapshot_stream
+from .streaming.ingest import ingest_available, loaded_files, merge_files, snapshot_stream

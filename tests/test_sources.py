@@ -2,6 +2,7 @@
 
 import base64
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,52 @@ def test_incremental_ingest(spark, tmp_path):
     assert ingest(spark, tmp_path, table, tmp_path / "ck3") == second
 
 
+def stored_files(spark, table):
+    """Data files of a table with their sizes and times of change."""
+    top = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first().data_type.removeprefix("file:")
+    return {p: (p.stat().st_size, p.stat().st_mtime_ns) for p in pathlib.Path(top).rglob("*.parquet")}
+
+
+def test_a_late_file_writes_its_own_partition_only(spark, tmp_path):
+    sg.ensure_database(spark, "t_ledger")
+    table, day = "t_ledger.languages", 20240108
+    put(tmp_path, FEED, day, [lang(f"r{k}", "Go", k) for k in range(5_000)], "big.json")
+    ingest(spark, tmp_path, table, tmp_path / "ck")
+    before = stored_files(spark, table)
+    put(tmp_path, FEED, day, [lang("late", "C", 9)], "late.json")
+    ingest(spark, tmp_path, table, tmp_path / "ck")
+    after = stored_files(spark, table)
+    assert {p: after[p] for p in before} == before  # nothing of the date was rewritten
+    written = sum(size for p, (size, _) in after.items() if p not in before)
+    assert 0 < written < sum(size for size, _ in before.values()) / 5
+    names = {r.source_file.rsplit("/", 1)[1]: (r.rows, r.bytes) for r in sg.loaded_files(spark, table).collect()}
+    folder = tmp_path / FEED / f"date={day}"
+    assert names == {"big.json": (5_000, (folder / "big.json").stat().st_size), "late.json": (1, (folder / "late.json").stat().st_size)}
+
+    ingest(spark, tmp_path, table, tmp_path / "lost")  # from an empty checkpoint: the ledger knows both files
+    assert stored_files(spark, table) == after and spark.table(f"{table}_files").count() == 2
+
+    (folder / "late.json").unlink()
+    put(tmp_path, FEED, day, [lang("late", "C", 10), lang("later", "C", 11)], "late.json")
+    ingest(spark, tmp_path, table, tmp_path / "again")
+    final = stored_files(spark, table)
+    assert {p: final[p] for p in before} == before
+    assert spark.table(table).count() == 5_002 and {r.rows for r in sg.loaded_files(spark, table).collect()} == {5_000, 2}
+
+
+def test_a_batch_that_runs_twice_leaves_its_rows_once(spark):
+    sg.ensure_database(spark, "t_twice")
+    rows = spark.createDataFrame([("f1", 1, 20240101), ("f1", 2, 20240101), ("f2", 3, None)], "source_file string, x int, snapshot_date long")
+    for _ in range(2):
+        sg.merge_files(rows, "t_twice.raw")
+    assert sorted(r.x for r in spark.table("t_twice.raw").collect()) == [1, 2, 3]
+    sg.merge_files(rows.limit(0), "t_twice.raw")
+    assert sg.loaded_files(spark, "t_twice.raw").count() == 2
+    sg.ensure_table(spark, "t_twice.old", rows.schema)
+    with pytest.raises(ValueError, match="file_id"):
+        sg.merge_files(rows, "t_twice.old")
+
+
 @pytest.fixture(scope="module")
 def base(tmp_path_factory):
     folder = tmp_path_factory.mktemp("raw")
