@@ -161,6 +161,34 @@ def cluster_summary(spark, sf):
     return rounded(sg.group_means(_clustered(spark, sf), "cluster", ["stars_count", "forks_count", "total_commits", "repo_age_days"]))
 
 
+# Customers in four groups far apart on two measures, with a constant third; each group is spread by the customer's key.
+_PLANTED_SQL = """planted AS (SELECT c_custkey, c_nationkey % 4 AS planted, 40000 - 10000 * (c_nationkey % 4) + c_custkey % 100 AS stars_count,
+  CAST(CASE WHEN c_nationkey % 2 = 0 THEN 500 ELSE 9000 END + c_custkey % 37 AS DOUBLE) AS forks_count, 7 AS watchers FROM customer)"""
+
+
+def _planted(spark, sf):
+    group = F.col("c_nationkey") % 4
+    rows = table(spark, sf, "customer").select(
+        "c_custkey", group.alias("planted"), (40000 - 10000 * group + F.col("c_custkey") % 100).alias("stars_count"),
+        (F.when(F.col("c_nationkey") % 2 == 0, 500).otherwise(9000) + F.col("c_custkey") % 37).cast("double").alias("forks_count"),
+        F.lit(7).alias("watchers"),
+    )
+    return sg.kmeans(rows, ["stars_count", "forks_count", "watchers"])
+
+
+@query(f"WITH {_PLANTED_SQL} SELECT c_custkey, planted, stars_count, planted AS cluster FROM planted")
+def kmeans_planted(spark, sf):
+    """Ten restarts find groups that are there; ids fall by mean stars, as the groups do."""
+    return _planted(spark, sf).select("c_custkey", "planted", "stars_count", "cluster")
+
+
+@query(f"""WITH {_PLANTED_SQL}
+SELECT planted AS cluster, round(avg(stars_count), 6) AS stars_count, round(avg(forks_count), 6) AS forks_count, round(avg(watchers), 6) AS watchers
+FROM planted GROUP BY planted""")
+def kmeans_planted_means(spark, sf):
+    return rounded(sg.group_means(_planted(spark, sf), "cluster", ["stars_count", "forks_count", "watchers"]))
+
+
 MEANS = ["stars_count", "forks_count", "total_commits", "total_contributors", "stars_per_day", "language_count", "commits_per_contributor"]
 
 

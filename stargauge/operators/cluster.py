@@ -1,15 +1,16 @@
-"""Standardising features and grouping rows with MLlib k-means."""
+"""Standardising features and grouping rows by k-means, all restarts in one pass over the rows at a time."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
@@ -33,26 +34,128 @@ def standardise(df: DataFrame, columns: Sequence[str], suffix: str = "") -> Data
     return df.withColumn("_s", stats.scalar()).withColumns(scaled).drop("_s")
 
 
-def best_kmeans(vectors: DataFrame, column: str, k: int = 4, restarts: int = RESTARTS, seed: int = SEED, parallel: int = 8) -> KMeansModel:
-    """Fit from several seeds and keep the model with the lowest cost.
-
-    The fits are independent Spark jobs on cached vectors; a few run at a time so
-    that short tail stages of one overlap with another.
+@dataclass(frozen=True)
+class Centres:
+    """The best of several fits: k x d centres, the squared distances to them in all, and the passes that were made."""
+
+    points: np.ndarray
+    cost: float
+    passes: int
+
+    def nearest(self, vector: Column) -> Column:
+        """The centre nearest to a vector (array of double), the lowest of equals; null for null."""
+        def gap(centre: np.ndarray) -> Column:
+            ends = F.array(*[F.lit(float(x)) for x in centre])
+            return F.aggregate(F.zip_with(vector, ends, lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda a, b: a + b)
+
+        gaps = [F.struct(gap(c).alias("gap"), F.lit(j).alias("j")) for j, c in enumerate(self.points)]
+        return F.when(vector.isNotNull(), F.array_min(F.array(*gaps))["j"])
+
+
+def _candidates(column: str, centres: np.ndarray, seed: int, turn: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each restart, the row of the task whose draw comes first if rows are drawn by squared distance."""
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Only names of this function and modules: a task need not have this package.
+        restarts, k, d = centres.shape
+        best, rows = np.full(restarts, np.inf), np.zeros((restarts, d))
+        for frame in frames:
+            x = frame.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            if not len(x):
+                continue
+            # A draw in (0, 1] for each row and restart, from the row's values alone: however rows lie, the same row wins.
+            mixed = np.full(len(x), (seed * 1_000_003 + turn) & 0xFFFFFFFF, np.uint64)
+            for j in range(d):
+                mixed = (mixed ^ x[:, j].view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                mixed ^= mixed >> np.uint64(29)
+            for r in range(restarts):
+                own = (mixed + np.uint64(r + 1)) * np.uint64(0xBF58476D1CE4E5B9)
+                own = (own ^ (own >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+                unit = ((own >> np.uint64(11)) + np.uint64(1)) / float(1 << 53)
+                weight = np.ones(len(x))
+                if k:
+                    weight = np.min(((x[:, None, :] - centres[r][None]) ** 2).sum(axis=2), axis=1)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    race = np.where(weight > 0, -np.log(unit) / weight, np.inf)
+                first = int(np.argmin(race))
+                if race[first] < best[r]:
+                    best[r], rows[r] = race[first], x[first]
+        found = np.flatnonzero(np.isfinite(best))
+        yield pa.record_batch({
+            "restart": pa.array(found, pa.int32()), "race": pa.array(best[found]),
+            "row": pa.array(rows[found].tolist(), pa.list_(pa.float64())),
+        })
+
+    return run
+
+
+def _sums(centres: np.ndarray, live: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of each restart and centre: the rows nearest to it, their sum, and their squared distances; one row a task each."""
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, k, d = centres.shape
+        own = centres[live]
+        totals, counts, costs = np.zeros((len(live), k, d)), np.zeros((len(live), k), np.int64), np.zeros((len(live), k))
+        for frame in frames:
+            for at in range(0, frame.num_rows, 4096):
+                x = frame.column(0).slice(at, 4096).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+                gaps = (x * x).sum(axis=1)[:, None] - 2 * (x @ own.reshape(-1, d).T) + (own * own).sum(axis=2).reshape(1, -1)
+                gaps = gaps.reshape(len(x), len(live), k)
+                near = gaps.argmin(axis=2)
+                for r in range(len(live)):
+                    counts[r] += np.bincount(near[:, r], minlength=k)
+                    costs[r] += np.bincount(near[:, r], np.maximum(gaps[np.arange(len(x)), r, near[:, r]], 0), minlength=k)
+                    np.add.at(totals[r], near[:, r], x)
+        yield pa.record_batch({
+            "restart": pa.array(np.repeat(live, k), pa.int32()), "centre": pa.array(np.tile(np.arange(k), len(live)), pa.int32()),
+            "n": pa.array(counts.ravel()), "cost": pa.array(costs.ravel()), "total": pa.array(totals.reshape(-1, d).tolist(), pa.list_(pa.float64())),
+        })
+
+    return run
+
+
+def best_kmeans(vectors: DataFrame, column: str, k: int = 4, restarts: int = RESTARTS, seed: int = SEED) -> Centres:
+    """Fit from several starts and keep the centres with the lowest cost; ``column`` holds arrays of double.
+
+    All restarts move together: each pass over the cached rows gives the sums for the centres of every restart that has
+    not settled, so there are k passes to draw the starts (each centre a row drawn by its squared distance from those
+    before, equal rows counting once) and then as many as the longest restart needs. What reaches the driver in a pass is
+    one row for each restart and centre. Sums are added up by Spark task by task; the last digits of the centres may
+    depend on that order. Rows with a null vector are left out; a table with fewer than k different rows has fewer centres.
     """
-    vectors = vectors.select(column).persist(StorageLevel.MEMORY_AND_DISK)
-    vectors.count()  # fill the cache once, before several fits ask for it at the same time
-    tol = math.sqrt(TOLERANCE / k)  # MLlib bounds the move of each centre
-
-    @inheritable_thread_target(vectors.sparkSession)
-    def fit(s: int) -> KMeansModel:
-        return KMeans(k=k, seed=s, featuresCol=column, maxIter=MAX_ITERATIONS, tol=tol).fit(vectors)
-
+    rows = vectors.select(column).where(F.col(column).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPool(min(parallel, restarts)) as pool:
-            models = pool.map(fit, range(seed, seed + restarts))
+        head = rows.first()
+        d = len(head[0]) if head else 0
+        centres = np.zeros((restarts, 0, d))
+        passes = 0
+        for turn in range(k if head else 0):
+            drawn = rows.mapInArrow(_candidates(column, centres, seed, turn), "restart int, race double, row array<double>")
+            first = drawn.groupBy("restart").agg(F.min_by("row", F.struct("race", "row")).alias("row")).collect()  # one a restart
+            passes += 1
+            if len(first) < restarts:
+                break  # no row is left that is no centre
+            centres = np.concatenate([centres, np.array([r.row for r in sorted(first, key=lambda r: r.restart)])[:, None]], axis=1)
+        live, costs = list(range(restarts)) if centres.shape[1] else [], np.zeros(restarts)
+        for _ in range(MAX_ITERATIONS):
+            if not live:
+                break
+            parts = rows.mapInArrow(_sums(centres, live), "restart int, centre int, n long, cost double, total array<double>")
+            summed = parts.groupBy("restart", "centre").agg(
+                F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("total")[j]) for j in range(d)]).alias("total")
+            ).collect()  # restarts x k rows
+            passes += 1
+            moved, moves = centres.copy(), np.zeros(restarts)
+            costs[live] = 0.0
+            for r in summed:
+                costs[r.restart] += r.cost
+                if r.n:  # a centre without rows stays where it is
+                    moved[r.restart, r.centre] = np.array(r.total) / r.n
+                    moves[r.restart] += ((moved[r.restart, r.centre] - centres[r.restart, r.centre]) ** 2).sum()
+            live = [r for r in live if moves[r] > TOLERANCE]
+            centres = moved
+        best = int(np.argmin(costs))
+        return Centres(centres[best], float(costs[best]), passes)
     finally:
-        vectors.unpersist()
-    return min(models, key=lambda m: m.summary.trainingCost)
+        rows.unpersist()
 
 
 def kmeans(df: DataFrame, features: Sequence[str], k: int = 4, restarts: int = RESTARTS, seed: int = SEED, out: str = "cluster", order_by: str | None = None) -> DataFrame:
@@ -69,20 +172,20 @@ def kmeans(df: DataFrame, features: Sequence[str], k: int = 4, restarts: int = R
 def kmeans_vectors(df: DataFrame, column: str, k: int = 4, restarts: int = RESTARTS, seed: int = SEED, out: str = "cluster", order_by: str | None = None) -> DataFrame:
     """As ``kmeans``, on a vector column. Without ``order_by``, group 0 is the largest.
 
-    The input is read once to fit (the needed columns are cached meanwhile) and
-    once more when the result is used. MLlib scales by the n - 1 deviation;
-    against the n divisor that is one common factor for all features, which moves
-    no row to another group.
+    The input is read once to fit (the needed columns are cached meanwhile) and once more when the result is used. MLlib
+    scales by the n - 1 deviation; against the n divisor that is one common factor for all features, which moves no row
+    to another group.
     """
     needed = df.select(column, *([order_by] if order_by else [])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scaler = StandardScaler(inputCol=column, outputCol="_scaled", withMean=True, withStd=True).fit(needed)
-        scaled = scaler.transform(needed)
-        model = best_kmeans(scaled, "_scaled", k, restarts, seed).setPredictionCol("_raw")
-        order = _id_order(model.transform(scaled), "_raw", order_by)
+        scaled = scaler.transform(needed).withColumn("_scaled", vector_to_array("_scaled"))
+        centres = best_kmeans(scaled, "_scaled", k, restarts, seed)
+        order = _id_order(scaled.withColumn("_raw", centres.nearest(F.col("_scaled"))), "_raw", order_by)
     finally:
         needed.unpersist()
-    return _renumber(model.transform(scaler.transform(df)).drop("_scaled"), "_raw", order, out)
+    placed = scaler.transform(df).withColumn("_raw", centres.nearest(vector_to_array("_scaled")))
+    return _renumber(placed.drop("_scaled"), "_raw", order, out)
 
 
 def canonical_ids(df: DataFrame, raw: str, order_by: str | None, out: str = "cluster") -> DataFrame:

@@ -4,10 +4,14 @@ import datetime as dt
 import random
 import statistics
 
+import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 import stargauge as sg
+from stargauge.operators.cluster import best_kmeans
 from stargauge.plans import reports as R
 
 
@@ -160,6 +164,47 @@ def test_kmeans_recovers_planted_groups(blobs):
     assert [c for c, _ in means] == [0, 1, 2, 3] and [m for _, m in means] == sorted((m for _, m in means), reverse=True)
 
 
+def lloyd(x, centres):
+    """Plain k-means from given centres: centres and cost."""
+    for _ in range(300):
+        near = ((x[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.array([x[near == j].mean(axis=0) if (near == j).any() else centres[j] for j in range(len(centres))])
+        if ((moved - centres) ** 2).sum() <= 1e-4:
+            break
+        centres = moved
+    return centres, ((x[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+def test_restarts_advance_in_one_pass(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 5)) + rng.integers(0, 3, size=(400, 1)) * 2.0
+    rows = spark.createDataFrame([(v.tolist(),) for v in x], "v array<double>").repartition(5)
+    spark.sparkContext.setJobGroup("restarts", "restarts")
+    try:
+        best = best_kmeans(rows, "v", k=4, restarts=10)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("restarts"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    costs = [best_kmeans(rows, "v", k=4, restarts=1, seed=s) for s in range(3)]
+    assert best.passes <= 4 + 60 and jobs <= 4 * best.passes  # adaptive execution makes a job of every stage
+    centres, cost = lloyd(x, best.points)
+    assert cost == pytest.approx(best.cost, rel=0.01) and best.cost <= min(c.cost for c in costs) * 1.02
+    assert np.abs(centres - best.points).max() < 0.1
+    ml = min(KMeans(k=4, seed=s, featuresCol="v").fit(rows.select(array_to_vector("v").alias("v"))).summary.trainingCost for s in range(3))
+    assert best.cost <= ml * 1.02
+    again = best_kmeans(rows.repartition(3), "v", k=4, restarts=10)
+    assert np.allclose(np.sort(again.points, axis=0), np.sort(best.points, axis=0))
+
+
+def test_kmeans_of_few_equal_and_missing_rows(spark):
+    rows = spark.createDataFrame([([1.0, 2.0],)] * 30 + [([5.0, 5.0],)] + [(None,)], "v array<double>")
+    best = best_kmeans(rows, "v", k=4, restarts=3)
+    assert len(best.points) == 2 and best.cost == pytest.approx(0)
+    found = rows.withColumn("c", best.nearest(F.col("v"))).groupBy("c").count().collect()
+    assert sorted((r.c is None, r["count"]) for r in found) == [(False, 1), (False, 30), (True, 1)]
+    assert len(best_kmeans(rows.limit(0), "v").points) == 0
+
+
 def test_cluster_reports(blobs):
     rows = R.clustered(blobs.withColumn("repo_name", F.col("id").cast("string")), restarts=2)
     assert rows.where("cluster_name is null").count() == 0
