@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import stargauge as sg
 from stargauge.functions import text as X
+from stargauge.operators import enrich as EN
 from stargauge.plans import features as FE
 from stargauge.plans import reports as R
 
@@ -416,6 +417,52 @@ def vocabulary_report(spark, sf):
     return sg.vocabulary_report(out, audiences=["researcher", "sysadmin"])
 
 
+# A word boundary in the Unicode sense, spelt out for a dialect whose own knows ASCII only; one character is consumed.
+_EDGE = r"(?:^|$|[^\pL\pN\pM_])"
+
+
+def _rule_sql(rule: str) -> str:
+    between = rule.replace(r"\b.{0,40}\b", _EDGE + r"(?:.{0,39}" + _EDGE + ")?")  # two edges with one character between
+    return f"regexp_matches(low, '{between.replace(chr(92) + 'b', _EDGE)}')"
+
+
+def _rules_sql(rules) -> str:
+    return "concat_ws(', ', " + ", ".join(f"CASE WHEN {_rule_sql(p)} THEN '{n}' END" for n, p in rules.items()) + ")"
+
+
+@query(f"""
+WITH texts AS (SELECT page_id, CASE WHEN page_id % 10 = 3 THEN NULL WHEN page_id % 10 = 4 THEN '' ELSE html END AS text FROM pages),
+lowered AS (SELECT *, lower(text) AS low, coalesce(text, '') <> '' AS given FROM texts)
+SELECT page_id,
+       CASE WHEN given THEN CASE {' '.join(f"WHEN {_rule_sql(p)} THEN '{n}'" for n, p in EN.CATEGORY_RULES.items())} ELSE 'Other' END END AS category,
+       CASE WHEN given THEN {_rules_sql(EN.STACK_RULES)} END AS tech_stack,
+       CASE WHEN given THEN CASE WHEN length(text) < 2000 THEN 'beginner' WHEN length(text) < 10000 THEN 'intermediate' ELSE 'advanced' END END AS complexity_level,
+       CASE WHEN given THEN {_rules_sql(EN.AUDIENCE_RULES)} END AS audience, CASE WHEN given THEN {_rules_sql(EN.USE_CASE_RULES)} END AS use_cases
+FROM lowered""")
+def enrich_default_rules(spark, sf):
+    """The default rules over raw pages, some of them null or empty: those have an all-null record."""
+    step = F.col("page_id") % 10
+    text = F.when(step == 3, F.lit(None)).when(step == 4, "").otherwise(F.col("html"))
+    out = sg.enrich(table(spark, sf, "pages").select("page_id", text.alias("text")), "page_id", "text")
+    return out.drop("complexity_score").withColumns({c: F.array_join(c, ", ") for c in ("tech_stack", "audience", "use_cases")})
+
+
+@query("""
+WITH lists AS (SELECT p_partkey, p_size, CAST(to_json(string_split(p_name, ' ')) AS VARCHAR) AS words, p_brand FROM part)
+SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, dense_rank() OVER (ORDER BY p_brand) AS p_brand_label, dense_rank() OVER (ORDER BY words) AS words_label
+FROM lists""")
+def encode_lists(spark, sf):
+    """A table with a list column in numbers: equal lists have one code."""
+    rows = table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("long").alias("p_size"), "p_brand", F.split("p_name", " ").alias("words"))
+    return sg.encode_numeric(rows, "p_partkey")
+
+
+@query(f"WITH {roles.READY_SQL} SELECT cluster FROM ready WHERE repo_name = 'cust/7'")
+def repo_cluster(spark, sf):
+    """The group of one repository."""
+    return R.repo_cluster(roles.ready(spark, sf), "cust/7")
+
+
 @query("""
 WITH sized AS (SELECT doc_id, text, least(len(list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '')) // 200, 2) AS level FROM documents)
 SELECT doc_id, CASE WHEN contains(text, 'tion') THEN 'Databases' ELSE 'Other' END AS category, 'Python' AS tech_stack,

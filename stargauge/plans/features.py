@@ -7,16 +7,25 @@ from pyspark.sql import functions as F
 
 from ..functions import readme as R
 from ..functions.numbers import ratio
+from ..sources.snapshots import one_snapshot
+
+
+DATE = "snapshot_date"
+
+
+def _keys(df: DataFrame, group: str) -> list[str]:
+    """A repository, and its snapshot where the table tells snapshots apart."""
+    return [group, *([DATE] if DATE in df.columns else [])]
 
 
 def commit_profile(commits: DataFrame, group: str = "repo_full_name") -> DataFrame:
     """Counts, message length and merge ratio over human commits; bot ratio over all commits given.
 
-    On a table that has lost its bots already, the ratio is 0; pass the flagged
+    One row a repository and, if the table has one, ``snapshot_date``. On a table that has lost its bots already, the ratio is 0; pass the flagged
     table to learn the true one.
     """
     human = ~F.col("is_bot_commit")
-    return commits.groupBy(group).agg(
+    return commits.groupBy(*_keys(commits, group)).agg(
         F.count_if(human).alias("total_commits"),
         F.avg(F.when(human, F.col("message_length"))).alias("avg_message_length"),
         F.avg(F.when(human, F.col("is_merge_commit").cast("int"))).alias("merge_commit_ratio"),
@@ -25,28 +34,40 @@ def commit_profile(commits: DataFrame, group: str = "repo_full_name") -> DataFra
 
 
 def contributor_profile(contributors: DataFrame, group: str = "repo_full_name", exact: bool = True) -> DataFrame:
-    """Contributor count, mean contributions and core ratio; ``exact=False`` estimates the count."""
+    """Contributor count, mean contributions and core ratio of each repository and snapshot; ``exact=False`` estimates the count."""
     distinct = F.count_distinct if exact else F.approx_count_distinct
-    return contributors.groupBy(group).agg(
+    return contributors.groupBy(*_keys(contributors, group)).agg(
         distinct("contributor_login").alias("total_contributors"),
         F.avg("contributions").alias("avg_contributions_per_person"),
         F.avg(F.col("is_core_contributor").cast("int")).alias("core_contributor_ratio"),
     )
 
 
-def repo_features(repos: DataFrame, commits: DataFrame, contributors: DataFrame, languages: DataFrame) -> DataFrame:
-    """One row per repository: three left joins to aggregates that hold one row per repository each."""
+def repo_features(
+    repos: DataFrame, commits: DataFrame, contributors: DataFrame, languages: DataFrame, dated: bool = False
+) -> DataFrame:
+    """One row per repository: three left joins to aggregates that hold one row per repository each.
+
+    Where both sides have ``snapshot_date``, it is part of the join key, so snapshots side by side stay apart (``dated``
+    keeps it as a column). Of a side that has it where ``repos`` has not, the latest snapshot counts. From tables
+    bucketed by repository and snapshot (``replace_table(bucket_by=...)``) the joins need no exchange.
+    """
+    if DATE not in repos.columns:
+        commits, contributors, languages = (one_snapshot(x).drop(DATE) for x in (commits, contributors, languages))
     profiles = [
         commit_profile(commits),
         contributor_profile(contributors),
         languages.select(
-            "repo_full_name", "primary_language", "primary_language_pct", "language_count",
+            *_keys(languages, "repo_full_name"), "primary_language", "primary_language_pct", "language_count",
             "languages_above_10_percent", "has_javascript", "has_compiled_language",
         ),
     ]
     wide = repos
     for side in profiles:
-        wide = wide.join(side.withColumnRenamed("repo_full_name", "_repo"), F.col("name") == F.col("_repo"), "left").drop("_repo")
+        same = F.col("name") == F.col("_repo")
+        if DATE in side.columns:
+            same &= F.col(DATE) == F.col("_date")
+        wide = wide.join(side.withColumnsRenamed({"repo_full_name": "_repo", DATE: "_date"}), same, "left").drop("_repo", "_date")
 
     def zero(column: str):
         return F.coalesce(column, F.lit(0)).alias(column)
@@ -55,6 +76,7 @@ def repo_features(repos: DataFrame, commits: DataFrame, contributors: DataFrame,
         return F.coalesce(column, F.lit(False)).alias(column)
 
     return wide.select(
+        *([DATE] if dated else []),
         F.col("name").alias("repo_name"),
         F.col("url").alias("repo_url"),
         F.col("language").alias("main_language"),

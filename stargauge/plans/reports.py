@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers as N
@@ -194,16 +194,20 @@ def cluster_sizes(rows: DataFrame) -> DataFrame:
 
 
 def cluster_comparison(rows: DataFrame) -> DataFrame:
-    """Size and mean measures per group, cut and rounded as shown."""
+    """Size and mean measures per group, cut and rounded as shown; 0 for a measure that the rows lack."""
     have = set(rows.columns)
     whole = {"avg_stars": "stars_count", "avg_forks": "forks_count", "avg_commits": "total_commits", "avg_contributors": "total_contributors"}
-    means = [F.floor(F.avg(c)).cast("long").alias(name) for name, c in whole.items() if c in have]
+
+    def mean(column: str) -> Column:
+        return F.avg(column) if column in have else F.lit(0.0)
+
+    means = [F.floor(mean(c)).cast("long").alias(name) for name, c in whole.items()]
     rounded = [
-        ("avg_age_years", F.avg("repo_age_days") / N.DAYS_PER_YEAR if "repo_age_days" in have else None, 1),
-        ("avg_stars_per_day", F.avg("stars_per_day") if "stars_per_day" in have else None, 2),
-        ("avg_languages", F.avg("language_count") if "language_count" in have else None, 1),
+        ("avg_age_years", mean("repo_age_days") / N.DAYS_PER_YEAR, 1),
+        ("avg_stars_per_day", mean("stars_per_day"), 2),
+        ("avg_languages", mean("language_count"), 1),
     ]
-    means += [F.bround(expr, digits).alias(name) for name, expr, digits in rounded if expr is not None]
+    means += [F.bround(expr, digits).alias(name) for name, expr, digits in rounded]
     return (
         rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("repos"), *means)
         .withColumn("cluster_label", N.lookup_label(F.col("cluster"), CLUSTER_NAMES, "Cluster "))

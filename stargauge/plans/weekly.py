@@ -76,6 +76,7 @@ def run_weekly(
     repo_limit: int | None = None,
     annotator: KeywordAnnotator | Callable[[str], str | None] | None = None,
     clusters: int = 4,
+    buckets: int = 32,
     lines: bool = False,
     names: Databases = Databases(),
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
@@ -83,8 +84,8 @@ def run_weekly(
 
     A table is replaced only if every feed it comes from was loaded; the others keep their rows and are not returned.
 
-    The date defaults to today (UTC); ages are counted up to ``as_of``, by
-    default the snapshot date.
+    The date defaults to today (UTC); ages are counted up to ``as_of``, by default the snapshot date. The tables that are
+    joined by repository are stored in ``buckets`` buckets by repository and snapshot, so that the joins read them in place.
     """
     date = date or today_utc()
     as_of = as_of or dt.datetime.strptime(str(date), "%Y%m%d").date()
@@ -97,20 +98,21 @@ def run_weekly(
 
     out: dict[str, DataFrame] = {}
 
-    def keep(name: str, df: DataFrame, database: str = names.clean) -> DataFrame:
-        out[name] = replace_table(df, f"{database}.{name}")
+    def keep(name: str, df: DataFrame, database: str = names.clean, key: str | None = None) -> DataFrame:
+        out[name] = replace_table(df, f"{database}.{name}", bucket_by=[key, "snapshot_date"] if key else [], buckets=buckets)
         return out[name]
 
     stamped = {"transformed_at": F.current_timestamp()}
+    dated = {"snapshot_date": F.lit(date).cast("long")}
     if loaded("repos"):
-        repos = keep("repos_summary", clean_repos(raw["github_repos_raw"], as_of, limit=repo_limit))
+        repos = keep("repos_summary", clean_repos(raw["github_repos_raw"], as_of, limit=repo_limit), key="name")
     if loaded("commits"):
-        flagged = keep("commits_flagged", flag_commits(raw["github_commits_raw"]))
+        flagged = keep("commits_flagged", flag_commits(raw["github_commits_raw"]), key="repo_full_name")
         keep("commits_clean", flagged.where(~F.col("is_bot_commit")))
     if loaded("contributors"):
-        contributors = keep("contributors_clean", clean_contributors(raw["github_contributors_raw"]))
+        contributors = keep("contributors_clean", clean_contributors(raw["github_contributors_raw"]), key="repo_full_name")
     if loaded("languages"):
-        languages = keep("language_summary", language_summary(raw["github_languages_raw"], date=date).withColumns(stamped))
+        languages = keep("language_summary", language_summary(raw["github_languages_raw"], date=date).withColumns(stamped | dated), key="repo_full_name")
     if loaded("readme"):
         readme_raw = latest_per_key(raw["github_readme_raw"], ["repo_full_name"], "extracted_at", [F.col("sha")])
         keep("readme_summary", readme_summary(readme_raw))

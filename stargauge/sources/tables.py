@@ -55,8 +55,19 @@ def append_snapshot(df: DataFrame, table: str, mode: str = "overwrite_partition"
         spark.conf.set(_DYNAMIC, before)
 
 
-def replace_table(df: DataFrame, table: str, partition_by: str | None = None) -> DataFrame:
-    """Replace a table by the rows of ``df`` and return the stored table."""
+def replace_table(
+    df: DataFrame, table: str, partition_by: str | None = None, bucket_by: Sequence[str] = (), buckets: int = 32
+) -> DataFrame:
+    """Replace a table by the rows of ``df`` and return the stored table.
+
+    ``bucket_by`` stores the rows hashed by these columns into ``buckets`` sorted files, so that joins and aggregates on
+    them, between tables of as many buckets, read them in place instead of exchanging them.
+    """
     writer = df.write.mode("overwrite").format("parquet")
-    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    if bucket_by:  # dealt by the same hash first, each bucket is one file
+        writer = df.repartition(buckets, *bucket_by).write.mode("overwrite").format("parquet")
+        writer = (writer.partitionBy(partition_by) if partition_by else writer).bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import stargauge as sg
+from tests.test_ranking import explain
 from stargauge.schemas import COMMITS, CONTRIBUTORS, LANGUAGES
 from stargauge.sources.tables import raw_table_schema
 
@@ -176,3 +177,56 @@ def test_doc_completeness(spark):
     out = {r.repo_full_name: r for r in sg.doc_completeness(df).collect()}
     assert out["a"].sections_present == 6 and out["a"].missing_sections == [] and out["a"].completeness_pct == 100
     assert out["b"].sections_present == 2 and out["b"].missing_sections == ["Usage", "Contributing", "License", "Documentation"]
+
+
+def two_snapshots(spark):
+    """Two repositories in two snapshots: the second has one more commit, another contributor and another language."""
+    repos = spark.createDataFrame(
+        [(n, "u", "Go", stars, 1, 1, 0, 10, 1.0, d) for n in ("a/x", "b/y") for d, stars in ((1, 10), (2, 20))],
+        "name string, url string, language string, stars long, forks long, watchers long, open_issues long, repo_age_days int, stars_per_day double, snapshot_date long",
+    )
+    commits = spark.createDataFrame(
+        [("a/x", k, False, False, d) for d in (1, 2) for k in range(2 + d)], "repo_full_name string, message_length int, is_merge_commit boolean, is_bot_commit boolean, snapshot_date long"
+    )
+    people = spark.createDataFrame(
+        [("a/x", f"p{k}", 5, True, d) for d in (1, 2) for k in range(d)], "repo_full_name string, contributor_login string, contributions long, is_core_contributor boolean, snapshot_date long"
+    )
+    languages = spark.createDataFrame(
+        [("a/x", lang, 90.0, 1, 1, False, True, d) for d, lang in ((1, "Go"), (2, "C"))],
+        "repo_full_name string, primary_language string, primary_language_pct double, language_count long, languages_above_10_percent long, has_javascript boolean, has_compiled_language boolean, snapshot_date long",
+    )
+    return repos, commits, people, languages
+
+
+def test_features_keep_snapshots_apart(spark):
+    tables = two_snapshots(spark)
+    rows = sorted(sg.repo_features(*tables, dated=True).select(
+        "repo_name", "snapshot_date", "stars_count", "total_commits", "total_contributors", "primary_language"
+    ).collect())
+    assert [tuple(r) for r in rows] == [
+        ("a/x", 1, 10, 3, 1, "Go"), ("a/x", 2, 20, 4, 2, "C"), ("b/y", 1, 10, 0, 0, "Go"), ("b/y", 2, 20, 0, 0, "Go"),
+    ]
+    undated = tables[0].where("snapshot_date = 2").drop("snapshot_date")
+    latest = sg.repo_features(undated, *tables[1:]).where("repo_name = 'a/x'").first()
+    assert (latest.total_commits, latest.total_contributors, latest.primary_language) == (4, 2, "C")
+    assert "snapshot_date" not in latest.asDict()
+
+
+def test_features_of_bucketed_tables_need_no_exchange(spark):
+    sg.ensure_database(spark, "t_buckets")
+    keys = ["name", "repo_full_name", "repo_full_name", "repo_full_name"]
+    tables = two_snapshots(spark)
+    stored = [
+        sg.replace_table(df, f"t_buckets.t{k}", bucket_by=[key, "snapshot_date"], buckets=4)
+        for k, (df, key) in enumerate(zip(tables, keys))
+    ]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = sg.repo_features(*stored, dated=True)
+        assert "Exchange" not in explain(out) and "SortMergeJoin" in explain(out)
+        assert "Exchange" in explain(sg.repo_features(*tables, dated=True))
+        rows = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(rows) == sorted(sg.repo_features(*tables, dated=True).collect())

@@ -210,7 +210,9 @@ def test_cluster_reports(blobs):
     assert rows.where("cluster_name is null").count() == 0
     assert R.cluster_sizes(rows).agg(F.sum("repos")).first()[0] == 200
     compared = R.cluster_comparison(rows)
-    assert compared.columns == ["cluster", "repos", "avg_stars", "avg_forks", "cluster_label"]
+    zeros = ["avg_commits", "avg_contributors", "avg_age_years", "avg_stars_per_day", "avg_languages"]
+    assert compared.columns == ["cluster", "repos", "avg_stars", "avg_forks", *zeros, "cluster_label"]
+    assert {tuple(r) for r in compared.select(*zeros).collect()} == {(0, 0, 0.0, 0.0, 0.0)}  # measures the rows lack
     assert R.cluster_top_repos(rows, 3).count() == 12
     assert R.repo_cluster(rows, "5").count() == 1
     assert sg.group_means(rows, "cluster", ["stars_count"]).count() == 4
