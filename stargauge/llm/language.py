@@ -23,8 +23,11 @@ from .words import U64, Words, batches, byte_letters, record
 UNKNOWN = "und"
 #: The model has this many languages at most, which bounds what is broadcast.
 MAX_LANGUAGES = 1000
-#: Longer words are cut into runs of this many bytes, each taken as a word.
-LONGEST = 32
+#: Words up to this many bytes are scored many at a time, without scaling; longer ones each by itself, scaled. The sums
+#: are the same.
+SHORT = 32
+#: Numbers of a forward table of short words: what is held at a time, whatever the number of languages.
+_CELLS = 1 << 20
 
 _BASE, _END = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
 _UNIT = float(1 << 20)  # expected counts are added up as whole numbers of 1/UNIT, so that the order of adding is no matter
@@ -83,19 +86,44 @@ class Pieces:
                     yield begin, end, rows, self.order[at]
 
 
-def _by_length(words: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def edges(self, word: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin, end and piece of all substrings of a long word that are pieces, by their end."""
+        letters = np.frombuffer(word, np.uint8).astype(U64) + U64(1)
+        n, power, found = len(letters), 1, []
+        value = np.zeros(n + 1, U64)
+        for size in range(1, min(self.longest, n) + 1):
+            value = value[1:][: n - size + 1] + letters[: n - size + 1] * U64(power)
+            power = power * int(_BASE) & 0xFFFFFFFFFFFFFFFF
+            wanted = value.copy()
+            wanted[-1] ^= _END
+            rows = np.flatnonzero(self.maybe[wanted >> U64(44)])
+            at = np.searchsorted(self.value, wanted[rows])
+            at[at == self.size] = 0
+            right = self.value[at] == wanted[rows]
+            found.append((rows[right], rows[right] + size, self.order[at[right]]))
+        begin, end, piece = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(end, kind="stable")
+        return begin[order], end[order], piece[order]
+
+
+def _by_length(words: Sequence[bytes], languages: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Short words of one length, as rows of bytes, so many that a forward table for the languages stays bounded."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    for n in np.unique(lengths):
+    for n in np.unique(lengths[lengths <= SHORT]):
         which = np.flatnonzero(lengths == n)
-        for at in range(0, len(which), 50_000):
-            rows = which[at: at + 50_000]
+        step = max(1, _CELLS // ((n + 1) * max(1, languages)))
+        for at in range(0, len(which), step):
+            rows = which[at: at + step]
             yield rows, np.frombuffer(b"".join(words[k] for k in rows), np.uint8).reshape(len(rows), n).astype(U64)
 
 
 def word_scores(words: Sequence[bytes], pieces: Pieces, table: np.ndarray) -> np.ndarray:
     """Natural log probability of each word (rows) in each language (columns); ``table`` is piece x language."""
     out = np.zeros((len(words), table.shape[1]))
-    for rows, letters in _by_length(words):
+    for k, word in enumerate(words):
+        if len(word) > SHORT:
+            out[k] = _long_score(word, pieces, table)
+    for rows, letters in _by_length(words, table.shape[1]):
         n = letters.shape[1]
         forward = np.zeros((n + 1, len(rows), table.shape[1]))
         forward[0] = 1
@@ -105,9 +133,54 @@ def word_scores(words: Sequence[bytes], pieces: Pieces, table: np.ndarray) -> np
     return out
 
 
+def _long_score(word: bytes, pieces: Pieces, table: np.ndarray) -> np.ndarray:
+    """As ``word_scores`` for one word of any length: the forward sums of the last positions only, each language scaled."""
+    begin, end, piece = pieces.edges(word)
+    n, window = len(word), pieces.longest + 1
+    value, scale = np.zeros((window, table.shape[1])), np.full((window, table.shape[1]), -np.inf)
+    value[0], scale[0] = 1, 0
+    first = np.searchsorted(end, np.arange(n + 2))
+    for at in range(1, n + 1):
+        own = slice(first[at], first[at + 1])
+        here = at % window
+        from_ = begin[own] % window
+        top = scale[from_].max(axis=0, initial=-np.inf)
+        top = np.where(np.isfinite(top), top, 0.0)
+        sums = (value[from_] * np.exp(scale[from_] - top) * table[piece[own]]).sum(axis=0)
+        reached = sums > 0
+        value[here] = reached
+        scale[here] = np.where(reached, top + np.log(np.where(reached, sums, 1.0)), -np.inf)
+    return np.where(np.isfinite(scale[n % window]), scale[n % window], n * np.log(1e-300) / SHORT)
+
+
+def _long_counts(word: bytes, pieces: Pieces, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces, expected uses) of one word of any length in one language, in logarithms; ``own`` are its probabilities."""
+    begin, end, piece = pieces.edges(word)
+    n = len(word)
+    weight = np.log(np.maximum(own[piece], 1e-300))
+    forward, backward = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+    forward[0] = backward[n] = 0
+    first = np.searchsorted(end, np.arange(n + 2))
+    for at in range(1, n + 1):
+        e = slice(first[at], first[at + 1])
+        forward[at] = np.logaddexp.reduce(forward[begin[e]] + weight[e], initial=-np.inf)
+    back = np.argsort(begin, kind="stable")
+    last = np.searchsorted(begin[back], np.arange(n + 2))
+    for at in range(n - 1, -1, -1):
+        e = back[last[at]: last[at + 1]]
+        backward[at] = np.logaddexp.reduce(backward[end[e]] + weight[e], initial=-np.inf)
+    if not np.isfinite(forward[n]):
+        return piece[:0], weight[:0]
+    return piece, np.exp(forward[begin] + weight + backward[end] - forward[n])
+
+
 def expected_counts(words: Sequence[bytes], language: np.ndarray, weight: np.ndarray, pieces: Pieces, table: np.ndarray) -> np.ndarray:
     """Expected uses of each piece (rows) in each language (columns) over all segmentations of labelled words."""
     total = np.zeros(pieces.size * table.shape[1])
+    for k, word in enumerate(words):
+        if len(word) > SHORT:
+            piece, used = _long_counts(word, pieces, table[:, language[k]])
+            np.add.at(total, piece * table.shape[1] + language[k], used * weight[k])
     for rows, letters in _by_length(words):
         n, own = letters.shape[1], language[rows]
         edges = list(pieces.lattice(letters))
@@ -133,16 +206,6 @@ def _words_with_letters(texts: Sequence[str | None]) -> tuple[Words, np.ndarray]
     return words, np.fromiter((t.isalpha() or any(map(str.isalpha, t)) for t in text), bool, len(words.distinct))
 
 
-def _runs(words: Sequence[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Words in runs of at most LONGEST bytes, and the word of each run."""
-    parts, owner = [], []
-    for k, word in enumerate(words):
-        for at in range(0, len(word), LONGEST):
-            parts.append(word[at: at + LONGEST])
-            owner.append(k)
-    return parts, np.array(owner, np.int64)
-
-
 class LanguageModel:
     """Piece probabilities of some languages."""
 
@@ -153,15 +216,13 @@ class LanguageModel:
         """Log probability of each text in each language; whether it has a letter."""
         words, letters = _words_with_letters(texts)
         chosen = np.flatnonzero(letters)
-        parts, owner = _runs([words.distinct[k] for k in chosen])
-        of_run = word_scores(parts, self.pieces, self.table)
+        of_word = word_scores([words.distinct[k] for k in chosen], self.pieces, self.table)
         total = np.zeros((len(texts), len(self.languages)))
         used = letters[words.ids] if len(words.ids) else np.zeros(0, bool)
         place = np.cumsum(letters) - 1
         at, text = place[words.ids[used]] if len(words.ids) else np.zeros(0, np.int64), words.owner[used]
         for k in range(len(self.languages)):
-            of_word = np.bincount(owner, of_run[:, k], len(chosen)) if len(owner) else np.zeros(len(chosen))
-            total[:, k] = np.bincount(text, of_word[at], len(texts)) if len(text) else 0
+            total[:, k] = np.bincount(text, of_word[at, k], len(texts)) if len(text) else 0
         return total, np.bincount(text, minlength=len(texts)) > 0
 
     def predict(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
@@ -218,9 +279,9 @@ def learn_languages(
             for frame in frames:
                 times = np.array(frame.column(2), np.float64)
                 of = np.array([index[x] for x in frame.column(0).to_pylist()], np.int64)
-                parts, owner = _runs(frame.column(1).to_pylist())
-                if parts:
-                    total += expected_counts(parts, of[owner], times[owner], known, probability)
+                own_words = frame.column(1).to_pylist()
+                if own_words:
+                    total += expected_counts(own_words, of, times, known, probability)
             piece, lang = np.nonzero(total > 1 / _UNIT)
             yield record(_EXPECTED, lang.astype(np.int32), piece.astype(np.int32), np.round(total[piece, lang] * _UNIT).astype(np.int64))
 
@@ -241,7 +302,7 @@ def language_of(docs: DataFrame, model: LanguageModel, text: str | Column = "tex
         own = shared.value
         for column in columns:
             langs, scores = [], []
-            for part in batches([pa.record_batch([column], ["text"])], size=1 << 23):
+            for part in batches([pa.record_batch([column], ["text"])], size=1 << 21):
                 lang, score = own.predict(part.column(0).to_pylist())
                 langs += lang
                 scores.append(score)

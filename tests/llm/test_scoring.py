@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stargauge.llm import catalog as Q
 from stargauge.llm.boosting import fit_boosted
-from stargauge.llm.language import UNKNOWN, Pieces, expected_counts, identify_languages, learn_languages, vocabulary_pieces, word_scores
+from stargauge.llm.language import UNKNOWN, Pieces, _long_score, expected_counts, identify_languages, learn_languages, vocabulary_pieces, word_scores
 from stargauge.llm.ngram_model import build_filter, expected_count, quantise, score_texts, train_ngrams
 from stargauge.llm.quality import judge_quality, learn_quality
 
@@ -69,9 +69,11 @@ def test_filter_holds_every_event():
     keys, counts = np.unique(rng.integers(1, 1 << 62, 5000).astype(np.uint64)), None
     counts = rng.integers(1, 500, len(keys))
     table = pa.table({"segment": pa.array([0], pa.int32()), "filter": [build_filter(keys, counts, 1.5)], "words": [b""], "counts": [b""]})
-    levels = Segments(table, 1).levels(keys)
+    sizes = pa.table({"segment": [0], "filter": [len(table["filter"][0].as_py())], "words": [0], "counts": [0]})
+    held = Segments(sizes, 1).fill(table)
+    levels = held.levels(keys)
     assert (levels >= quantise(counts, 1.5)).all() and (levels == quantise(counts, 1.5)).mean() > 0.95
-    assert (Segments(table, 1).levels(rng.integers(1, 1 << 62, 5000).astype(np.uint64)) > 0).mean() < 0.05
+    assert (held.levels(rng.integers(1, 1 << 62, 5000).astype(np.uint64)) > 0).mean() < 0.05
     middle = expected_count(quantise(counts, 1.5), 1.5)
     assert (middle <= counts * 1.5).all() and (middle >= counts / 1.5).all()
 
@@ -105,6 +107,28 @@ def test_forward_algorithm_sums_all_segmentations():
             assert counts[k, lang] == pytest.approx(change / 1e-6, abs=1e-3)
 
 
+def test_words_of_any_length_are_scored_whole():
+    """Words beyond the length that is scored many at a time: all segmentations, no cut, no underflow."""
+    pieces = sorted({(bytes([b]), e) for b in b"abc" for e in (False, True)} | {(b"ab", False), (b"bc", True), (b"abc", True), (b"ca" * 9, False)})
+    index, rng = {x: k for k, x in enumerate(pieces)}, np.random.default_rng(4)
+    p = rng.random((len(pieces), 2))
+    words = [bytes(rng.choice(list(b"abc"), n).tolist()) for n in (31, 32, 33, 64, 65, 90, 200)] + [b"ca" * 40]
+    scores = word_scores(words, Pieces(pieces), p)
+    for w, row in zip(words, scores):
+        assert row == pytest.approx([math.log(brute(w, index, p[:, k])) for k in (0, 1)])
+        assert _long_score(w, Pieces(pieces), p) == pytest.approx(row)
+    small = word_scores([b"abc" * 20_000], Pieces(pieces), p * 1e-6)
+    assert np.isfinite(small).all() and (small < -100_000).all()
+    word = [words[4]]
+    counts = expected_counts(word, np.array([1]), np.full(1, 2.0), Pieces(pieces), p)
+    assert counts[:, 0].sum() == 0
+    for k in range(len(pieces)):
+        q = p.copy()
+        q[k, 1] *= 1 + 1e-6
+        change = 2 * math.log(brute(word[0], index, q[:, 1]) / brute(word[0], index, p[:, 1]))
+        assert counts[k, 1] == pytest.approx(change / 1e-6, abs=1e-3)
+
+
 def test_language_of_held_out_documents(spark, sf, docs):
     found = Q.op4_language(spark, sf).join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert len(found) == docs.count() and all(0 <= r.score <= 1 for r in found)
