@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import written
-from .words import U64, Words, batches, mix, record, texts_of
+from .words import U64, Words, batches, mix, record, release, texts_of
 
 #: Hashes that stand for the beginning and the end of a text; no word has them but by a chance of 2^-64.
 _BEGIN, _END = U64(0x3C6EF372FE94F82B), U64(0xA54FF53A5F1D36F1)
@@ -153,27 +153,30 @@ def build_filter(hashes: np.ndarray, counts: np.ndarray, base: float) -> bytes:
 class Segments:
     """Filters and exact word counts of some segments in flat arrays, filled from their rows."""
 
-    def __init__(self, table: pa.Table, n_segments: int):
+    def __init__(self, sizes: pa.Table, n_segments: int):
+        """Empty arrays for segments of these sizes (segment, and bytes of filter, words and counts)."""
         self.n_segments = n_segments
-        columns = ("filter", "words", "counts")
-        size = {c: np.zeros(n_segments, np.int64) for c in columns}
-        for batch in table.to_batches():
-            segment = np.array(batch.column("segment"))
-            for c in columns:
-                size[c][segment] = [x.as_buffer().size for x in batch.column(c)]
+        segment, size = sizes.column("segment").to_numpy(), {}
+        for c in ("filter", "words", "counts"):
+            size[c] = np.zeros(n_segments, np.int64)
+            size[c][segment] = sizes.column(c).to_numpy()
         wide = 8 if size["counts"].sum() > 4 * (size["words"].sum() // 8) else 4
         self.filter = np.zeros(size["filter"].sum() // 8 + 1, U64)
         self.words, self.counts = np.zeros(size["words"].sum() // 8, U64), np.zeros(size["words"].sum() // 8, f"<u{wide}")
-        self.size, word_size = size["filter"] // 8, size["words"] // 8
-        self.start, word_start = np.cumsum(self.size) - self.size, np.cumsum(word_size) - word_size
-        for batch in table.to_batches():
+        self.size, self.word_size = size["filter"] // 8, size["words"] // 8
+        self.start, self.word_start = np.cumsum(self.size) - self.size, np.cumsum(self.word_size) - self.word_size
+
+    def fill(self, rows: pa.Table) -> Segments:
+        """Put the rows of some segments where they belong."""
+        for batch in rows.to_batches():
             for k, segment in enumerate(batch.column("segment").to_pylist()):
-                bits, words, counts = (batch.column(c)[k].as_buffer() for c in columns)
+                bits, words, counts = (batch.column(c)[k].as_buffer() for c in ("filter", "words", "counts"))
                 self.filter[self.start[segment]: self.start[segment] + self.size[segment]] = np.frombuffer(bits, U64)
-                if word_size[segment]:
-                    at = slice(word_start[segment], word_start[segment] + word_size[segment])
+                if n := self.word_size[segment]:
+                    at = slice(self.word_start[segment], self.word_start[segment] + n)
                     self.words[at] = np.frombuffer(words, U64)
-                    self.counts[at] = np.frombuffer(counts, f"<u{counts.size // word_size[segment]}")
+                    self.counts[at] = np.frombuffer(counts, f"<u{counts.size // n}")
+        return self
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """The last level of an unbroken run of events found for each n-gram."""
@@ -305,10 +308,24 @@ def score_texts(docs: DataFrame, model: NgramModel, held_out, id_col: str = "doc
     return _score_by_exchange(own, model, numbers)
 
 
+def _gathered(model: NgramModel, some: int = 16 << 20) -> Segments:
+    """All segments, at most the stated bytes, in one copy: they come ``some`` bytes at a time."""
+    data = ("filter", "words", "counts")
+    sizes = model.segments.select("segment", *[F.octet_length(c).cast("long").alias(c) for c in data]).orderBy("segment").toArrow()
+    out, of = Segments(sizes, model.n_segments), sizes.to_pydict()
+    first, held = None, 0
+    for k, segment in enumerate(of["segment"]):
+        first = segment if first is None else first
+        held += sum(of[c][k] for c in data)
+        if held >= some or k == len(of["segment"]) - 1:
+            out.fill(model.segments.where(F.col("segment").between(first, segment)).select("segment", *data).toArrow())
+            first, held = None, 0
+    return out
+
+
 def _score_by_broadcast(own: DataFrame, model: NgramModel, numbers: tuple) -> DataFrame:
-    rows = model.segments.select("segment", "filter", "words", "counts").toArrow()  # at most the stated bytes
-    shared = own.sparkSession.sparkContext.broadcast(Segments(rows, model.n_segments))
-    del rows
+    shared = own.sparkSession.sparkContext.broadcast(_gathered(model))
+    release()
 
     def score(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = shared.value
@@ -348,7 +365,8 @@ def _score_by_exchange(own: DataFrame, model: NgramModel, numbers: tuple) -> Dat
             for segment, role, batch, hashes, bits, words, counts in zip(*(x.to_pylist() for x in frame.columns), strict=True):
                 if role == 0:
                     own_row = pa.table({"segment": [segment], "filter": [bits], "words": [words], "counts": [counts]}, schema=_DATA)
-                    current, segments = segment, Segments(own_row, n_segments)
+                    sizes = pa.table({"segment": [segment], "filter": [len(bits)], "words": [len(words)], "counts": [len(counts)]})
+                    current, segments = segment, Segments(sizes, n_segments).fill(own_row)
                     continue
                 keys = np.frombuffer(hashes, U64)
                 if segment == current:
