@@ -84,7 +84,7 @@ class Aligner:
     before each text.
     """
 
-    def __init__(self, first: bytes, second: bytes, limit: int = 800_000):
+    def __init__(self, first: bytes, second: bytes, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         import sentencepiece
         from tokenizers import Tokenizer
@@ -306,7 +306,7 @@ def _packing(held: Broadcast, names: tuple[str, str]) -> Callable[[Iterator[pa.R
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(names, held)
-        for frame in batches(frames, rows=1024, size=1 << 21):
+        for frame in batches(frames, rows=512, size=1 << 20):
             batch = _Batch(aligner, frame.column(1))
             values = {f: batch.sums(getattr(batch.all, f)) for f in _FIXED} | batch.packed()
             values |= {"doc_id": frame.column(0), "groups_sha256": batch.digests()}
@@ -326,6 +326,8 @@ def _summing(table: Broadcast | None) -> Callable[[Iterator[pa.RecordBatch]], It
     schema = pa.schema([(c, pa.string() if c == "groups_sha256" else pa.int64()) for c in _OUT])
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _OWN.clear()  # all texts are aligned: a worker that lives on need not keep its runs
+        release()
         for frame in frames:
             for k in range(frame.num_rows):
                 lists = {f.name: _values(frame.column(i)[k], f.type) for i, f in enumerate(frame.schema) if f.name != "batch"}
@@ -370,7 +372,7 @@ def align_tokens(docs: DataFrame, models: tuple[bytes, bytes], broadcast_bytes:
     tokens of either have no tokens: zeros and an empty ``groups_sha256``. Repeated rows each count as a document; null ids
     stay null; other columns are not read; an empty table gives no rows. A word of any length is one run.
 
-    Texts are aligned once; what is written is a row for each some 2 MB of texts: its documents as numbers of runs, its
+    Texts are aligned once; what is written is a row for each some 1 MB of texts: its documents as numbers of runs, its
     distinct runs as numbers of pairs, its distinct pairs with their documents. Pair counts are sent to all workers if they
     take at most ``broadcast_bytes`` (they are counted first), else joined to the distinct pairs; both give the same rows.
     """
