@@ -296,22 +296,28 @@ class _Batch:
 _FIXED = ["n_a", "n_b", "n_groups", "n_links"]
 _LISTS = {
     "doc_id": "long", **dict.fromkeys(_FIXED, "long"), "groups_sha256": "string", "n_runs": "int", "runs": "int", "sizes": "int",
-    "pair_at": "int", "links": "long", "pairs": "long", "docs": "long",
+    "pair_at": "int", "links": "long", "pairs": "long",
 }
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
 def _packing(held: Broadcast, names: tuple[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema([(c, pa.list_(_ARROW[t])) for c, t in _LISTS.items()])
+    lists = pa.schema([(c, pa.list_(_ARROW[t])) for c, t in _LISTS.items()])
+    schema = pa.schema([("data", pa.binary()), ("pairs", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64()))])
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(names, held)
+        aligner, options = _aligner(names, held), pa.ipc.IpcWriteOptions(compression="zstd")
         for frame in batches(frames, rows=512, size=1 << 20):
             batch = _Batch(aligner, frame.column(1))
             values = {f: batch.sums(getattr(batch.all, f)) for f in _FIXED} | batch.packed()
+            docs = values.pop("docs")
             values |= {"doc_id": frame.column(0), "groups_sha256": batch.digests()}
-            lists = [pa.array(values[c]).cast(_ARROW[t]) for c, t in _LISTS.items()]
-            yield pa.record_batch([pa.ListArray.from_arrays([0, len(x)], x) for x in lists], schema=schema)
+            columns = [pa.array(values[c]).cast(_ARROW[t]) for c, t in _LISTS.items()]
+            row = pa.record_batch([pa.ListArray.from_arrays([0, len(x)], x) for x in columns], schema=lists)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, lists, options=options) as out:
+                out.write_batch(row)
+            yield record(schema, [sink.getvalue().to_pybytes()], [values["pairs"]], [docs])
         release()
 
     return run
@@ -330,15 +336,16 @@ def _summing(table: Broadcast | None) -> Callable[[Iterator[pa.RecordBatch]], It
         release()
         for frame in frames:
             for k in range(frame.num_rows):
-                lists = {f.name: _values(frame.column(i)[k], f.type) for i, f in enumerate(frame.schema) if f.name != "batch"}
+                row = pa.ipc.open_stream(frame.column("data")[k].as_buffer()).read_next_batch()
+                lists = {f.name: row.column(i)[0].values for i, f in enumerate(row.schema)}
                 x = {c: lists[c].to_numpy() for c in ("n_runs", "runs", "sizes", "pair_at", "links", "pairs")}
                 if table:
                     keys, n, best = table.value
                     at = np.searchsorted(keys, x["pairs"])
                     counts = best[at], n[at]
                 else:
-                    order = np.argsort(lists["key"].to_numpy())
-                    counts = lists["best"].to_numpy(zero_copy_only=False)[order], lists["n"].to_numpy()[order]
+                    order = np.argsort(_values(frame.column("key")[k], pa.int64()))
+                    counts = _values(frame.column("best")[k], pa.bool_())[order], _values(frame.column("n")[k], pa.int64())[order]
                 sums = []
                 for value in counts:
                     per_run = _spread(x["links"] * value[x["pair_at"]], x["sizes"])
@@ -349,8 +356,9 @@ def _summing(table: Broadcast | None) -> Callable[[Iterator[pa.RecordBatch]], It
     return run
 
 
-def _values(cell: pa.ListScalar, kind: pa.ListType) -> pa.Array:
-    return pa.array([], kind.value_type) if cell.values is None else cell.values
+def _values(cell: pa.ListScalar, kind: pa.DataType) -> np.ndarray:
+    """The numbers of a list; none of a null one."""
+    return (pa.array([], kind) if cell.values is None else cell.values).to_numpy(zero_copy_only=False)
 
 
 def _spread(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -379,14 +387,14 @@ def align_tokens(docs: DataFrame, models: tuple[bytes, bytes], broadcast_bytes:
     names = tuple(hashlib.sha256(m).hexdigest() for m in models)
     held = docs.sparkSession.sparkContext.broadcast(models)  # two vocabulary files of a few MB
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ddl = ", ".join(f"{c} array<{t}>" for c, t in _LISTS.items())
-    packed = written(rows.mapInArrow(_packing(held, names), ddl).withColumn("batch", F.monotonically_increasing_id()), "aligned")
+    found = rows.mapInArrow(_packing(held, names), "data binary, pairs array<long>, docs array<long>")
+    packed = written(found.withColumn("batch", F.monotonically_increasing_id()), "aligned")
     pairs = written(count_pairs(packed), "pairs")
     if pairs.count() * 17 <= broadcast_bytes:
         got = pairs.orderBy("pair").toArrow()
         table = docs.sparkSession.sparkContext.broadcast(tuple(got.column(c).to_numpy() for c in ("pair", "n", "best")))
-        return packed.mapInArrow(_summing(table), _OUT_DDL)
+        return packed.select("data").mapInArrow(_summing(table), _OUT_DDL)
     each = packed.select("batch", F.explode("pairs").alias("pair")).join(pairs, "pair").groupBy("batch")
-    found = each.agg(F.collect_list(F.struct("pair", "n", "best")).alias("x"))  # the pairs of one batch, as many as it had
-    known = found.select("batch", F.col("x.pair").alias("key"), F.col("x.n").alias("n"), F.col("x.best").alias("best"))
-    return packed.join(known, "batch", "left").mapInArrow(_summing(None), _OUT_DDL)
+    given = each.agg(F.collect_list(F.struct("pair", "n", "best")).alias("x"))  # the pairs of one batch, as many as it had
+    known = given.select("batch", F.col("x.pair").alias("key"), F.col("x.n").alias("n"), F.col("x.best").alias("best"))
+    return packed.select("batch", "data").join(known, "batch", "left").mapInArrow(_summing(None), _OUT_DDL)
