@@ -6,7 +6,8 @@
 3. The tree starts with the number of block draws of every source and the number of output shards. Each node halves
    its shards and gives the left half, by a multivariate hypergeometric draw, its exact number of block draws. The
    leaves hold how many blocks of each source a shard gets; together they spend every quota exactly.
-4. Shards take disjoint, consecutive runs of their sources' permuted draws and order their documents by a hash.
+4. Each leaf draws its count from its sources' permuted blocks: disjoint, consecutive runs, so that every draw has one
+   shard. A document is taken as often as leaves draw its block; shards order their documents by a hash.
 
 All draws are hashes or seeded by the node, so reruns agree. Documents decide by their own hash against the plan of
 their block: no row is matched with another row of the same text.
@@ -14,6 +15,7 @@ their block: no row is matched with another row of the same text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -29,6 +31,10 @@ from .store import small, written
 from .words import release
 
 
+#: Leading bits of a hash that cut a pass over a source into cells.
+_CELL_BITS = 10
+
+
 @F.arrow_udf(T.LongType())
 def word_count(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Runs of bytes other than ASCII white space; null has none."""
@@ -39,10 +45,12 @@ def word_count(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 @dataclass
 class Mixture:
-    """``rows``: every document's source, size, rank and block; ``draws``: the draws of each block."""
+    """``rows``: every document's source, size, rank and block; ``quotas``: the leaves of the tree; ``draws``: the draws
+    of each block, without those of which no document is taken."""
 
     sources: DataFrame
     rows: DataFrame
+    quotas: DataFrame
     draws: DataFrame
     n_blocks: int
     shards: int
@@ -102,14 +110,33 @@ def _halves(quotas: DataFrame, shards: int, total: int, seed: int) -> DataFrame:
     return nodes.select(F.col("first").alias("shard"), "source_no", "quota")
 
 
+def _in_order(draws: DataFrame, place: Column) -> DataFrame:
+    """Add ``draw``, the number of a draw in its source's order of pass and ``place``, and ``before``, the words before it.
+
+    Places are hashes, so their leading bits cut a pass into cells of like size: sums of the cells, then sums within a
+    cell. No task orders all blocks of a source.
+    """
+    draws = draws.withColumn("place", place).withColumn("cell", F.shiftright("place", 64 - _CELL_BITS))
+    cell, upto = ["source_no", "pass", "cell"], Window.partitionBy("source_no").orderBy("pass", "cell")
+    sums = draws.groupBy(*cell).agg(F.sum("words").alias("cell_words"), F.count(F.lit(1)).alias("cell_draws"))
+    sums = sums.select(*cell, (F.sum("cell_words").over(upto) - F.col("cell_words")).alias("words_before"), (F.sum("cell_draws").over(upto) - F.col("cell_draws")).alias("draws_before"))
+    within = Window.partitionBy(*cell).orderBy("place", "block")
+    before = F.col("words_before") + F.sum("words").over(within) - F.col("words")
+    number = F.col("draws_before") + F.row_number().over(within) - 1
+    return draws.join(sums, cell).withColumn("before", before).withColumn("draw", number.cast("long"))
+
+
 def plan_mixture(
-    docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17,
-    block_words: int = 1 << 20, blocks_per_shard: int = 64, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, shards: int = 32,
+    block_words: int | None = None, blocks_per_shard: int = 64, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> Mixture:
     """Targets, blocks and draws for all rows of ``docs``.
 
     Sources in code point order, null last, have the ``weights`` in turn. Null texts have size 0. Rows with equal id
     and text share their fate. An empty table, or one without words, draws nothing.
+
+    The mixture has ``shards`` shards of about ``blocks_per_shard`` blocks, so blocks grow with the table; with
+    ``block_words`` blocks hold that many words and there are as many shards as the blocks fill.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"),
@@ -120,6 +147,10 @@ def plan_mixture(
     ranked = rank_in_group(sums, [], [F.col("source").asc_nulls_last()], "source_no")
     turn = F.pmod(F.col("source_no") - 1, F.lit(len(weights)))
     weighted = written(ranked.withColumn("weight", F.get(F.array(*[F.lit(float(w)) for w in weights]), turn)), "weights")
+    fixed = block_words is not None
+    if not fixed:
+        words = weighted.agg(F.sum("source_size")).first()[0] or 0
+        block_words = max(1, math.ceil(words * share / (shards * blocks_per_shard)))
     filled = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long")
     sources = written(source_targets(weighted, weights, share, most).withColumn("blocks", filled), "targets")
     count = sources.agg(F.count(F.lit(1)), F.sum("blocks")).first()
@@ -128,21 +159,16 @@ def plan_mixture(
 
     blocks = written(rows.groupBy("source_no", "block").agg(F.sum("size").alias("words")), "blocks")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    passes = sources.select("source_no", F.col("target") - whole * F.col("source_size"), whole).toDF("source_no", "rest", "whole")
-    draws = blocks.join(passes, "source_no").withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole"))))
-    permuted = Window.partitionBy("source_no", "pass").orderBy(F.xxhash64(F.lit(seed), "source_no", "block", "pass"), "block")
-    draws = draws.withColumn("through", F.sum("words").over(permuted)).withColumn("before", F.col("through") - F.col("words"))
-    draws = draws.where((F.col("pass") < F.col("whole")) | (F.col("before") < F.col("rest")))
-    crossing = (F.col("pass") == F.col("whole")) & (F.col("through") > F.col("rest"))
-    order = Window.partitionBy("source_no").orderBy("pass", F.xxhash64(F.lit(seed), "source_no", "block", "pass"), "block")
-    draws = written(draws.select(
-        "source_no", "block", "pass", F.when(crossing, F.col("rest") - F.col("before")).alias("limit"), (F.row_number().over(order) - 1).cast("long").alias("draw"),
-    ), "draws")
+    passes = sources.select("source_no", "target", F.explode(F.sequence(F.lit(0).cast("long"), whole)).alias("pass"))
+    draws = _in_order(blocks.join(passes, "source_no"), F.xxhash64(F.lit(seed), "source_no", "block", "pass"))
+    limit = F.when(F.col("before") + F.col("words") > F.col("target"), F.col("target") - F.col("before"))
+    draws = draws.where("before < target").select("source_no", "block", "pass", limit.alias("limit"), "draw")
+    draws = written(draws, "draws")
     total = draws.count()
-    shards = max(1, -(-total // blocks_per_shard))
-    leaves = _halves(draws.groupBy("source_no").agg(F.count(F.lit(1)).alias("quota")), shards, total, seed)
+    shards = max(1, -(-total // blocks_per_shard) if fixed else min(shards, total))
+    quotas = written(_halves(draws.groupBy("source_no").agg(F.count(F.lit(1)).alias("quota")), shards, total, seed), "quotas")
     upto = Window.partitionBy("source_no").orderBy("shard")
-    leaves = leaves.withColumn("until", F.sum("quota").over(upto)).select("shard", "source_no", F.explode(F.sequence(F.col("until") - F.col("quota"), F.col("until") - 1)).alias("draw"))
+    leaves = quotas.withColumn("until", F.sum("quota").over(upto)).select("shard", "source_no", F.explode(F.sequence(F.col("until") - F.col("quota"), F.col("until") - 1)).alias("draw"))
     draws = written(draws.join(leaves, ["source_no", "draw"]), "shards")
 
     # Of a crossing block: documents in rank order while they bring the sum nearer to the limit.
@@ -155,7 +181,7 @@ def plan_mixture(
     last = inside.groupBy("source_no", "block").agg(F.max("rank").alias("last"))
     draws = draws.join(last, ["source_no", "block"], "left").where("limit IS NULL OR last IS NOT NULL")
     draws = draws.groupBy("source_no", "block").agg(F.collect_list(F.struct("pass", "shard", F.when(F.col("limit").isNotNull(), F.col("last")).alias("last"))).alias("draws"))
-    return Mixture(sources, rows, written(draws, "mixture"), count[1] or 0, shards)
+    return Mixture(sources, rows, quotas, written(draws, "mixture"), count[1] or 0, shards)
 
 
 def _taken() -> Column:
@@ -164,9 +190,12 @@ def _taken() -> Column:
 
 
 def mixture_sizes(mixture: Mixture) -> DataFrame:
-    """Per document: doc_id, size, source_size, target of its source, and taken (its words times its draws)."""
+    """Per document: doc_id, size, source_size, target of its source, taken (its words times its draws), and the shards
+    it is drawn for, in order of the passes, comma-joined."""
     drawn = mixture.rows.join(small(mixture.draws, mixture.n_blocks), ["source_no", "block"], "left")
-    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size(_taken())).cast("long").alias("taken"))
+    drawn = drawn.withColumn("own", F.array_sort(_taken()))
+    shards = F.array_join(F.transform("own", lambda d: d["shard"].cast("string")), ",")
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("own")).cast("long").alias("taken"), shards.alias("shards"))
 
 
 def mix_documents(docs: DataFrame, mixture: Mixture, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

@@ -70,6 +70,40 @@ def test_mixture_meets_its_targets(spark, sf, docs, texts):
     assert len(per_shard) == plan.shards and max(r["count"] for r in per_shard) <= 8
 
 
+def split_quotas(quotas, first, last, shards, total, seed):
+    """Leaves (shard, source) -> quota of the splitting tree, in plain Python."""
+    if last - first == 1:
+        return {(first, s): q for s, q in quotas.items() if q}
+    middle, names = (first + last) // 2, sorted(quotas)
+    wanted = total * middle // shards - total * first // shards
+    drawn = np.random.default_rng([seed, first, last]).multivariate_hypergeometric([quotas[s] for s in names], wanted, method="marginals")
+    left = {s: int(n) for s, n in zip(names, drawn) if n}
+    right = {s: quotas[s] - left.get(s, 0) for s in names if quotas[s] > left.get(s, 0)}
+    return split_quotas(left, first, middle, shards, total, seed) | split_quotas(right, middle, last, shards, total, seed)
+
+
+def test_mixture_comes_through_its_tree(spark, sf, docs):
+    plan = plan_mixture(docs, weights=(3, 1, 2), share=1.5, most=2.0)
+    assert plan.shards == 32
+    draws = [(r.source_no, r.block, r["pass"], r.shard) for r in plan.draws.select("source_no", "block", F.explode("draws").alias("d")).select("source_no", "block", "d.*").collect()]
+    assert len({d[:3] for d in draws}) == len(draws)  # disjoint
+    leaves, own = {(r.shard, r.source_no): r.quota for r in plan.quotas.collect()}, collections.Counter((d[3], d[0]) for d in draws)
+    quotas = collections.Counter()
+    for (_, s), n in leaves.items():
+        quotas[s] += n
+    assert leaves == split_quotas(dict(quotas), 0, plan.shards, plan.shards, sum(quotas.values()), 17) and len(leaves) > 100
+    missing = collections.Counter(leaves) - own  # a crossing block of which no document is taken
+    assert own <= collections.Counter(leaves) and max(collections.Counter(s for _, s in missing.elements()).values(), default=0) <= 1
+    order = {tuple(r)[:3]: r.h for r in spark.createDataFrame([d[:3] for d in draws], plan.draws.selectExpr("source_no", "block", "0L AS pass").schema).selectExpr("*", "xxhash64(17, source_no, block, pass) AS h").collect()}
+    for s in quotas:  # a leaf's draws are a consecutive run of its source's permuted blocks
+        own = sorted((d for d in draws if d[0] == s), key=lambda d: (d[2], order[d[:3]], d[1]))
+        assert [d[3] for d in own] == sorted(d[3] for d in own)
+    # The query's documents are taken for the shards that drew their blocks, as often as the mixture holds them.
+    rows = {r.doc_id: r for r in Q.op2_mix_sources(spark, sf).collect()}
+    assert all(r.taken == r.size * len(r.shards.split(",") if r.shards else []) for r in rows.values())
+    assert {int(x) for r in rows.values() for x in r.shards.split(",") if x} == {d[3] for d in draws}
+
+
 def test_mixture_of_odd_texts(odd, empty):
     plan = plan_mixture(odd, block_words=10)
     rows = mixture_sizes(plan).collect()
@@ -175,6 +209,22 @@ def test_contexts_lead_on_from_found_identifiers(spark):
     assert by[100] == "phone:24:36" and by[200] == "phone:23:35" and by[300] == "phone:23:35" and by[301] == ""
 
 
+def test_patterns_extract_unseen_forms(spark):
+    forms = ["5551239999", "ext.5551239999", "0049/555/1239999", "0049/555-1239998,"]
+    rows = [(i, f"hello please call me at +1 (555) 123-45{i:02d} soon ok") for i in range(30)]
+    rows += [(100 + i, f"hello please call me at {form} soon ok") for i, form in enumerate(forms)]
+    rows += [(200 + i, f"some order {form} was shipped") for i, form in enumerate(["7771239999", "no.7771238888"])]  # in no pattern
+    rows += [(300, "hello please call me at 12 soon ok"), (301, "hello please call me at 55512399991234567890 soon ok")]  # of no shape
+    rows += [(400, None), (401, "hello please call me at " + "7x" * 30_000 + " soon"), (402, "hello please call me at 5551239999 soon ok"), (102, rows[32][1])]
+    by = {}
+    for r in span_report(find_private_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect():
+        assert by.setdefault(r.doc_id, r) == r  # repeated rows alike
+    at = len("hello please call me at ")
+    assert [by[100 + i].spans for i in range(3)] == [f"phone:{at}:{at + len(f)}" for f in forms[:3]]
+    assert by[103].spans == f"phone:{at}:{at + 16}" and by[402].spans == by[100].spans
+    assert not any(by[d].spans for d in (200, 201, 300, 301, 400, 401)) and all(by[d].n_phone == 0 for d in by if d >= 100)
+
+
 def test_contexts_find_long_addresses(spark):
     long = "first.last-name (at) department-of-something (dot) university-name (dot) edu"
     rows = [(i, f"you may write me at bob{i}@example.org soon ok") for i in range(12)] + [(50, f"write me at {long} soon ok")]
