@@ -126,10 +126,12 @@ def score_graph(instances: DataFrame, rounds: int = 3, support: int = 8, thresho
     edges = instances.select("kind", "value", "seed", F.explode("patterns").alias("pattern"))
     edges = written(edges.groupBy("pattern", "kind", "value").agg(F.max("seed").alias("seed")), "pattern-graph")
     score = written(edges.groupBy("kind", "value").agg(F.max(F.col("seed").cast("double")).alias("score")), "instance-scores")
-    for _ in range(rounds):
+    for k in range(rounds):
         scored = edges.join(score, ["kind", "value"])
         damped = F.least(F.lit(1.0), F.log(1 + F.sum((F.col("score") >= threshold).cast("long"))) / F.log(F.lit(1.0 + support)))
-        patterns = written(scored.groupBy("pattern").agg((F.avg("score") * damped).alias("worth")), "pattern-worth")
+        patterns = scored.groupBy("pattern").agg((F.avg("score") * damped).alias("worth"))
+        if k == rounds - 1:
+            patterns = written(patterns, "pattern-worth")
         doubts = edges.join(patterns, "pattern").groupBy("kind", "value").agg(
             F.max("seed").alias("seed"), F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("worth"))))).alias("doubt")
         )
