@@ -51,17 +51,17 @@ def setup(spark: SparkSession, names: Databases = Databases()) -> None:
     ensure_table(spark, f"{names.raw}.quarantine", QUARANTINE, partition_by=["feed", PARTITION])
 
 
-def load_snapshot(spark: SparkSession, base: str, date: int, lines: bool = False, names: Databases = Databases()) -> dict[str, str]:
+def load_snapshot(spark: SparkSession, base: str, date: int, lines: bool = False, names: Databases = Databases(), split: bool = False) -> dict[str, str]:
     """Load every feed of one date; a feed that is not there is reported as skipped and the others go on.
 
-    The date is replaced in the raw table and in the quarantine, also by no rows. Any other failure is raised.
+    ``lines`` and ``split`` are those of ``read_snapshots``. The date is replaced in the raw table and in the quarantine, also by no rows. Any other failure is raised.
     """
     outcome = {}
     for feed in FEEDS:
         if not has_snapshot(spark, base, feed, date):
             outcome[feed] = "skipped: no folder of this date"
             continue
-        good, bad = split_corrupt(read_snapshots(spark, base, feed, date, lines))
+        good, bad = split_corrupt(read_snapshots(spark, base, feed, date, lines, split))
         append_snapshot(good, f"{names.raw}.{feed}", partitions=[{PARTITION: date}])
         append_snapshot(bad.withColumn("feed", F.lit(feed)), f"{names.raw}.quarantine", partitions=[{"feed": feed, PARTITION: date}])
         outcome[feed] = "loaded"
@@ -79,6 +79,7 @@ def run_weekly(
     buckets: int = 32,
     lines: bool = False,
     names: Databases = Databases(),
+    split: bool = False,
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Run all steps for one snapshot; returns the tables written and the outcome of each feed.
 
@@ -90,7 +91,7 @@ def run_weekly(
     date = date or today_utc()
     as_of = as_of or dt.datetime.strptime(str(date), "%Y%m%d").date()
     setup(spark, names)
-    outcome = load_snapshot(spark, base, date, lines, names)
+    outcome = load_snapshot(spark, base, date, lines, names, split)
     raw = {feed: at_snapshot(spark.table(f"{names.raw}.{feed}"), date) for feed in FEEDS}
 
     def loaded(*feeds: str) -> bool:

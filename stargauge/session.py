@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +43,21 @@ def stable(df: DataFrame) -> DataFrame:
     """Pin the rows of ``df`` in reliable storage, so later reads see the same partitions."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application; needless where it is installed on them."""
+    sc = spark.sparkContext
+    if getattr(sc, "_stargauge_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(top)
+    target = os.path.join(tempfile.mkdtemp(prefix="stargauge-"), f"{name}.zip")  # the driver serves it to the executors
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, files in os.walk(top):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    out.write(path, os.path.join(name, os.path.relpath(path, top)))
+    sc.addPyFile(target)
+    sc._stargauge_shipped = True

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import FEEDS
+from .arrays import array_objects
 
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
@@ -31,14 +32,23 @@ def feed_schema(feed: str) -> T.StructType:
     return T.StructType(FEEDS[feed].fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def read_snapshots(spark: SparkSession, base: str, feed: str, date: int | None = None, lines: bool = False) -> DataFrame:
+def read_snapshots(
+    spark: SparkSession, base: str, feed: str, date: int | None = None, lines: bool = False, split: bool = False
+) -> DataFrame:
     """Rows of one feed with ``snapshot_date`` taken from the directory.
 
-    A file holds an array of objects or a single object. A file of that form is
-    read whole by one task, so large feeds should be written as JSON lines
-    (``write_snapshot`` does) and read with ``lines=True``, which Spark splits.
-    Unparsable text is kept in ``_corrupt_record``; see ``split_corrupt``.
+    A file holds an array of objects or a single object. Spark reads a file of
+    that form whole in one task; ``split`` cuts it between objects over many
+    tasks (``array_objects``). Files of JSON lines, as ``write_snapshot`` makes
+    them, are read with ``lines=True``.
+    Unparsable text is kept in ``_corrupt_record``; see ``split_corrupt``. With
+    ``split`` that is the one object or the stray text, and the rest of its
+    file is kept; otherwise it is the whole array.
     """
+    if split:
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        parsed = F.array(F.from_json("text", feed_schema(feed), options))  # inline: parsed once, whatever filters follow
+        return stamp(array_objects(spark, feed_path(base, feed), date).select(F.inline(parsed), "date"))
     reader = (
         spark.read.schema(feed_schema(feed))
         .option("multiLine", not lines)
