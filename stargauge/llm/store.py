@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package as ship_package
 
 #: A side of a join is broadcast up to this many rows of a few numbers each; beyond it Spark joins by shuffle.
 BROADCAST_ROWS = 500_000
@@ -42,21 +39,3 @@ def hash_sample(df: DataFrame, rows: int, wanted: int, *columns: str) -> DataFra
     """
     part = F.pmod(F.xxhash64(*columns), F.lit(1 << 30))
     return df.where(part < F.lit(max(1, round((1 << 30) * min(1.0, wanted / max(rows, 1)))))).limit(2 * wanted)
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per application; needless where it is installed on them."""
-    sc = spark.sparkContext
-    if getattr(sc, "_stargauge_shipped", False):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    name = os.path.basename(top)
-    target = os.path.join(tempfile.mkdtemp(prefix="stargauge-"), f"{name}.zip")  # the driver serves it to the executors
-    with zipfile.ZipFile(target, "w") as out:
-        for folder, _, files in os.walk(top):
-            for file in files:
-                if file.endswith(".py"):
-                    path = os.path.join(folder, file)
-                    out.write(path, os.path.join(name, os.path.relpath(path, top)))
-    sc.addPyFile(target)
-    sc._stargauge_shipped = True
