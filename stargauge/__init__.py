@@ -2,8 +2,8 @@
 
 from .operators.cluster import canonical_ids, kmeans, kmeans_vectors, standardise
 from .operators.dedup import first_existing, latest_per_key, top_per_group
-from .operators.encode import encode_numeric, label_codes, label_encode
-from .operators.enrich import KeywordAnnotator, annotate_replies, enrich, vocabulary_report
+from .operators.encode import encode_numeric, extend_codes, label_codes, label_encode
+from .operators.enrich import KeywordAnnotator, annotate_changed, annotate_replies, enrich, vocabulary_report
 from .operators.joins import drill_down, fallback, left_join_suffixed, lookup, present, search
 from .operators.profile import by_distinctness, group_means, group_profile
 from .operators.ranking import rank_and_share, rank_in_group
@@ -21,7 +21,7 @@ from .plans.features import (
 )
 from .plans.weekly import Databases, load_snapshot, run_weekly, setup
 from .sources.snapshots import (
-    at_snapshot, has_snapshot, one_snapshot, read_snapshots, split_corrupt, stack_snapshots, today_utc, write_snapshot,
+    at_snapshot, has_snapshot, latest_snapshot, one_snapshot, read_snapshots, split_corrupt, stack_snapshots, today_utc, write_snapshot,
 )
 from .sources.tables import append_snapshot, ensure_database, ensure_table, replace_table
 from .streaming.ingest import ingest_available, loaded_files, merge_files, snapshot_stream

@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import ensure_table
 from .ranking import rank_in_group
 
+CODES = T.StructType([
+    T.StructField("column", T.StringType()), T.StructField("value", T.StringType()), T.StructField("code", T.LongType()),
+])
+
 
 def columns_by_kind(df: DataFrame) -> dict[str, list[str]]:
     """Column names split into number, flag, time, text and list."""
@@ -36,20 +41,44 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     shuffle and numbered by a global sort, whose rows are pinned; the joins of
     ``label_encode`` read the pinned codes and never the table again.
     """
+    return rank_in_group(_distinct_values(df, columns), ["column"], [F.col("value")], "code")
+
+
+def _distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
-    values = df.select(F.inline(cells)).where(F.col("value").isNotNull()).distinct()
-    return rank_in_group(values, ["column"], [F.col("value")], "code")
+    return df.select(F.inline(cells)).where(F.col("value").isNotNull()).distinct()
+
+
+def extend_codes(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
+    """The stored codes of ``columns`` after those values of ``df`` that have none yet were added to ``table``.
+
+    A value keeps its code for good: unseen ones take the numbers behind the
+    largest of their column, in alphabetic order among themselves, so that the
+    first call gives the codes of ``label_codes``. The table is created if
+    absent and only ever appended to, by one job; a call that finds nothing new
+    leaves it as it is. One writer at a time.
+    """
+    spark = df.sparkSession
+    ensure_table(spark, table, CODES, partition_by=None)
+    known = spark.table(table).where(F.col("column").isin(list(columns)))
+    unseen = _distinct_values(df, columns).join(known, ["column", "value"], "left_anti")
+    largest = known.groupBy("column").agg(F.max("code").alias("_largest"))  # a row a column, at most
+    numbered = rank_in_group(unseen, ["column"], [F.col("value")], "_place").join(F.broadcast(largest), "column", "left")
+    code = F.col("_place") + F.coalesce("_largest", F.lit(0))
+    numbered.select("column", "value", code.alias("code")).write.insertInto(table)
+    return spark.table(table).where(F.col("column").isin(list(columns)))
 
 
-def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_label") -> DataFrame:
+def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_label", code_table: str | None = None) -> DataFrame:
     """Replace text columns by their codes; null becomes 0.
 
-    Plain equi-joins: Spark broadcasts a code table that turns out small and
-    sorts both sides otherwise.
+    Codes are numbered anew, or kept from run to run in ``code_table``
+    (``extend_codes``). Plain equi-joins: Spark broadcasts a code table that
+    turns out small and sorts both sides otherwise.
     """
     if not columns:
         return df
-    codes = label_codes(df, columns)
+    codes = extend_codes(df, columns, code_table) if code_table else label_codes(df, columns)
     for c in columns:
         own = codes.where(F.col("column") == c).select(F.col("value").alias("_v"), F.col("code").alias("_code"))
         df = (
@@ -60,12 +89,13 @@ def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_label")
     return df
 
 
-def encode_numeric(df: DataFrame, key: str, exclude: Sequence[str] = ()) -> DataFrame:
+def encode_numeric(df: DataFrame, key: str, exclude: Sequence[str] = (), code_table: str | None = None) -> DataFrame:
     """The key and one number per other column.
 
     Numbers and flags keep their value with 0 for null, times become whole
-    seconds since 1970, texts and lists become codes. Identifiers belong in
-    ``exclude``: their codes carry no meaning.
+    seconds since 1970, texts and lists become codes (lasting ones with a
+    ``code_table``). Identifiers belong in ``exclude``: their codes carry no
+    meaning.
     """
     kinds = {k: [c for c in cols if c != key and c not in exclude] for k, cols in columns_by_kind(df).items()}
     text = kinds["text"] + kinds["list"]
@@ -77,4 +107,4 @@ def encode_numeric(df: DataFrame, key: str, exclude: Sequence[str] = ()) -> Data
         *kinds["text"],
         *[F.to_json(c).alias(c) for c in kinds["list"]],
     )
-    return label_encode(plain, text)
+    return label_encode(plain, text, code_table=code_table)

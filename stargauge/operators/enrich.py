@@ -14,12 +14,17 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import matches, parse_json_record
 from ..schemas import AUDIENCES, CATEGORIES, COMPLEXITY_LEVELS, ENRICHMENT, USE_CASES
+from ..sources.tables import ensure_table
 
 FIELDS = [f.name for f in ENRICHMENT.fields]
 UNICODE = "(?U)"
+ANNOTATIONS = T.StructType(
+    [T.StructField("hash", T.StringType()), T.StructField("outcome", T.StringType()), *ENRICHMENT.fields, T.StructField("annotator", T.StringType())]
+)
 
 # Our default rules: a category is the first pattern found, lists hold every one found.
 CATEGORY_RULES = {
@@ -116,7 +121,8 @@ def annotate_replies(df: DataFrame, key: str, text: str, annotator: Callable[[st
         for batch in batches:
             yield pd.DataFrame([answer(value) for value in batch], columns=["reply", "failed"])
 
-    answered = df.select(key, F.col(text).alias("_text"), replies(F.col(text)).alias("_answer"))
+    asked = replies.asNondeterministic()(F.col(text))  # a filter on the outcome must not ask a second time
+    answered = df.select(key, F.col(text).alias("_text"), asked.alias("_answer"))
     parsed = answered.withColumn("_record", parse_json_record(F.col("_answer.reply"), ENRICHMENT))
     usable = F.coalesce(*[F.col(f"_record.{name}").cast("string") for name in FIELDS]).isNotNull()
     told = (
@@ -128,6 +134,37 @@ def annotate_replies(df: DataFrame, key: str, text: str, annotator: Callable[[st
     )
 
 
+def annotate_changed(
+    df: DataFrame, key: str, text: str, annotator: Callable[[str], str | None], table: str, version: str, outcome: str | None = None
+) -> DataFrame:
+    """As ``annotate_replies``, asking only about texts that ``version`` of the annotator has not answered yet.
+
+    Answers are stored in ``table`` (created if absent) by the SHA-256 of the
+    text and by version, when this is called; equal texts are asked about once.
+    An unusable reply counts as an answer, a failure does not: such texts are
+    asked about again by the next call and have the outcome ``failed`` till then.
+    Every row of ``df`` is returned, null and empty texts with an all-null
+    record. Of all texts only the hashes are exchanged to find the new ones.
+    """
+    spark = df.sparkSession
+    ensure_table(spark, table, ANNOTATIONS, partition_by="annotator")
+    rows = df.select(key, F.col(text).alias("_text"), F.when(F.length(text) > 0, F.sha2(text, 256)).alias("_hash"))
+
+    def answers() -> DataFrame:
+        own = spark.table(table).where(F.col("annotator") == version).drop("annotator")
+        return own.withColumnsRenamed({c: f"_{c}" for c in own.columns}).dropDuplicates(["_hash"])
+
+    hashes = rows.select("_hash").where(F.col("_hash").isNotNull()).distinct()
+    unseen = rows.select("_hash", "_text").join(hashes.join(answers(), "_hash", "left_anti"), "_hash", "left_semi").dropDuplicates(["_hash"])
+    replies = annotate_replies(unseen, "_hash", "_text", annotator, "outcome").where(F.col("outcome") != "failed")
+    stored = replies.withColumnRenamed("_hash", "hash").withColumn("annotator", F.lit(version))
+    stored.select(*ANNOTATIONS.names).write.insertInto(table)
+    told = F.when(F.col("_hash").isNull(), "no text").otherwise(F.coalesce("_outcome", F.lit("failed")))
+    return rows.drop("_text").join(answers(), "_hash", "left").select(
+        key, *[F.col(f"_{name}").alias(name) for name in FIELDS], *([told.alias(outcome)] if outcome else [])
+    )
+
+
 def vocabulary_report(
     df: DataFrame,
     categories: Sequence[str] = CATEGORIES,

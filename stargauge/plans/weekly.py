@@ -18,7 +18,7 @@ from ..functions.readme import decode_content
 from ..operators.cluster import kmeans
 from ..operators.dedup import latest_per_key
 from ..operators.encode import encode_numeric
-from ..operators.enrich import KeywordAnnotator, annotate_replies, enrich
+from ..operators.enrich import KeywordAnnotator, annotate_changed, annotate_replies, enrich
 from ..operators.profile import group_means
 from ..schemas import FEEDS
 from ..sources.snapshots import at_snapshot, has_snapshot, read_snapshots, split_corrupt, today_utc
@@ -80,6 +80,7 @@ def run_weekly(
     lines: bool = False,
     names: Databases = Databases(),
     split: bool = False,
+    annotator_version: str | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Run all steps for one snapshot; returns the tables written and the outcome of each feed.
 
@@ -87,6 +88,8 @@ def run_weekly(
 
     The date defaults to today (UTC); ages are counted up to ``as_of``, by default the snapshot date. The tables that are
     joined by repository are stored in ``buckets`` buckets by repository and snapshot, so that the joins read them in place.
+    Codes of texts last from run to run in ``label_codes``. With an ``annotator_version``, answers of a Python ``annotator``
+    are kept in ``annotations`` and only new texts are put to it.
     """
     date = date or today_utc()
     as_of = as_of or dt.datetime.strptime(str(date), "%Y%m%d").date()
@@ -125,11 +128,14 @@ def run_weekly(
         F.col("repo_full_name").alias("repo_name"), decode_content(F.col("content"), F.col("encoding")).alias("text")
     )
     with_text = features.select("repo_name").join(texts, "repo_name", "left")
-    step = annotate_replies if callable(annotator) else enrich
-    enriched = keep("repo_enriched", step(with_text, "repo_name", "text", annotator))
+    if callable(annotator) and annotator_version:
+        records = annotate_changed(with_text, "repo_name", "text", annotator, f"{names.clean}.annotations", annotator_version)
+    else:
+        records = (annotate_replies if callable(annotator) else enrich)(with_text, "repo_name", "text", annotator)
+    enriched = keep("repo_enriched", records)
 
     ready = keep("repo_ml_ready", ml_ready(features, enriched))
-    numeric = keep("repo_ml_numeric_final", encode_numeric(ready, "repo_name", IDENTIFIERS))
+    numeric = keep("repo_ml_numeric_final", encode_numeric(ready, "repo_name", IDENTIFIERS, f"{names.results}.label_codes"))
 
     measures = [c for c in numeric.columns if c not in ("repo_name", "transformed_at")]
     assigned = keep("repo_clusters", kmeans(numeric, measures, clusters, order_by="stars_count"), names.results)

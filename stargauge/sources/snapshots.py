@@ -89,6 +89,18 @@ def one_snapshot(df: DataFrame, date: int | None = None) -> DataFrame:
     return df.where(F.col("snapshot_date") == df.agg(F.max("snapshot_date")).scalar())
 
 
+def latest_snapshot(spark: SparkSession, table: str) -> DataFrame:
+    """Rows of the latest snapshot of a stored table partitioned by ``snapshot_date``.
+
+    The date comes from the catalog's list of partitions, so that no row is read
+    for it and the scan is pruned to that date when it is planned. Without a
+    partition there are no rows.
+    """
+    listed = F.regexp_extract("partition", r"(?:^|/)snapshot_date=(\d+)(?:/|$)", 1)
+    dates = spark.sql(f"SHOW PARTITIONS {table}").agg(F.max(F.nullif(listed, F.lit("")).cast("long")))
+    return at_snapshot(spark.table(table), dates.first()[0] or -1)
+
+
 def stack_snapshots(frames: Sequence[DataFrame]) -> DataFrame:
     """One table of several dated frames; columns that a frame lacks are null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
