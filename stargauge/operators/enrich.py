@@ -1,13 +1,15 @@
 """Structured metadata out of free text.
 
 Two annotators share one record shape. ``KeywordAnnotator`` is a set of Spark
-expressions and needs no service. ``annotate_replies`` runs any Python function
+expressions and needs no service; an index from the beginnings of words to its
+rules is looked up once a text, and only rules whose words occur are tried. ``annotate_replies`` runs any Python function
 (a client of a hosted model, say) over Arrow batches; its replies are parsed
 back in the JVM.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -22,6 +24,7 @@ from ..sources.tables import ensure_table
 
 FIELDS = [f.name for f in ENRICHMENT.fields]
 UNICODE = "(?U)"
+_MARK = 3  # letters of a word's beginning by which rules are looked up
 ANNOTATIONS = T.StructType(
     [T.StructField("hash", T.StringType()), T.StructField("outcome", T.StringType()), *ENRICHMENT.fields, T.StructField("annotator", T.StringType())]
 )
@@ -69,33 +72,88 @@ class KeywordAnnotator:
     other: str = "Other"
     length_steps: tuple[int, int] = (2_000, 10_000)
 
-    def record(self, text: Column) -> dict[str, Column]:
+    def marks(self, text: Column) -> Column:
+        """Beginnings of words in the text that some rule asks for: one pass over it, whatever the number of rules; null if none asks."""
+        wanted = sorted({m for rules in (self.categories, self.stack, self.audience, self.use_cases) for p in rules.values() for m in rule_marks(p) or ()})
+        if not wanted:
+            return F.lit(None).cast("array<string>")
+        words = F.regexp_extract_all(F.lower(text), F.lit(rf"{UNICODE}\b\w{{{_MARK}}}"), F.lit(0))
+        return F.array_intersect(words, _strings(wanted))
+
+    def record(self, text: Column, marks: Column | None = None) -> dict[str, Column]:
+        """The fields found in a text; with its ``marks``, only the regexes of rules whose words occur are run."""
         low = F.lower(text)
+
+        def holds(pattern: str) -> Column:
+            asked = rule_marks(pattern) if marks is not None else None
+            found = matches(low, UNICODE + pattern)
+            return found if asked is None else F.arrays_overlap(marks, _strings(sorted(asked))) & found
+
+        def all_found(rules: Mapping[str, str]) -> Column:
+            return F.array_compact(F.array(*[F.when(holds(p), F.lit(n)) for n, p in rules.items()]))
+
         score = (
             F.when(F.length(text) < self.length_steps[0], 1)
             .when(F.length(text) < self.length_steps[1], 2)
             .otherwise(3)
         )
         found = {
-            "category": F.coalesce(*[F.when(matches(low, UNICODE + p), F.lit(n)) for n, p in self.categories.items()], F.lit(self.other)),
-            "tech_stack": _all_found(low, self.stack),
+            "category": F.coalesce(*[F.when(holds(p), F.lit(n)) for n, p in self.categories.items()], F.lit(self.other)),
+            "tech_stack": all_found(self.stack),
             "complexity_level": F.element_at(F.array(*[F.lit(x) for x in COMPLEXITY_LEVELS]), score),
             "complexity_score": score.cast("long"),
-            "audience": _all_found(low, self.audience),
-            "use_cases": _all_found(low, self.use_cases),
+            "audience": all_found(self.audience),
+            "use_cases": all_found(self.use_cases),
         }
         has_text = F.length(text) > 0
         return {name: F.when(has_text, value) for name, value in found.items()}
 
 
-def _all_found(text: Column, rules: Mapping[str, str]) -> Column:
-    return F.array_compact(F.array(*[F.when(matches(text, UNICODE + p), F.lit(n)) for n, p in rules.items()]))
+def _strings(values: Sequence[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+
+def _alternatives(pattern: str) -> list[str]:
+    """A pattern cut at the bars outside its groups and character classes."""
+    out, depth, in_class, i = [""], 0, False, 0
+    while i < len(pattern):
+        step = pattern[i:i + 2] if pattern[i] == "\\" else pattern[i]
+        if step == "[":
+            in_class = True
+        elif step == "]":
+            in_class = False
+        elif not in_class and step in "()":
+            depth += 1 if step == "(" else -1
+        if step == "|" and depth == 0 and not in_class:
+            out.append("")
+        else:
+            out[-1] += step
+        i += len(step)
+    return out
+
+
+def rule_marks(pattern: str) -> frozenset[str] | None:
+    """Beginnings of words without one of which the pattern cannot match; None if it can match without a known word.
+
+    Known are the first letters of a whole alternative that starts at a word boundary.
+    """
+    if "(?" in pattern or "\\Q" in pattern:
+        return None
+    marks = set()
+    for alternative in _alternatives(pattern):
+        start = re.match(rf"\\b([a-z0-9]{{{_MARK}}})(?![?*{{])", alternative)
+        if not start:
+            return None
+        marks.add(start.group(1))
+    return frozenset(marks)
 
 
 def enrich(df: DataFrame, key: str, text: str, annotator: KeywordAnnotator | None = None) -> DataFrame:
     """One record per row of ``df``; a missing or empty text gives an all-null record."""
-    record = (annotator or KeywordAnnotator()).record(F.col(text))
-    return df.select(key, *[record[name].alias(name) for name in FIELDS])
+    rules = annotator or KeywordAnnotator()
+    marked = df.select(key, F.col(text).alias("_text"), rules.marks(F.col(text)).alias("_marks"))
+    record = rules.record(F.col("_text"), F.col("_marks"))
+    return marked.select(key, *[record[name].alias(name) for name in FIELDS])
 
 
 def annotate_replies(df: DataFrame, key: str, text: str, annotator: Callable[[str], str | None], outcome: str | None = None) -> DataFrame:

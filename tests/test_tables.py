@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 import stargauge as sg
+from stargauge.operators import enrich as EN
 from stargauge.operators.cluster import best_kmeans
 from stargauge.plans import reports as R
 
@@ -232,6 +233,30 @@ def test_enrichment_with_rules(spark):
     assert all(v is None for n in "bc" for f, v in out[n].asDict().items() if f != "k")
 
 
+def test_words_that_rules_ask_for():
+    from stargauge.operators.enrich import _alternatives, rule_marks
+
+    assert _alternatives(r"a|(b|c)d|[|)]e|\||f") == ["a", "(b|c)d", "[|)]e", r"\|", "f"]
+    assert rule_marks(r"\bnetwork|\btcp\b") == {"net", "tcp"} and rule_marks(r"\bcach(e|ing)\b") == {"cac"}
+    assert rule_marks(r"\bweb+\b") == {"web"} and rule_marks(r"\bmachine learning\b") == {"mac"}
+    for free in (r"\bgo (get|build)\b", r"\bc\+\+", "network", r"\bweb?\b", r"\bnet|tcp", r"\b(net|tcp)\b", r"(?i)\bweb", r"\bwe\w", r"\bweb{0,1}x", "", r"\bnet|"):
+        assert rule_marks(free) is None, free
+
+
+def test_the_index_of_words_changes_no_record(spark):
+    rules = [r for kind in (EN.CATEGORY_RULES, EN.STACK_RULES, EN.AUDIENCE_RULES, EN.USE_CASE_RULES) for p in kind.values() for r in EN._alternatives(p)]
+    heads = [r.replace("\\b", "").replace("\\+", "+").split("(")[0].split("[")[0].split(".")[0].split("?")[0] for r in rules]
+    rng = random.Random(5)
+    between = [" ", "-", "_", "\n", "é", "\u0301", "日", ".", "", " x"]
+    texts = ["".join(rng.choice([h.upper(), h, h[:-1], "s" + h]) + rng.choice(between) for h in rng.choices(heads, k=rng.randrange(6))) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate([*texts, None, ""])), "k int, text string")
+    plain = EN.KeywordAnnotator().record(F.col("text"))
+    want = df.select("k", *[plain[name].alias(name) for name in EN.FIELDS])
+    assert sorted(map(repr, sg.enrich(df, "k", "text").collect())) == sorted(map(repr, want.collect()))
+    own = EN.KeywordAnnotator({"A": "x"}, {}, {"b": r"\bserver"}, {})
+    assert sg.enrich(df, "k", "text", own).count() == 602
+
+
 def test_enrichment_with_replies(spark):
     def annotator(text):
         if text == "boom":
