@@ -349,3 +349,24 @@ def ordered_lists(spark, sf):
     shown = sg.present(table(spark, sf, "part"), ["p_partkey", "p_name", "p_size", "p_missing"])
     top = sg.n_largest(table(spark, sf, "part"), 20, "p_retailprice", ["p_partkey"]).select(*shown)
     return top.withColumnsRenamed({"p_partkey": "part", "p_name": "name", "p_size": "size"})
+
+
+@query("""
+SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents)
+GROUP BY word ORDER BY n DESC, word LIMIT 8""")
+def top_words(spark, sf):
+    """The most frequent words of all texts: a summary names candidates, which alone are counted exactly."""
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    return sg.top_counts(table(spark, sf, "documents").select(F.explode(words).alias("word")), "word", 8)
+
+
+@query("""
+SELECT o_orderpriority, count(DISTINCT o_custkey) AS customers, true AS estimate_holds
+FROM orders WHERE year(o_orderdate) BETWEEN 1994 AND 1996 GROUP BY o_orderpriority""")
+def distinct_over_years(spark, sf):
+    """Customers of three years from one sketch a year, beside the exact count: within five standard errors."""
+    dated = table(spark, sf, "orders").select("o_orderpriority", "o_custkey", F.year("o_orderdate").cast("long").alias("snapshot_date"))
+    about = sg.distinct_over(sg.distinct_sketches(dated, ["o_orderpriority"], "o_custkey"), ["o_orderpriority"], 1994, 1996, "about")
+    exact = dated.where("snapshot_date BETWEEN 1994 AND 1996").groupBy("o_orderpriority").agg(F.countDistinct("o_custkey").alias("customers"))
+    holds = F.abs(F.col("about") - F.col("customers")) <= 5 * sg.distinct_error() * F.col("customers")
+    return exact.join(about, "o_orderpriority").select("o_orderpriority", "customers", holds.alias("estimate_holds"))

@@ -2,6 +2,7 @@
 
 from .operators.cluster import canonical_ids, kmeans, kmeans_vectors, standardise
 from .operators.dedup import first_existing, latest_per_key, top_per_group
+from .operators.distinct import distinct_error, distinct_over, distinct_sketches
 from .operators.encode import encode_numeric, extend_codes, label_codes, label_encode
 from .operators.enrich import KeywordAnnotator, annotate_changed, annotate_replies, enrich, vocabulary_report
 from .operators.joins import drill_down, fallback, left_join_suffixed, lookup, present, search
@@ -11,7 +12,7 @@ from .operators.tallies import (
     crosstab, declared_counts, flow_links, flow_nodes, flow_pairs, hierarchy, histogram, level_counts,
     level_means, level_profile, level_stats, list_counts,
 )
-from .operators.topk import distinct_options, n_largest, other_bucket, top_k_semi, top_values, value_counts
+from .operators.topk import distinct_options, n_largest, other_bucket, top_counts, top_k_semi, top_values, value_counts
 from .plans.clean import (
     clean_commits, clean_contributors, clean_repos, commit_stats, contributor_stats, flag_commits,
     language_details, language_summary, language_totals, row_count, table_stats,
