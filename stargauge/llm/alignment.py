@@ -100,6 +100,7 @@ class Aligner:
             bytes([int(p[1:-1], 16)]) if self.second.is_byte(i) else p.replace(_BLANK, " ").encode() for i, p in enumerate(pieces)
         ]
         self.first_length, self.second_length = (np.array(list(map(len, x))) for x in (self.first_bytes, self.second_bytes))
+        self.first_shown, self.second_shown = _shown(len(entries), ";"), _shown(len(pieces), "|")
         #: A's rule cuts at all these places. B has no rule, so no piece of it may reach across them.
         rules = json.loads(first)
         words = {"type": "ByteLevel", "use_regex": True}.items() <= (rules.get("pre_tokenizer") or {}).items()
@@ -135,13 +136,13 @@ class Aligner:
         if len(parts) > 1:
             self._merge(parts)
         out = [list(map(self.known.__getitem__, runs)) for runs in texts]
-        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
-        for runs in out:
-            self.uses[runs] += 1
+        used = np.bincount(np.fromiter(chain.from_iterable(out), np.int64), minlength=len(self.known))
+        used[: len(self.uses)] += self.uses
+        self.uses = used
         return out
 
     def _trim(self) -> None:
-        """Forget the runs that were in one text only, and of the others the rarer ones beyond half the limit."""
+        """Forget the runs that occurred only once, and of the others the rarer ones beyond half the limit."""
         order = np.argsort(-self.uses, kind="stable")[: self.limit // 2]
         keep = np.sort(order[self.uses[order] > 1])
         old, new = self.all, _Part(0)
@@ -184,12 +185,12 @@ class Aligner:
         a = np.array(one.ids, np.int64)
         # B writes a blank before each text: a line break after that keeps it from joining the first run.
         pieces = self.second.encode("\n" + text, return_type="proto", num_threads=1).pieces[2:]
-        b = np.array([p.id for p in pieces], np.int64)
-        begins, ends = np.array([p.begin for p in pieces], np.int64) - 1, np.array([p.end for p in pieces], np.int64) - 1
+        fields = np.fromiter(chain.from_iterable((p.id, p.begin, p.end) for p in pieces), np.int64, 3 * len(pieces)).reshape(-1, 3)
+        b, begins, ends = fields[:, 0].copy(), fields[:, 1] - 1, fields[:, 2] - 1
         joined = b"".join(map(self.first_bytes.__getitem__, a.tolist())), b"".join(map(self.second_bytes.__getitem__, b.tolist()))
         if joined != (data, data):
             return None
-        spans = np.array(one.offsets, np.int64).reshape(-1, 2)
+        spans = np.fromiter(chain.from_iterable(one.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
         n, sizes = len(runs), np.array(list(map(len, runs)))
         if len(data) != len(text):
             heads = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
@@ -219,7 +220,7 @@ class Aligner:
         run, part.pairs = both >> (2 * _PAIR_BITS), both & ((1 << (2 * _PAIR_BITS)) - 1)
         part.begin = np.searchsorted(run, np.arange(n + 1))
         part.n_links = np.diff(np.concatenate([[0], np.cumsum(part.links)])[part.begin])
-        part.shown = _printed(a, group_a, b, group_b, run_of, n)
+        part.shown = _printed(self.first_shown[_opens(group_a), a], group_a, self.second_shown[_opens(group_b), b], group_b, run_of, n)
         return part
 
 
@@ -228,16 +229,26 @@ def _joinable(run: str) -> bool:
     return not (run[-1].isspace() or run[0] != " " and run[0].isspace() or run[:1] == " " and run[1:2].isspace())
 
 
+def _shown(n: int, opening: str) -> np.ndarray:
+    """Ids below ``n`` as text, behind a comma and behind the mark of the first of a group."""
+    return np.array([[f",{i}" for i in range(n)], [f"{opening}{i}" for i in range(n)]], object)
+
+
+def _opens(group: np.ndarray) -> np.ndarray:
+    """1 for the first token of each group of an ordered array, else 0."""
+    return (np.diff(group, prepend=-1) != 0).astype(np.int64)
+
+
 def _printed(a: np.ndarray, group_a: np.ndarray, b: np.ndarray, group_b: np.ndarray, run_of: np.ndarray, n: int) -> list[str]:
-    """The groups of each run as ``a,a|b;a|b,b``."""
+    """The groups of each run as ``a,a|b;a|b,b``, from ids shown with their marks: A's of a group, then B's, group by group."""
     k = np.arange(len(run_of) + 1)
-    from_a, from_b = np.searchsorted(group_a, k).tolist(), np.searchsorted(group_b, k).tolist()
-    a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    groups = [
-        f"{','.join(a_text[p:q])}|{','.join(b_text[r:s])}" for p, q, r, s in zip(from_a, from_a[1:], from_b, from_b[1:])
-    ]
-    from_run = np.searchsorted(run_of, np.arange(n + 1)).tolist()
-    return [";".join(groups[p:q]) for p, q in zip(from_run, from_run[1:])]
+    from_a, from_b = np.searchsorted(group_a, k), np.searchsorted(group_b, k)
+    tokens = np.empty(len(a) + len(b), object)
+    tokens[np.arange(len(a)) + from_b[group_a]] = a
+    tokens[np.arange(len(b)) + from_a[group_b + 1]] = b
+    ends = (from_a + from_b)[np.searchsorted(run_of, np.arange(n + 1))].tolist()
+    tokens = tokens.tolist()
+    return ["".join(tokens[p:q])[1:] for p, q in zip(ends, ends[1:])]
 
 
 #: A worker's aligner and the models it is of; the runs it knows serve later tasks too.
