@@ -52,16 +52,46 @@ class Centres:
         return F.when(vector.isNotNull(), F.array_min(F.array(*gaps))["j"])
 
 
-def _candidates(column: str, centres: np.ndarray, seed: int, turn: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For each restart, the row of the task whose draw comes first if rows are drawn by squared distance."""
+#: Numbers of the vectors that one task of a pass takes, about.
+_VALUES_A_TASK = 1 << 18
+
+
+# Functions for tasks are made by functions and use only their own names and modules: a task need not have this package.
+
+
+def _packing() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrays of double as one block of bytes a batch, with their number and length."""
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Only names of this function and modules: a task need not have this package.
+        for frame in frames:
+            if frame.num_rows:
+                values = frame.column(0).flatten().to_numpy(zero_copy_only=False)
+                yield pa.record_batch({
+                    "n": pa.array([frame.num_rows], pa.int64()), "d": pa.array([len(values) // frame.num_rows], pa.int32()),
+                    "block": pa.array([values.tobytes()], pa.binary()),
+                })
+
+    return run
+
+
+def _first_drawn() -> Callable[[tuple, tuple], tuple]:
+    """Of two draws of rows, for each restart the one that comes first; the smaller row of equals."""
+    def run(a: tuple, b: tuple) -> tuple:
+        best, rows = a[0].copy(), a[1].copy()
+        for r, (race, row) in enumerate(zip(*b)):
+            if (race, row.tolist()) < (best[r], rows[r].tolist()):
+                best[r], rows[r] = race, row
+        return best, rows
+
+    return run
+
+
+def _candidates(centres: np.ndarray, seed: int, turn: int) -> Callable[[Iterator], Iterator[tuple]]:
+    """For each restart, the row of the task whose draw comes first if rows are drawn by squared distance."""
+    def run(blocks: Iterator) -> Iterator[tuple]:
         restarts, k, d = centres.shape
         best, rows = np.full(restarts, np.inf), np.zeros((restarts, d))
-        for frame in frames:
-            x = frame.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-            if not len(x):
-                continue
+        for block in blocks:
+            x = np.frombuffer(block["block"]).reshape(-1, d)
             # A draw in (0, 1] for each row and restart, from the row's values alone: however rows lie, the same row wins.
             mixed = np.full(len(x), (seed * 1_000_003 + turn) & 0xFFFFFFFF, np.uint64)
             for j in range(d):
@@ -79,35 +109,27 @@ def _candidates(column: str, centres: np.ndarray, seed: int, turn: int) -> Calla
                 first = int(np.argmin(race))
                 if race[first] < best[r]:
                     best[r], rows[r] = race[first], x[first]
-        found = np.flatnonzero(np.isfinite(best))
-        yield pa.record_batch({
-            "restart": pa.array(found, pa.int32()), "race": pa.array(best[found]),
-            "row": pa.array(rows[found].tolist(), pa.list_(pa.float64())),
-        })
+        yield best, rows
 
     return run
 
 
-def _sums(centres: np.ndarray, live: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of each restart and centre: the rows nearest to it, their sum, and their squared distances; one row a task each."""
-    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, k, d = centres.shape
-        own = centres[live]
-        totals, counts, costs = np.zeros((len(live), k, d)), np.zeros((len(live), k), np.int64), np.zeros((len(live), k))
-        for frame in frames:
-            for at in range(0, frame.num_rows, 4096):
-                x = frame.column(0).slice(at, 4096).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+def _sums(own: np.ndarray) -> Callable[[Iterator], Iterator[tuple]]:
+    """Of each restart and centre: the rows nearest to it, their squared distances, and their sum."""
+    def run(blocks: Iterator) -> Iterator[tuple]:
+        live, k, d = own.shape
+        counts, costs, totals = np.zeros(live * k), np.zeros(live * k), np.zeros((live * k, d))
+        for block in blocks:
+            whole = np.frombuffer(block["block"]).reshape(-1, d)
+            for at in range(0, len(whole), 4096):
+                x = whole[at: at + 4096]
                 gaps = (x * x).sum(axis=1)[:, None] - 2 * (x @ own.reshape(-1, d).T) + (own * own).sum(axis=2).reshape(1, -1)
-                gaps = gaps.reshape(len(x), len(live), k)
-                near = gaps.argmin(axis=2)
-                for r in range(len(live)):
-                    counts[r] += np.bincount(near[:, r], minlength=k)
-                    costs[r] += np.bincount(near[:, r], np.maximum(gaps[np.arange(len(x)), r, near[:, r]], 0), minlength=k)
-                    np.add.at(totals[r], near[:, r], x)
-        yield pa.record_batch({
-            "restart": pa.array(np.repeat(live, k), pa.int32()), "centre": pa.array(np.tile(np.arange(k), len(live)), pa.int32()),
-            "n": pa.array(counts.ravel()), "cost": pa.array(costs.ravel()), "total": pa.array(totals.reshape(-1, d).tolist(), pa.list_(pa.float64())),
-        })
+                near = gaps.reshape(len(x), live, k).argmin(axis=2)
+                chosen = (near[:, :, None] == np.arange(k)).reshape(len(x), -1)
+                counts += chosen.sum(axis=0)
+                costs += np.where(chosen, np.maximum(gaps, 0), 0.0).sum(axis=0)
+                totals += chosen.T.astype(float) @ x
+        yield counts.reshape(live, k), costs.reshape(live, k), totals.reshape(live, k, d)
 
     return run
 
@@ -115,47 +137,44 @@ def _sums(centres: np.ndarray, live: list[int]) -> Callable[[Iterator[pa.RecordB
 def best_kmeans(vectors: DataFrame, column: str, k: int = 4, restarts: int = RESTARTS, seed: int = SEED) -> Centres:
     """Fit from several starts and keep the centres with the lowest cost; ``column`` holds arrays of double.
 
-    All restarts move together: each pass over the cached rows gives the sums for the centres of every restart that has
-    not settled, so there are k passes to draw the starts (each centre a row drawn by its squared distance from those
-    before, equal rows counting once) and then as many as the longest restart needs. What reaches the driver in a pass is
-    one row for each restart and centre. Sums are added up by Spark task by task; the last digits of the centres may
-    depend on that order. Rows with a null vector are left out; a table with fewer than k different rows has fewer centres.
+    The rows are cached as blocks of bytes. All restarts move together: each pass over the blocks gives the sums for the
+    centres of every restart that has not settled, so there are k passes to draw the starts (each centre a row drawn by its
+    squared distance from those before, equal rows counting once) and then as many as the longest restart needs. A pass is
+    one job without an exchange of rows, of as many tasks as the vectors fill (not as their table has partitions); what
+    reaches the driver is the figures of each restart and centre, merged in a tree. Sums are added up task by task; the
+    last digits of the centres may depend on that order. Rows with a null vector are left out; a table with fewer than k
+    different rows has fewer centres.
     """
-    rows = vectors.select(column).where(F.col(column).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = vectors.select(column).where(F.col(column).isNotNull())
+    blocks = rows.mapInArrow(_packing(), "n long, d int, block binary").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        head = rows.first()
-        d = len(head[0]) if head else 0
+        size = blocks.agg(F.sum("n").alias("n"), F.max("d").alias("d")).first()
+        d = size["d"] or 0
+        parts = blocks.rdd.coalesce(max(1, -(-(size["n"] or 0) * d // _VALUES_A_TASK)))
         centres = np.zeros((restarts, 0, d))
         passes = 0
-        for turn in range(k if head else 0):
-            drawn = rows.mapInArrow(_candidates(column, centres, seed, turn), "restart int, race double, row array<double>")
-            first = drawn.groupBy("restart").agg(F.min_by("row", F.struct("race", "row")).alias("row")).collect()  # one a restart
+        for turn in range(k if size["n"] else 0):
+            race, drawn = parts.mapPartitions(_candidates(centres, seed, turn)).treeReduce(_first_drawn())
             passes += 1
-            if len(first) < restarts:
+            if not np.isfinite(race).all():
                 break  # no row is left that is no centre
-            centres = np.concatenate([centres, np.array([r.row for r in sorted(first, key=lambda r: r.restart)])[:, None]], axis=1)
+            centres = np.concatenate([centres, drawn[:, None]], axis=1)
         live, costs = list(range(restarts)) if centres.shape[1] else [], np.zeros(restarts)
         for _ in range(MAX_ITERATIONS):
             if not live:
                 break
-            parts = rows.mapInArrow(_sums(centres, live), "restart int, centre int, n long, cost double, total array<double>")
-            summed = parts.groupBy("restart", "centre").agg(
-                F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("total")[j]) for j in range(d)]).alias("total")
-            ).collect()  # restarts x k rows
+            n, cost, total = parts.mapPartitions(_sums(centres[live])).treeReduce(lambda a, b: tuple(x + y for x, y in zip(a, b)))
             passes += 1
-            moved, moves = centres.copy(), np.zeros(restarts)
-            costs[live] = 0.0
-            for r in summed:
-                costs[r.restart] += r.cost
-                if r.n:  # a centre without rows stays where it is
-                    moved[r.restart, r.centre] = np.array(r.total) / r.n
-                    moves[r.restart] += ((moved[r.restart, r.centre] - centres[r.restart, r.centre]) ** 2).sum()
+            costs[live] = cost.sum(axis=1)
+            moved = centres.copy()
+            moved[live] = np.where(n[:, :, None] > 0, total / np.maximum(n, 1)[:, :, None], centres[live])  # a centre without rows stays where it is
+            moves = ((moved - centres) ** 2).sum(axis=(1, 2))
             live = [r for r in live if moves[r] > TOLERANCE]
             centres = moved
         best = int(np.argmin(costs))
         return Centres(centres[best], float(costs[best]), passes)
     finally:
-        rows.unpersist()
+        blocks.unpersist()
 
 
 def kmeans(df: DataFrame, features: Sequence[str], k: int = 4, restarts: int = RESTARTS, seed: int = SEED, out: str = "cluster", order_by: str | None = None) -> DataFrame:

@@ -197,6 +197,21 @@ def test_restarts_advance_in_one_pass(spark):
     assert np.allclose(np.sort(again.points, axis=0), np.sort(best.points, axis=0))
 
 
+def test_tasks_of_a_pass_follow_the_vectors_not_the_partitions(spark):
+    """Few vectors in very many partitions: a pass is one small job, and the partitions change nothing."""
+    rows = spark.range(600).select(F.array((F.col("id") % 7).cast("double"), (F.col("id") % 11).cast("double")).alias("v"))
+    spark.sparkContext.setJobGroup("spread", "spread")
+    try:
+        many = best_kmeans(rows.repartition(64), "v", k=3, restarts=4)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("spread") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(s.numTasks for s in stages if s) < 5 * 64 + 2 * many.passes < 64 * many.passes
+    one = best_kmeans(rows.coalesce(1), "v", k=3, restarts=4)
+    assert many.cost == pytest.approx(one.cost) and np.allclose(many.points, one.points)
+
+
 def test_kmeans_of_few_equal_and_missing_rows(spark):
     rows = spark.createDataFrame([([1.0, 2.0],)] * 30 + [([5.0, 5.0],)] + [(None,)], "v array<double>")
     best = best_kmeans(rows, "v", k=4, restarts=3)
