@@ -89,11 +89,19 @@ class _Encoder:
         self.letters = byte_letters()
 
     def _ids(self, new: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
-        plain = re.compile("[a-zß-öø-ÿ]+").fullmatch
+        plain, merge = re.compile("[a-zß-öø-ÿ]+").fullmatch, self.tokenizer.model.tokenize
         rest = []
         for run in new:
-            if self.plain and plain(run.decode()):
-                yield run, [t.id for t in self.tokenizer.model.tokenize(run.decode("latin-1").translate(self.letters))]
+            text = run.decode()
+            if not self.plain:
+                rest.append(run)
+            elif text.isascii():
+                if text.isalpha() and text.islower():  # a-z stand for their own bytes
+                    yield run, [t.id for t in merge(text)]
+                else:
+                    rest.append(run)
+            elif plain(text):
+                yield run, [t.id for t in merge(run.decode("latin-1").translate(self.letters))]
             else:
                 rest.append(run)
         encoded = self.tokenizer.encode_batch_fast([run.decode() for run in rest], add_special_tokens=False)
@@ -101,7 +109,7 @@ class _Encoder:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if self.plain:
-            apart = re.compile(rb"(?<=[a-z0-9])([.,!])(?=[ \n])").sub
+            apart = re.compile(rb"([.,!])(?<=[a-z0-9].)(?=[ \n])").sub  # a mark first: the search skips to marks
             texts = [apart(rb" \1", t if b"<|" in t else t.lower()) for t in texts]  # <|: names of special tokens stay
         split = [text.split() for text in texts]
         distinct = set().union(*split)

@@ -17,7 +17,7 @@ from stargauge.llm.language import vocabulary_pieces
 from stargauge.llm.mixing import mix_documents, mixture_sizes, plan_mixture
 from stargauge.llm.private_data import find_private_data, span_report
 from stargauge.llm.store import new_folder
-from stargauge.llm.token_files import read_token_files, write_token_files
+from stargauge.llm.token_files import _Encoder as Encoder, read_token_files, write_token_files
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -52,6 +52,15 @@ def check_mixture(rows, source, texts, slack):
         assert abs(taken[s] - want[s]) <= slack
 
 
+def test_runs_of_letters_and_marks_encode_as_whole_texts():
+    """Runs that go to the merges of the model, marks cut off, and what looks like either."""
+    data = Q.vocabulary("word_bpe_49k.json")
+    whole = Tokenizer.from_str(data)
+    texts = ["abc, Abc. a1! x", "a). b ,, c!! d.\ne?", "stra\u00dfe \u00e9t\u00e9, na\u00efve \u00aa\u00ba e\u0301 \u0130", "don't we'll 's d\tend", "<|endoftext|> A. b", "", "x.y, z.", "\u4e2d, a\u0142. b"]
+    got = Encoder(data, 1)([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [[*whole.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
 def test_mixture_meets_its_targets(spark, sf, docs, texts):
     source = {r.doc_id: r.source for r in docs.collect()}
     rows = Q.op2_mix_sources(spark, sf).collect()
