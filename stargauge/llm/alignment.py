@@ -18,6 +18,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from .words import batches, byte_letters, record, release
 _BLANK = "▁"
 _WORD_END, _ODD_BLANK = re.compile(r"(?<=\S)(?= )"), re.compile(r"\s |\s$")
 _PAIR_BITS = 20
+_SPAN = attrgetter("id", "begin", "end")
 
 #: Groups with more links than this are unfolded by their distinct ids.
 _WIDE = 1 << 16
@@ -119,7 +121,12 @@ class Aligner:
         return text.split(" ")
 
     def numbers(self, texts: list[list[str]]) -> list[list[int]]:
-        """The numbers of all runs of the texts, after those not known yet are aligned, many at a time."""
+        """The numbers of all runs of each text."""
+        flat, ends = self.in_a_row(texts).tolist(), np.cumsum(list(map(len, texts)), dtype=np.int64).tolist()
+        return [flat[p:q] for p, q in zip([0, *ends], ends)]
+
+    def in_a_row(self, texts: list[list[str]]) -> np.ndarray:
+        """The numbers of all runs of the texts in a row, after those not known yet are aligned, many at a time."""
         if len(self.known) > self.limit:
             self._trim()
         new = [r for r in set().union(*texts) if r not in self.known]
@@ -135,8 +142,8 @@ class Aligner:
             self.known[run] = len(self.known)
         if len(parts) > 1:
             self._merge(parts)
-        out = [list(map(self.known.__getitem__, runs)) for runs in texts]
-        used = np.bincount(np.fromiter(chain.from_iterable(out), np.int64), minlength=len(self.known))
+        out = np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        used = np.bincount(out, minlength=len(self.known))
         used[: len(self.uses)] += self.uses
         self.uses = used
         return out
@@ -185,7 +192,7 @@ class Aligner:
         a = np.array(one.ids, np.int64)
         # B writes a blank before each text: a line break after that keeps it from joining the first run.
         pieces = self.second.encode("\n" + text, return_type="proto", num_threads=1).pieces[2:]
-        fields = np.fromiter(chain.from_iterable((p.id, p.begin, p.end) for p in pieces), np.int64, 3 * len(pieces)).reshape(-1, 3)
+        fields = np.fromiter(chain.from_iterable(map(_SPAN, pieces)), np.int64, 3 * len(pieces)).reshape(-1, 3)
         b, begins, ends = fields[:, 0].copy(), fields[:, 1] - 1, fields[:, 2] - 1
         joined = b"".join(map(self.first_bytes.__getitem__, a.tolist())), b"".join(map(self.second_bytes.__getitem__, b.tolist()))
         if joined != (data, data):
@@ -198,14 +205,18 @@ class Aligner:
             sizes = np.array([len(r.encode()) for r in runs])
         a_ends = byte_ends(self.first_length[a], spans[:, 0], spans[:, 1])
         b_ends = byte_ends(self.second_length[b], begins, ends)
-        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        ends_a, cut = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)  # by place in the text
+        ends_a[a_ends] = True
+        cut[b_ends] = ends_a[b_ends]
+        cuts = np.flatnonzero(cut)
         run_ends = np.cumsum(sizes + 1) - 1
-        if not (np.isin(run_ends, cuts).all() and np.isin(run_ends[:-1] + 1, cuts).all()):
+        if not (cut[run_ends].all() and cut[run_ends[:-1] + 1].all()):
             return None
         breaks = np.zeros(len(cuts), bool)  # groups that are the line breaks between runs
-        breaks[np.searchsorted(cuts, run_ends[:-1] + 1)] = True
+        before = np.cumsum(cut) - cut  # cuts before each place
+        breaks[before[run_ends[:-1] + 1]] = True
         number = np.cumsum(~breaks) - 1
-        group_a, group_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        group_a, group_b = before[a_ends], before[b_ends]
         own_a, own_b = ~breaks[group_a], ~breaks[group_b]
         a, group_a, b, group_b = a[own_a], number[group_a[own_a]], b[own_b], number[group_b[own_b]]
         run_of = np.searchsorted(run_ends, cuts[~breaks])
@@ -267,23 +278,21 @@ class _Batch:
 
     def __init__(self, aligner: Aligner, texts: pa.Array):
         cut = [aligner.runs_of(t or "") for t in texts.to_pylist()]
-        self.runs, self.n = aligner.numbers(cut), len(cut)
-        self.all = aligner.all
-        lone = np.flatnonzero(~self.all.good)
-        if len(lone):
-            bad = set(lone.tolist())
-            self.runs = [[] if not bad.isdisjoint(runs) else runs for runs in self.runs]
-        self.owner = np.repeat(np.arange(self.n), list(map(len, self.runs)))
-        self.run = np.array(list(chain.from_iterable(self.runs)), np.int64)
+        self.run, self.n = aligner.in_a_row(cut), len(cut)
+        self.all, self.counts = aligner.all, np.array(list(map(len, cut)), np.int64)
+        self.owner = np.repeat(np.arange(self.n), self.counts)
+        lone = ~self.all.good[self.run]
+        if lone.any():  # a text with a run that is not restored has no tokens
+            whole = np.bincount(self.owner[lone], minlength=self.n) == 0
+            self.run, self.owner, self.counts = self.run[whole[self.owner]], self.owner[whole[self.owner]], self.counts * whole
 
     def sums(self, per_run: np.ndarray) -> np.ndarray:
         """Sums of a figure of the runs over each text."""
-        ends = np.searchsorted(self.owner, np.arange(self.n + 1))
-        return np.diff(np.concatenate([[0], np.cumsum(per_run[self.run])])[ends])
+        return _spread(per_run[self.run], self.counts)
 
     def digests(self) -> list[str]:
-        shown = self.all.shown
-        return [hashlib.sha256(";".join([shown[r] for r in runs]).encode()).hexdigest() if runs else "" for runs in self.runs]
+        runs, ends = list(map(self.all.shown.__getitem__, self.run.tolist())), np.cumsum(self.counts).tolist()
+        return [hashlib.sha256(";".join(runs[p:q]).encode()).hexdigest() if p < q else "" for p, q in zip([0, *ends], ends)]
 
     def packed(self) -> dict[str, list]:
         """The distinct runs of the batch, by numbers of its own, with their pairs, and the documents of each pair."""
@@ -292,14 +301,14 @@ class _Batch:
         at = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
         pairs, pair_at = np.unique(self.all.pairs[at], return_inverse=True)
         # One row for each text and run of it, then one for each text and pair of it.
-        own = np.unique(self.owner * max(1, len(used)) + run)
+        own = _distinct(self.owner * max(1, len(used)) + run)
         text, of = np.divmod(own, max(1, len(used)))
         first = (np.cumsum(sizes) - sizes)[of]
         each = np.arange(sizes[of].sum()) + np.repeat(first - (np.cumsum(sizes[of]) - sizes[of]), sizes[of])
-        held = np.unique(np.repeat(text, sizes[of]) * max(1, len(pairs)) + pair_at[each])
+        held = _distinct(np.repeat(text, sizes[of]) * max(1, len(pairs)) + pair_at[each])
         docs = np.bincount(held % max(1, len(pairs)), minlength=len(pairs))
         return {
-            "n_runs": list(map(len, self.runs)), "runs": run, "sizes": sizes, "pair_at": pair_at, "links": self.all.links[at],
+            "n_runs": self.counts, "runs": run, "sizes": sizes, "pair_at": pair_at, "links": self.all.links[at],
             "pairs": pairs, "docs": docs,
         }
 
@@ -372,6 +381,12 @@ def _values(cell: pa.ListScalar, kind: pa.DataType) -> np.ndarray:
     return (pa.array([], kind) if cell.values is None else cell.values).to_numpy(zero_copy_only=False)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct numbers; numpy's own ``unique`` hashes them first, which takes longer."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=values[0] - 1) != 0] if len(values) else values
+
+
 def _spread(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sums of consecutive stretches of these sizes."""
     return np.diff(np.concatenate([[0], np.cumsum(values)])[np.concatenate([[0], np.cumsum(sizes)])])

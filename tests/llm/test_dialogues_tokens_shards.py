@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -214,6 +215,17 @@ def test_runs_are_forgotten_and_learnt_again(models):
     assert len(aligner.known) < 200
 
 
+def test_a_batch_numbers_its_runs_in_a_row(models):
+    aligner = A.Aligner(*models)
+    texts = ["one two three", "", "two\u00a0\x00 two", None, "three one"]
+    batch = A._Batch(aligner, pa.array(texts))
+    good = [all(aligner.all.good[k] for k in runs) for runs in aligner.numbers([aligner.runs_of(t or "") for t in texts])]
+    assert batch.counts.tolist() == [len(aligner.runs_of(t or "")) if g else 0 for t, g in zip(texts, good)]
+    assert len(batch.run) == len(batch.owner) == batch.counts.sum() and batch.owner.tolist() == sorted(batch.owner.tolist())
+    assert [d == "" for d in batch.digests()] == [n == 0 for n in batch.counts]
+    assert A._distinct(np.array([3, 1, 3, 2, 1])).tolist() == [1, 2, 3] and not len(A._distinct(np.zeros(0, np.int64)))
+
+
 def test_wide_groups_are_unfolded_by_distinct_ids():
     rng = np.random.default_rng(0)
     a, b = rng.integers(0, 5, 400), rng.integers(0, 7, 300)
