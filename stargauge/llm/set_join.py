@@ -36,7 +36,7 @@ _BUCKET_BITS, _SLICE = 20, 1 << 16
 #: Sets a side of a cell, about.
 _CELL = 1024
 #: Bytes of text that a task turns into arrays at a time.
-_STEP = 1 << 22
+_STEP = 1 << 20
 
 _SLICES = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
 _SETS = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("prefix", pa.binary())])

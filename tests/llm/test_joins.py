@@ -1,6 +1,7 @@
 """Near copies, benchmark passages and fuzzy lines against plain Python."""
 
 import collections
+import gc
 import hashlib
 import random
 
@@ -13,6 +14,7 @@ from stargauge.llm import fuzzy_lines as L
 from stargauge.llm.decontaminate import find_passages, passage_report, remove_contaminated
 from stargauge.llm.graph import components
 from stargauge.llm.set_join import jaccard_groups, keep_one_of_each_group
+from stargauge.llm.words import Words
 from tests.oracle import connect, difference
 
 
@@ -233,3 +235,16 @@ def test_line_dedup_by_grams_equals_all_pairs_by_edit_similarity(spark, docs, te
 
 def test_line_dedup_by_grams_of_odd_texts(odd, empty):
     assert L.dedup_lines(odd, grams=8).count() == odd.count() and L.dedup_lines(empty, grams=8).count() == 0
+
+
+def test_words_leave_no_reference_cycle():
+    """A worker sees millions of words; those of the last batch must go with it, not when Python next looks for cycles."""
+    gc.collect()
+    gc.disable()
+    try:
+        words = Words([b"one two three", b"", b"two ONE"], lower=True)
+        assert words.distinct == [b"one", b"two", b"three"] and words.ids.tolist() == [0, 1, 2, 1, 0]
+        del words
+        assert not any(isinstance(x, dict) and b"three" in x for x in gc.get_objects())
+    finally:
+        gc.enable()
