@@ -41,6 +41,8 @@ from .words import batches, byte_letters, record, release
 
 MAGIC, VERSION = b"TOKZ", 1
 _HEAD = "<4sI32sII"
+#: Documents, and bytes of text about, that a task encodes at a time: their words are Python objects of eight times that size.
+_ROWS, _STEP = 512, 1 << 20
 
 _ENCODED = pa.schema([("shard", pa.int32()), ("id", pa.int64()), ("tie", pa.int64()), ("n", pa.int64()), ("frame", pa.binary())])
 _BLOCK = pa.schema([
@@ -138,6 +140,20 @@ def _narrow(ids: bytes, width: int) -> bytes:
     return ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
 
 
+def _frames(frames: Iterator[pa.RecordBatch], encoder: _Encoder, press: zstandard.ZstdCompressor, bounds: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    """Of ids and texts: the shard, the length and the compressed token ids of each document."""
+    for frame in batches(frames, _ROWS, _STEP):
+        ids = frame.column(0)
+        texts = [b"" if t is None else t for t in frame.column(1).cast(pa.binary()).to_pylist()]
+        lists = encoder(texts)
+        shard = np.searchsorted(bounds, np.array(ids.fill_null(0)), side="right")
+        shard[np.array(ids.is_null())] = 0
+        yield record(
+            _ENCODED, shard.astype(np.int32), ids, [xxhash.xxh64_intdigest(x) - (1 << 63) for x in lists],
+            [len(x) // 4 for x in lists], [press.compress(_narrow(x, width)) for x in lists],
+        )
+
+
 def train_dictionary(samples: list[bytes], size: int) -> bytes:
     """A zstandard dictionary; from too few samples, their bytes themselves as raw content (possibly none)."""
     try:
@@ -200,16 +216,7 @@ def write_token_files(
         data, packed, bounds = common.value
         encoder = _encoder(data, end_id)
         press = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(packed), write_content_size=True)
-        for frame in batches(frames, 2048):
-            ids = frame.column(0)
-            texts = [b"" if t is None else t for t in frame.column(1).cast(pa.binary()).to_pylist()]
-            lists = encoder(texts)
-            shard = np.searchsorted(bounds, np.array(ids.fill_null(0)), side="right")
-            shard[np.array(ids.is_null())] = 0
-            yield record(
-                _ENCODED, shard.astype(np.int32), ids, [xxhash.xxh64_intdigest(x) - (1 << 63) for x in lists],
-                [len(x) // 4 for x in lists], [press.compress(_narrow(x, width)) for x in lists],
-            )
+        yield from _frames(frames, encoder, press, bounds, width)
         encoder.trim()
         release()
 

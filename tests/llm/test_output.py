@@ -3,16 +3,20 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from stargauge.llm import catalog as Q
 from stargauge.llm import secrets_scan as S
+from stargauge.llm import token_files
 from stargauge.llm.language import vocabulary_pieces
 from stargauge.llm.mixing import mix_documents, mixture_sizes, plan_mixture
 from stargauge.llm.private_data import find_private_data, span_report
@@ -132,6 +136,33 @@ def test_token_files_round_trip(spark, sf, texts):
         start += len(ids)
 
 
+def test_a_frame_of_long_texts_is_encoded_little_by_little(monkeypatch):
+    """Whatever Spark sends at once, few of its words are held at a time; the rows are those of one large slice."""
+    text = " ".join(f"word{k % 500}" for k in range(1000))
+    frame = pa.record_batch([pa.array([*range(599), None], pa.int64()), pa.array([None, "", *[f"{k} {text}" for k in range(598)]])], names=["id", "text"])
+    data, bounds = Q.vocabulary("word_bpe_49k.json"), np.array([100, 400])
+
+    def encoded():
+        encoder = Encoder(data, 1)
+        encoder([text.encode()])
+        tracemalloc.start()
+        rows, held = [], []
+        for part in token_files._frames(iter([frame]), encoder, zstandard.ZstdCompressor(), bounds, 2):
+            held.append(tracemalloc.get_traced_memory()[1])
+            rows += part.to_pylist()
+            tracemalloc.reset_peak()
+        tracemalloc.stop()
+        return rows, max(held)
+
+    rows, most = encoded()
+    monkeypatch.setattr(token_files, "_ROWS", 2048)
+    monkeypatch.setattr(token_files, "_STEP", 1 << 23)
+    whole, more = encoded()
+    assert rows == whole and [r["id"] for r in rows] == frame.column(0).to_pylist()
+    assert [r["shard"] for r in rows] == [0] * 100 + [1] * 300 + [2] * 199 + [0]
+    assert most < 24e6 < more
+
+
 def test_token_files_of_odd_texts(spark, odd, empty):
     data = Q.vocabulary("word_bpe_49k.json")
     tokenizer, path = Tokenizer.from_str(data), new_folder(spark, "token-test")
