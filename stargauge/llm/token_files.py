@@ -79,7 +79,7 @@ class _Encoder:
 
         self.tokenizer, self.end, self.limit = Tokenizer.from_str(data), np.uint32(end_id).tobytes(), limit
         self.known: dict[bytes, bytes] = {}
-        self.last: set[bytes] = set()
+        self.last: set[bytes] = set()  # runs of the last batches, about two thirds of the limit
         config = json.loads(data)
         steps, cuts = ((config.get(k) or {}) for k in ("normalizer", "pre_tokenizer"))
         first, *rest = cuts.get("pretokenizers", [{}])
@@ -116,17 +116,17 @@ class _Encoder:
         split = [text.split() for text in texts]
         distinct = set().union(*split)
         new = [run for run in distinct if run not in self.known]
-        if len(self.known) + len(new) > self.limit:  # keep what this batch uses, the frequent runs among it
-            self.known = {run: self.known[run] for run in distinct if run in self.known}
+        self.last = self.last | distinct if len(self.last) < 2 * self.limit // 3 else distinct
+        if len(self.known) + len(new) > self.limit:  # keep what the last batches use, the frequent runs among it
+            self.known = {run: self.known[run] for run in (self.last if len(self.last) < self.limit else distinct) if run in self.known}
         self.known.update((run, array("I", ids).tobytes()) for run, ids in self._ids(new))
-        self.last = distinct
         find = self.known.__getitem__
         return [b"".join(map(find, runs)) + self.end for runs in split]
 
 
     def trim(self) -> None:
-        """Between tasks, remember only the runs of the last batch."""
-        self.known = {run: self.known[run] for run in self.last}
+        """Between tasks, remember only the runs of the last batches."""
+        self.known = {run: self.known[run] for run in self.last if run in self.known}
         self.last = set()
 
 
