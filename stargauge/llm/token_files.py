@@ -28,6 +28,7 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -62,15 +63,33 @@ _DDL = {
 #: The normalizer and the word pattern under which a lower-case run of letters is one token of the model.
 _LOWERING = ["NFC", "Replace", "Lowercase"]
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: What that pattern cuts runs into that hold only these characters; "'" may begin a word and "<" a special token.
+_PIECES = "[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:;=-@[-`{-~]+"
+
+
+class _Runs(dict):
+    """Ids of the runs met lately. When full, all become ``old``, and what is met again comes back; ``missed`` lists the others."""
+
+    def __init__(self, old: dict[bytes, bytes]):
+        super().__init__()
+        self.old, self.missed = old, set()
+
+    def __missing__(self, run: bytes) -> bytes | None:
+        ids = self.old.get(run)
+        if ids is None:
+            self.missed.add(run)
+        else:
+            self[run] = ids
+        return ids
 
 
 class _Encoder:
     """Ids of texts. The tokenizer drops white space and joins nothing across it, so each distinct run between
-    ASCII white space is encoded once and remembered, up to ``limit`` runs.
+    ASCII white space is encoded once and remembered, up to about ``limit`` runs.
 
     Where the tokenizer lower-cases and takes letters as words, A-Z are lowered and a full stop, comma or
     exclamation mark that ends a run is cut off first, which leaves fewer distinct runs; and runs of plain lower-case
-    letters, which no normalizing changes, go to the merges of the model directly.
+    letters, digits and marks, which no normalizing changes, go piece by piece to the merges of the model directly.
     """
 
     def __init__(self, data: str, end_id: int, limit: int = 300_000):
@@ -78,8 +97,7 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end, self.limit = Tokenizer.from_str(data), np.uint32(end_id).tobytes(), limit
-        self.known: dict[bytes, bytes] = {}
-        self.last: set[bytes] = set()  # runs of the last batches, about two thirds of the limit
+        self.known = _Runs({})
         config = json.loads(data)
         steps, cuts = ((config.get(k) or {}) for k in ("normalizer", "pre_tokenizer"))
         first, *rest = cuts.get("pretokenizers", [{}])
@@ -90,44 +108,48 @@ class _Encoder:
         )
         self.letters = byte_letters()
 
-    def _ids(self, new: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
-        plain, merge = re.compile("[a-zß-öø-ÿ]+").fullmatch, self.tokenizer.model.tokenize
+    def _ids(self, new: Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        merge, pieces, letters = self.tokenizer.model.tokenize, re.compile(_PIECES).findall, self.letters
         rest = []
         for run in new:
             text = run.decode()
             if not self.plain:
                 rest.append(run)
-            elif text.isascii():
-                if text.isalpha() and text.islower():  # a-z stand for their own bytes
-                    yield run, [t.id for t in merge(text)]
-                else:
-                    rest.append(run)
-            elif plain(text):
-                yield run, [t.id for t in merge(run.decode("latin-1").translate(self.letters))]
+            elif text.isascii() and text.isalpha() and text.islower():  # a-z stand for their own bytes
+                yield run, array("I", [t.id for t in merge(text)]).tobytes()
             else:
-                rest.append(run)
+                parts = pieces(text)
+                if sum(map(len, parts)) != len(text):
+                    rest.append(run)
+                    continue
+                ids = array("I")
+                for part in parts:
+                    ids.extend([t.id for t in merge(part if part.isascii() else part.encode().decode("latin-1").translate(letters))])
+                yield run, ids.tobytes()
         encoded = self.tokenizer.encode_batch_fast([run.decode() for run in rest], add_special_tokens=False)
-        yield from ((run, e.ids) for run, e in zip(rest, encoded, strict=True))
+        yield from ((run, array("I", e.ids).tobytes()) for run, e in zip(rest, encoded, strict=True))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if self.plain:
-            apart = re.compile(rb"([.,!])(?<=[a-z0-9].)(?=[ \n])").sub  # a mark first: the search skips to marks
+            apart = re.compile(rb"([.,!])(?:(?<=[a-z0-9].)|(?<=\xc3[\x9f-\xb6\xb8-\xbf].))(?=[ \n])").sub  # a mark first: the search skips to marks
             texts = [apart(rb" \1", t if b"<|" in t else t.lower()) for t in texts]  # <|: names of special tokens stay
         split = [text.split() for text in texts]
-        distinct = set().union(*split)
-        new = [run for run in distinct if run not in self.known]
-        self.last = self.last | distinct if len(self.last) < 2 * self.limit // 3 else distinct
-        if len(self.known) + len(new) > self.limit:  # keep what the last batches use, the frequent runs among it
-            self.known = {run: self.known[run] for run in (self.last if len(self.last) < self.limit else distinct) if run in self.known}
-        self.known.update((run, array("I", ids).tobytes()) for run, ids in self._ids(new))
-        find = self.known.__getitem__
-        return [b"".join(map(find, runs)) + self.end for runs in split]
-
+        runs = list(chain.from_iterable(split))
+        found = list(map(self.known.__getitem__, runs))
+        missed, self.known.missed = self.known.missed, set()
+        if len(self.known) + len(missed) > self.limit // 2:
+            self.known = _Runs(dict(self.known))
+        known = self.known
+        known.update(self._ids(missed))
+        for k, ids in enumerate(found):
+            if ids is None:
+                found[k] = known[runs[k]]
+        ends = list(accumulate(map(len, split), initial=0))
+        return [b"".join(found[a:b]) + self.end for a, b in zip(ends, ends[1:])]
 
     def trim(self) -> None:
-        """Between tasks, remember only the runs of the last batches."""
-        self.known = {run: self.known[run] for run in self.last if run in self.known}
-        self.last = set()
+        """Between tasks, remember half of the limit, the runs met last first."""
+        self.known = _Runs(dict(islice(chain(self.known.items(), self.known.old.items()), self.limit // 2)))
 
 
 @lru_cache(maxsize=1)

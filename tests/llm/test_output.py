@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import tracemalloc
 import zlib
@@ -127,6 +128,40 @@ def test_mixture_of_odd_texts(odd, empty):
     assert {(r.size, r.target, r.taken) for r in mixture_sizes(blank).collect()} == {(0, 0.0, 0)}
 
 
+def test_few_runs_pass_the_whole_tokenizer():
+    """Runs of letters, digits and marks go to the merges by pieces; only the others pass normalizing and cutting."""
+    data, passed = Q.vocabulary("word_bpe_49k.json"), []
+    whole, encoder = Tokenizer.from_str(data), Encoder(data, 1)
+
+    class Counted:
+        model = encoder.tokenizer.model
+
+        def encode_batch_fast(self, runs, **options):
+            passed.extend(runs)
+            return whole.encode_batch_fast(runs, **options)
+
+    encoder.tokenizer = Counted()
+    texts = ["aiier\u00e9. \u00f3miar! thr$$$ r\u00e9on### x1y22 (a_b) www.a-b.com/c?d=1 \u00e9\u00f7. 3.5, [`~{|}] \u00e9.. \u00df.\n\u00ff, \u00c9. \u00e9.'s don't a<|b m\u00b2 \u0142! \x01a \u00e9\u0301.", "\u00e9. \u00f3."]
+    got = encoder([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [[*whole.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert sorted(passed) == sorted(["\u00e9\u00f7.", "\u00c9.", "\u00e9.'s", "don't", "a<|b", "m\u00b2", "\u0142!", "\x01a", "\u00e9\u0301."])
+
+
+def test_runs_are_remembered_up_to_the_limit():
+    data, rng = Q.vocabulary("word_bpe_49k.json"), random.Random(5)
+    whole, encoder, often = Tokenizer.from_str(data), Encoder(data, 1, limit=200), [f"often{k}" for k in range(20)]
+    for batch in range(30):
+        words = often + [f"rare{rng.random()}" for _ in range(40)]
+        rng.shuffle(words)
+        text = " ".join(words)
+        assert np.frombuffer(encoder([text.encode()])[0], "<u4").tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
+        assert len(encoder.known) <= 100 and len(encoder.known.old) <= 100
+        assert all(w.encode() in encoder.known or w.encode() in encoder.known.old for w in often)
+        if batch % 7 == 6:
+            encoder.trim()
+            assert len(encoder.known.old) <= 100 and all(w.encode() in encoder.known.old for w in often)
+
+
 def test_token_files_round_trip(spark, sf, texts):
     tokenizer = Tokenizer.from_str(Q.vocabulary("word_bpe_49k.json"))
     found, start = {r.doc_id: r for r in Q.op7_token_files(spark, sf).collect()}, 0
