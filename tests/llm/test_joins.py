@@ -134,6 +134,49 @@ def test_edit_distance():
     assert L.edit_distance("x" * 5000, "x" * 4000 + "y" * 1000) == 1000
 
 
+
+def test_edit_distance_stops_beyond_what_is_allowed():
+    rng = random.Random(9)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("ab\u00e9\U0001F600") for _ in range(rng.randint(0, 20))) for _ in range(2))
+        whole = L.edit_distance(a, b)
+        for most in range(8):
+            assert (L.edit_distance(a, b, most) == whole) if whole <= most else L.edit_distance(a, b, most) > most
+
+
+def test_few_pairs_are_compared_letter_by_letter(monkeypatch):
+    """Pairs whose letters or runs of letters differ too much go without; the verdict is that of comparing all."""
+    rng, compared, distance = random.Random(10), [], L.edit_distance
+
+    def line(n, letters):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    def edited(text, edits):
+        text = list(text)
+        for _ in range(edits):
+            at = rng.randrange(len(text) + 1)
+            text[at: at + rng.randint(0, 1)] = line(rng.randint(0, 1), "xy\u00e9\u0142")
+        return "".join(text)
+
+    pairs = [("", ""), ("a", ""), ("ab", "ab"), ("abcde", "abcdx"), ("abcd", "abcx"), ("\U0001F600" * 9, "\U0001F600" * 8)]
+    for k in range(700):
+        a = line(rng.randint(1, 200), "abcdefgh \u00e9\u4e2d")
+        pairs.append((a, edited(a, rng.randint(0, 1 + len(a) // 3))))
+        pairs.append((line(len(a), "abcdefgh"), line(len(a), "fghijklm ")))
+    right = [100 * (max(len(a), len(b)) - distance(a, b)) >= 80 * max(len(a), len(b)) for a, b in pairs]
+    monkeypatch.setattr(L, "edit_distance", lambda a, b, most: compared.append(a) or distance(a, b, most))
+    assert L.similar([a for a, _ in pairs], [b for _, b in pairs], 80) == right and L.similar([], [], 80) == []
+    assert 400 < sum(right) <= len(compared) < 0.6 * len(pairs)
+
+
+def test_minhashes_of_many_lines_are_those_of_each_line():
+    rng = random.Random(11)
+    lines = [bytes(rng.choices(b"abcdef \xc3", k=rng.choice([1, 3, 15, 16, 17, 400, 70_000]))) for _ in range(120)]
+    for run in (2, 16):
+        assert (L.gram_keys(lines, run, 8) == np.concatenate([L._gram_keys([x], run, 8) for x in lines])).all()
+    assert L.gram_keys([], 5, 8).shape == (0, 8)
+
+
 def kept_lines(texts, radius, percent):
     """Texts without the lines that go, comparing all pairs of distinct lines."""
     first = {}
