@@ -9,7 +9,8 @@ Scoring interpolates the orders with a Dirichlet prior: ``p(w | h) = (c(h w) + m
 ending in ``(c(w) + 1) / (N + V + 1)``, every count from probes.
 
 The segments are broadcast if all of them together fit a stated number of bytes. Beyond it, batches of documents
-send each segment the hashes they need and get the answers back, two exchanges; both ways give the same scores.
+send each group of segments the hashes they need and get levels and counts back, two exchanges of rows of a few
+MB at most; both ways give the same scores.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,8 @@ from .words import U64, Words, batches, mix, record, release, texts_of
 _BEGIN, _END = U64(0x3C6EF372FE94F82B), U64(0xA54FF53A5F1D36F1)
 _BITS_AN_EVENT, _BITS_SET = 12, 5
 _MOST_TASKS = 20_000
+#: Bytes of text that are scored at a time, segments that are asked together, and hashes looked up at a time.
+_STEP, _GROUP, _LOOKED_UP = 1 << 22, 2, 1 << 17
 
 _PART = pa.schema([("segment", pa.int32()), ("order", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
 _SEGMENT = pa.schema([
@@ -40,10 +44,10 @@ _SCORE = pa.schema([
     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
     ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
 ])
-_BATCH = pa.schema([("batch", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("held", pa.binary()), ("starts", pa.binary()), ("tokens", pa.binary())])
-_ASK = pa.schema([("segment", pa.int32()), ("role", pa.int32()), ("batch", pa.int64()), ("hashes", pa.binary()), ("filter", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
-_DATA = pa.schema([("segment", pa.int32()), ("filter", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
-_ANSWER = pa.schema([("batch", pa.int64()), ("hashes", pa.binary()), ("levels", pa.binary()), ("known", pa.binary())])
+_BATCH = pa.schema([("batch", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("held", pa.binary()), ("counts", pa.binary()), ("words", pa.binary()), ("numbers", pa.binary())])
+_ASK = pa.schema([("part", pa.int32()), ("role", pa.int32()), ("batch", pa.int64()), ("hashes", pa.binary()), ("segment", pa.int32()), ("filter", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
+_DATA = ("segment", "filter", "words", "counts")
+_ANSWER = pa.schema([("batch", pa.int64()), ("part", pa.int32()), ("levels", pa.binary()), ("bits", pa.binary()), ("known", pa.binary())])
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -54,16 +58,21 @@ def _ddl(schema: pa.Schema) -> str:
 # ---- tokens and n-grams -------------------------------------------------------------------------------------------
 
 
-def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-case words of each text and its end; where each text starts."""
+def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct lower-case words with END; the numbers of the words of each text and its end; where each text starts."""
     words = Words(texts, lower=True)
-    value = words.hashes()[words.ids] if len(words.ids) else np.zeros(0, U64)
     starts = words.starts + np.arange(len(words.starts))
-    out = np.full(starts[-1], _END, U64)
-    inside = np.ones(len(out), bool)
+    numbers = np.full(starts[-1], len(words.distinct), np.int32)
+    inside = np.ones(len(numbers), bool)
     inside[starts[1:] - 1] = False
-    out[inside] = value
-    return out, starts
+    numbers[inside] = words.ids
+    return np.append(words.hashes(), _END), numbers, starts
+
+
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-case words of each text and its end; where each text starts."""
+    words, numbers, starts = _numbered(texts)
+    return words[numbers], starts
 
 
 def _earlier(tokens: np.ndarray, place: np.ndarray, back: int) -> np.ndarray:
@@ -83,8 +92,7 @@ def _begin(length: int) -> np.ndarray:
 def _ngrams(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
     """Per n = 1..order, the hash of the n-gram that ends at each token; missing words before the text are BEGIN.
 
-    Entry 0 is the hash of the empty history. The history of the n-gram ending at token i is the (n-1)-gram that
-    ends at token i - 1, so its hash is at hand.
+    The history of the n-gram ending at token i is the (n-1)-gram that ends at token i - 1, or BEGINs.
     """
     place = np.arange(len(tokens)) - np.repeat(starts[:-1], np.diff(starts))
     out, value = [], np.zeros(len(tokens), U64)
@@ -96,19 +104,6 @@ def _ngrams(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarr
     return out
 
 
-def _histories(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
-    """Per n = 2..order, the hash of the words before each token as an (n-1)-gram."""
-    place = np.arange(len(tokens)) - np.repeat(starts[:-1], np.diff(starts))
-    out = []
-    for n in range(2, order + 1):
-        value = np.zeros(len(tokens), U64)
-        for back in range(1, n):  # as _ngrams, one token earlier
-            earlier = _earlier(tokens, place, back)
-            value = mix(value * U64(3) + earlier + U64(back)) if back > 1 else mix(earlier + U64(1))
-        out.append(value)
-    return out
-
-
 # ---- the filter ---------------------------------------------------------------------------------------------------
 
 
@@ -166,6 +161,12 @@ class Segments:
         self.size, self.word_size = size["filter"] // 8, size["words"] // 8
         self.start, self.word_start = np.cumsum(self.size) - self.size, np.cumsum(self.word_size) - self.word_size
 
+    @classmethod
+    def of(cls, rows: pa.Table, n_segments: int) -> Segments:
+        """Those of some rows alone."""
+        sizes = [rows.column("segment"), *(pc.binary_length(rows.column(c)) for c in _DATA[1:])]
+        return cls(pa.table(sizes, list(_DATA)), n_segments).fill(rows)
+
     def fill(self, rows: pa.Table) -> Segments:
         """Put the rows of some segments where they belong."""
         for batch in rows.to_batches():
@@ -180,6 +181,9 @@ class Segments:
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """The last level of an unbroken run of events found for each n-gram."""
+        return np.concatenate([np.zeros(0, np.int8), *(self._levels(hashes[k: k + _LOOKED_UP]) for k in range(0, len(hashes), _LOOKED_UP))])
+
+    def _levels(self, hashes: np.ndarray) -> np.ndarray:
         segment = _segment(hashes, self.n_segments)
         size, start = self.size[segment], self.start[segment]
         out, alive, level = np.zeros(len(hashes), np.int8), np.flatnonzero(size > 0), 1
@@ -266,24 +270,41 @@ def train_ngrams(docs: DataFrame, order: int = 2, base: float = 1.5, prior: floa
 # ---- scoring ------------------------------------------------------------------------------------------------------
 
 
-def _needed(tokens: np.ndarray, starts: np.ndarray, order: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    grams, histories = _ngrams(tokens, starts, order), _histories(tokens, starts, order)
-    return grams, histories, np.unique(np.concatenate([*grams, *histories, np.zeros(0, U64)]))
+def _needed(tokens: np.ndarray, starts: np.ndarray, order: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Per n = 1..order, the distinct hashes of the n-grams and the place of each token's among them; all hashes to ask for."""
+    grams = [np.unique(gram, return_inverse=True) for gram in _ngrams(tokens, starts, order)]
+    return grams, _distinct(np.concatenate([*(distinct for distinct, _ in grams), *(_begin(n) for n in range(1, order))]))
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """As np.unique, which looks numbers up in a hash table; sorted runs are only merged here."""
+    values = np.sort(values, kind="stable")
+    return values[np.append(True, values[1:] != values[:-1])[: len(values)]]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of whole numbers, all first ones first; those of sorted or small numbers are compressed where rows are exchanged."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _of_planes(data: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 def _scores(ids: pa.Array, held, tokens, starts, model: tuple, ask) -> pa.RecordBatch:
     """Scores of a batch of texts; ``ask`` answers distinct n-gram hashes with levels and exact word counts."""
     order, base, prior, total, distinct = model
-    grams, histories, keys = _needed(tokens, starts, order)
+    grams, keys = _needed(tokens, starts, order)
     levels, exact = ask(keys)
     count = expected_count(np.arange(128), base)[levels]
-    word = np.searchsorted(keys, grams[0])
-    c = exact[word]
-    p = (count[word] + 1) / (total + distinct + 1)
-    for k in range(1, order):
-        h = count[np.searchsorted(keys, histories[k - 1])]
-        both = np.minimum(count[np.searchsorted(keys, grams[k])], h)
-        p = (both + prior * p) / (h + prior)
+    found = [count[np.searchsorted(keys, own)][place] for own, place in grams]
+    own, place = grams[0]
+    c = exact[np.searchsorted(keys, own)][place]
+    p = (found[0] + 1) / (total + distinct + 1)
+    for n in range(1, order):
+        h = np.append(0.0, found[n - 1])[:-1]  # the history is the shorter n-gram one token earlier
+        h[starts[:-1]] = count[np.searchsorted(keys, _begin(n))]
+        p = (np.minimum(found[n], h) + prior * p) / (h + prior)
     owner, n = np.repeat(np.arange(len(starts) - 1), np.diff(starts)), len(starts) - 1
 
     def per_text(x: np.ndarray) -> np.ndarray:
@@ -333,7 +354,7 @@ def _score_by_broadcast(own: DataFrame, model: NgramModel, numbers: tuple) -> Da
         def ask(keys):
             return segments.levels(keys), segments.exact(keys)
 
-        for frame in batches(frames, 1 << 14, 1 << 22):
+        for frame in batches(frames, 1 << 14, _STEP):
             tokens, starts = _tokens(texts_of(frame.column(2)))
             yield _scores(frame.column(0), frame.column(1), tokens, starts, numbers, ask)
 
@@ -345,46 +366,70 @@ def _score_by_exchange(own: DataFrame, model: NgramModel, numbers: tuple) -> Dat
 
     def pack(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for frame in batches(frames, 1 << 14, 1 << 23):
-            tokens, starts = _tokens(texts_of(frame.column(2)))
+        for frame in batches(frames, 1 << 14, _STEP):
+            words, places, starts = _numbered(texts_of(frame.column(2)))
             ids, held = frame.column(0), np.array(frame.column(1))
-            yield record(_BATCH, [number], [np.array(ids.fill_null(0)).tobytes()], [np.array(ids.is_null()).tobytes()], [held.tobytes()], [starts.tobytes()], [tokens.tobytes()])
+            columns = np.array(ids.fill_null(0)), np.array(ids.is_null()), held, np.diff(starts), words
+            yield record(_BATCH, [number], *([c.tobytes()] for c in columns), [_planes(places)])
             number += 1
 
+    def unpack(counts: bytes, words: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(words, U64)[_of_planes(places, "i4")], np.append(0, np.cumsum(np.frombuffer(counts, np.int64)))
+
     def ask(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            for batch, starts, tokens in zip(*(frame.column(k).to_pylist() for k in ("batch", "starts", "tokens")), strict=True):
-                keys = _needed(np.frombuffer(tokens, U64), np.frombuffer(starts, np.int64), order)[2]
-                which, at = np.unique(_segment(keys, n_segments), return_index=True)
+            for k in range(frame.num_rows):
+                batch, *packed = (frame.column(c)[k].as_py() for c in ("batch", "counts", "words", "numbers"))
+                keys = _needed(*unpack(*packed), order)[1]
+                which, at = np.unique(_segment(keys, n_segments) // _GROUP, return_index=True)
                 none = [None] * len(which)
-                yield record(_ASK, which, [1] * len(which), [batch] * len(which), [keys[a:b].tobytes() for a, b in zip(at, [*at[1:], len(keys)])], none, none, none)
+                yield record(_ASK, which, [1] * len(which), [batch] * len(which), [_planes(keys[a:b]) for a, b in zip(at, [*at[1:], len(keys)])], none, none, none, none)
+                release()
 
     def answer(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, segments = None, None  # a segment's own row comes before the questions to it
+        current, rows, segments = None, [], None  # the segments of a part come before the questions to it
         for frame in frames:
-            for segment, role, batch, hashes, bits, words, counts in zip(*(x.to_pylist() for x in frame.columns), strict=True):
-                if role == 0:
-                    own_row = pa.table({"segment": [segment], "filter": [bits], "words": [words], "counts": [counts]}, schema=_DATA)
-                    sizes = pa.table({"segment": [segment], "filter": [len(bits)], "words": [len(words)], "counts": [len(counts)]})
-                    current, segments = segment, Segments(sizes, n_segments).fill(own_row)
+            part, role = (np.array(frame.column(c)) for c in ("part", "role"))
+            cuts = [0, *(np.flatnonzero((np.diff(part) != 0) | (np.diff(role) != 0)) + 1).tolist(), frame.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
                     continue
-                keys = np.frombuffer(hashes, U64)
-                if segment == current:
-                    yield record(_ANSWER, [batch], [hashes], [segments.levels(keys).tobytes()], [segments.exact(keys).tobytes()])
-                else:  # no n-gram of this segment was trained
-                    yield record(_ANSWER, [batch], [hashes], [bytes(len(keys))], [bytes(8 * len(keys))])
+                if part[a] != current:
+                    current, rows, segments = part[a], [], None
+                some = frame.slice(a, b - a)
+                if role[a] == 0:
+                    rows.append(some.select(_DATA))
+                    continue
+                if segments is None:  # without rows nothing of this part was trained
+                    segments, rows = Segments.of(pa.Table.from_batches(rows, pa.schema([_ASK.field(c) for c in _DATA])), n_segments), []
+                yield replies(some, segments)
+            release()
+
+    def replies(asked: pa.RecordBatch, segments: Segments) -> pa.RecordBatch:
+        hashes = [_of_planes(x, "u8") for x in asked.column("hashes").to_pylist()]
+        ends, keys = np.cumsum([0, *map(len, hashes)]).tolist(), np.concatenate(hashes)
+        levels, exact = segments.levels(keys), segments.exact(keys)
+        found = [(levels[a:b], exact[a:b]) for a, b in zip(ends, ends[1:])]
+        return record(_ANSWER, asked.column("batch"), asked.column("part"), [x.tobytes() for x, _ in found], [np.packbits(y > 0).tobytes() for _, y in found], [_planes(y[y > 0]) for _, y in found])
 
     def finish(key, packed: pa.Table, answers: pa.Table) -> pa.Table:
-        row = packed.to_pylist()[0]
-        keys = np.frombuffer(b"".join(answers["hashes"].to_pylist()), U64)
-        levels = np.frombuffer(b"".join(answers["levels"].to_pylist()), np.int8)
-        known, by = np.frombuffer(b"".join(answers["known"].to_pylist()), np.int64), np.argsort(keys)
+        row, found = packed.to_pylist()[0], answers.sort_by("part").select(["levels", "bits", "known"]).to_pylist()
+
+        def told(keys):
+            levels, exact = np.frombuffer(b"".join(x["levels"] for x in found), np.int8), np.zeros(len(keys), np.int64)
+            bits = [np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=len(x["levels"])) for x in found]
+            exact[np.concatenate(bits).view(bool)] = np.concatenate([_of_planes(x["known"], "i8") for x in found])
+            return levels, exact
+
         ids = pa.array(np.frombuffer(row["ids"], np.int64), mask=np.frombuffer(row["nulls"], bool))
-        out = _scores(ids, np.frombuffer(row["held"], bool), np.frombuffer(row["tokens"], U64), np.frombuffer(row["starts"], np.int64), numbers, lambda _: (levels[by], known[by]))
+        out = _scores(ids, np.frombuffer(row["held"], bool), *unpack(row["counts"], row["words"], row["numbers"]), numbers, told)
+        release()
         return pa.Table.from_batches([out])
 
     packed = written(own.mapInArrow(pack, _ddl(_BATCH)), "token-batches")
-    data = model.segments.select("segment", F.lit(0).alias("role"), F.lit(None).cast("long").alias("batch"), F.lit(None).cast("binary").alias("hashes"), "filter", "words", "counts")
-    asked = packed.mapInArrow(ask, _ddl(_ASK)).unionByName(data).repartition(min(n_segments, _MOST_TASKS), "segment").sortWithinPartitions("segment", "role")
-    answers = asked.mapInArrow(answer, _ddl(_ANSWER))
+    columns = {"part": F.expr(f"segment div {_GROUP}").cast("int"), "role": F.lit(0), "batch": F.lit(None).cast("long"), "hashes": F.lit(None).cast("binary")}
+    data = model.segments.select(*(c.alias(name) for name, c in columns.items()), *_DATA)
+    asked = packed.select("batch", "counts", "words", "numbers").mapInArrow(ask, _ddl(_ASK)).unionByName(data)
+    asked = asked.repartition(min(-(-n_segments // _GROUP), _MOST_TASKS), "part").sortWithinPartitions("part", "role", "segment")
+    answers = written(asked.mapInArrow(answer, _ddl(_ANSWER)), "ngram-answers")
     return packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, _ddl(_SCORE))

@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -61,6 +62,43 @@ def test_lm_gives_the_same_by_broadcast_and_by_exchange(odd, empty):
     assert {r.score for r in score_texts(odd, none, out).collect()} == {0.0} and none.total == 0
 
 
+def test_lm_exchanges_rows_of_few_megabytes(spark, monkeypatch):
+    from stargauge.llm import ngram_model
+    from stargauge.llm.store import ship_package
+
+    ship_package(spark)
+    written, sizes = ngram_model.written, {}
+
+    def measured(df, name):
+        out = written(df, name)
+        size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in out.dtypes if kind == "binary"), F.lit(0))
+        sizes[name] = out.agg(F.max(size)).first()[0]
+        return out
+
+    monkeypatch.setattr(ngram_model, "written", measured)
+    texts = [" ".join(f"w{(k * j) % 1009}" for j in range(2_000)) for k in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    model = train_ngrams(df, segment_tokens=1 << 16)
+    rows = [sorted(map(tuple, score_texts(df, model, F.lit(False), broadcast_bytes=b).collect())) for b in (1 << 30, 0)]
+    assert rows[0] == rows[1] and len(rows[0]) == 600
+    assert 0 < sizes["token-batches"] < 4 << 20  # eight bytes a word of 8 MB of text were 9.6 MB
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    from stargauge.llm.store import written
+
+    def kept():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {x for x in files.split("\n") if "/shuffle_" in x}
+
+    before = kept()
+    out = written(spark.range(100).repartition(3, "id"), "numbers")
+    end = time.time() + 30
+    while kept() - before and time.time() < end:  # they are deleted in the background
+        time.sleep(0.1)
+    assert not kept() - before and out.count() == 100
+
+
 def test_filter_holds_every_event():
     from stargauge.llm.ngram_model import Segments
     import pyarrow as pa
