@@ -169,6 +169,73 @@ def test_few_pairs_are_compared_letter_by_letter(monkeypatch):
     assert 400 < sum(right) <= len(compared) < 0.6 * len(pairs)
 
 
+def test_many_pairs_are_compared_together(monkeypatch):
+    """The verdict on many pairs is that of comparing each alone; only few are."""
+    rng, alone, distance = random.Random(12), [], L.edit_distance
+
+    def line(n, letters):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    pairs = []
+    for k in range(2400):
+        n = rng.choice((1, 9, 40, 63, 64, 65, 127, 128, 129, 200, 330))
+        a = line(n, "ab cde\u00e9\u4e2d" if k % 3 else "abcdefghijklmnopqrstuvwxyz \U0001F600")
+        cut = rng.randrange(n + 1)
+        b = list(a[cut:] + a[:cut] if k % 7 == 0 else a)
+        for _ in range(rng.randint(0, 2 + n // 4)):
+            at = rng.randrange(len(b) + 1)
+            b[at: at + rng.randint(0, 1)] = line(rng.randint(0, 1), "abcxy\u0142")
+        pairs.append((a, "".join(b)))
+    right = [100 * (max(len(a), len(b)) - distance(a, b)) >= 80 * max(len(a), len(b), 1) if a or b else True for a, b in pairs]
+    monkeypatch.setattr(L, "edit_distance", lambda a, b, most: alone.append(a) or distance(a, b, most))
+    assert L.similar([a for a, _ in pairs], [b for _, b in pairs], 80) == right
+    assert 800 < sum(right) < 2200 and len(alone) < 100
+
+
+def test_simhashes_sum_the_bits_of_words():
+    import xxhash
+
+    marks = {chr(k) for k in range(128) if not chr(k).isalnum()}
+    lines = ["", "--", "a --", "-- a", "- - !", "\u00e9 -", "-\x00- b", "_ x", "b a b", "!\x0b? c", "\x1c d", " ".join(f"w{k}" for k in range(61_000))]
+
+    def plain(line):
+        words = set(line.encode().split())
+        words = {w for w in words if not set(w.decode()) <= marks} or words
+        ones = [sum(xxhash.xxh64_intdigest(w, 7).to_bytes(8, "little")[k // 8] >> (7 - k % 8) & 1 for w in words) for k in range(64)]
+        return bytes(sum((2 * ones[8 * i + j] > len(words)) << (7 - j) for j in range(8)) for i in range(8))
+
+    assert [x.tobytes() for x in L.simhashes([x.encode() for x in lines])] == [plain(x) for x in lines]
+
+
+def test_lines_of_long_lists_with_other_letters_are_not_joined_with_their_texts(spark, monkeypatch):
+    from stargauge.llm.store import ship_package
+
+    ship_package(spark)
+    rng, verified, asked = random.Random(3), L._verified, []
+
+    def counted(docs, nodes, pairs, percent):
+        asked.append(pairs.count())
+        return verified(docs, nodes, pairs, percent)
+
+    monkeypatch.setattr(L, "_verified", counted)
+    common = "the same run of letters in all of them "
+    lines = [common + "".join(rng.choice(c) for _ in range(40)) for c in ("abc", "def", "ghi", "klm", "npq", "uvw") for _ in range(12)]
+    lines += [x[:-2] + "zz" for x in lines[::12]]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id long, text string")
+    kept = {r.doc_id: r.n_dropped for r in L.dedup_lines(df, grams=8).collect()}
+    assert len(asked) == 2 and asked[1] < 78 * 77 / 2 * 0.4
+    groups = {k: k for k in range(len(lines))}
+
+    def top(k):
+        return k if groups[k] == k else top(groups[k])
+
+    for k, x in enumerate(lines):
+        for j, y in enumerate(lines[:k]):
+            if 100 * (max(len(x), len(y)) - L.edit_distance(x, y)) >= 80 * max(len(x), len(y)):
+                groups[top(k)] = top(j)
+    assert kept == {k: int(groups[k] != k) for k in groups}
+
+
 def test_minhashes_of_many_lines_are_those_of_each_line():
     rng = random.Random(11)
     lines = [bytes(rng.choices(b"abcdef \xc3", k=rng.choice([1, 3, 15, 16, 17, 400, 70_000]))) for _ in range(120)]

@@ -85,7 +85,7 @@ def test_lm_exchanges_rows_of_few_megabytes(spark, monkeypatch):
 
 
 def test_written_leaves_no_shuffle_files(spark):
-    from stargauge.llm.store import written
+    from stargauge.llm.store import forget, written
 
     def kept():
         files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
@@ -97,6 +97,9 @@ def test_written_leaves_no_shuffle_files(spark):
     while kept() - before and time.time() < end:  # they are deleted in the background
         time.sleep(0.1)
     assert not kept() - before and out.count() == 100
+    forget(out)
+    with pytest.raises(Exception, match="(?i)not exist|not found|no such file"):
+        out.collect()
 
 
 def test_filter_holds_every_event():
